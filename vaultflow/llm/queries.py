@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from vaultflow.llm import packing, secrets, token_counts, toxicity
+from vaultflow.llm import decontamination, fingerprints, packing, quality, secrets, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_packing": packing.op3_pack,
+    "op4_decontamination": decontamination.op4_decontamination,
+    "op5_fingerprints": fingerprints.op5_fingerprints,
+    "op7_simhash": simhash.op7_simhash,
+    "op8_quality": quality.op8_quality,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
