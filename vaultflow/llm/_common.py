@@ -6,6 +6,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,3 +108,64 @@ def join_by_unique_key(left: DataFrame, right: DataFrame, key: str, weight: str,
         left.filter(~is_hot).join(right.filter(F.col(weight) <= least).drop(weight), key, how)
         .unionByName(left.filter(is_hot).join(F.broadcast(hot.drop(weight)), key, how))
     )
+
+
+class BloomFilter:
+    """A set of longs of fixed size: 2**bits bits, whatever the number of its members; when it
+    fills up it answers yes more often, never no for a member."""
+
+    def __init__(self, packed: np.ndarray, bits: int):
+        self.packed, self.bits = packed, bits
+
+    @staticmethod
+    def places(x: np.ndarray, bits: int) -> np.ndarray:
+        x = np.asarray(x).astype(np.int64).view(np.uint64)
+        a = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        b = (a ^ (a >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return np.stack([(a >> np.uint64(64 - bits)), (b >> np.uint64(64 - bits))]).astype(np.int64)
+
+    @classmethod
+    def of(cls, members: DataFrame, bits: int = 25) -> BloomFilter:
+        """Of the one column of members. Each of its 2**(bits - 19) pieces of 64 KB is made on an executor."""
+
+        def places(batches):
+            for b in batches:
+                yield {"at": np.unique(cls.places(np.asarray(b.column(0)), bits))}
+
+        at = map_batches(members.dropna(), places, schema_of("at bigint")).distinct()
+        packed = np.zeros(1 << (bits - 3), np.uint8)
+        for i, piece in _pieces(at.select((F.col("at") / F.lit(1 << 19)).cast("long").alias("piece"), (F.col("at") % F.lit(1 << 19)).alias("place"), F.lit(1).cast("long").alias("n")), 1 << 19, bool):
+            packed[i << 16 : (i + 1) << 16] = np.packbits(np.frombuffer(piece, bool), bitorder="little")
+        return cls(packed, bits)
+
+    def may_hold(self, x: np.ndarray) -> np.ndarray:
+        at = self.places(x, self.bits)
+        return ((self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
+
+
+def _pieces(rows: DataFrame, size: int, kind: type) -> Iterator[tuple[int, bytes]]:
+    """(piece, array of n by place as bytes) of rows (piece, place, n), put together on the executors."""
+
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            piece, place, n = (np.asarray(b.column(i)) for i in range(3))
+            for p in np.unique(piece).tolist():
+                own = piece == p
+                a = held.setdefault(p, np.zeros(size, kind))
+                a[place[own]] = np.minimum(n[own], np.iinfo(kind).max) if kind is not bool else True
+        yield {"piece": list(held), "data": [a.tobytes() for a in held.values()]}
+
+    for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).toLocalIterator():
+        yield r["piece"], bytes(r["data"])
+
+
+def hashed_counts(rows: DataFrame, bits: int) -> np.ndarray:
+    """The sums of rows (at, n) with at below 2**bits, as an array of unsigned 16-bit counts that stop at
+    their largest value: of fixed size, whatever the input."""
+    summed = rows.groupBy("at").agg(F.sum("n").alias("n"))
+    size = 1 << min(bits, 16)
+    out = np.zeros(1 << bits, np.uint16)
+    for i, piece in _pieces(summed.select((F.col("at") / F.lit(size)).cast("long").alias("piece"), (F.col("at") % F.lit(size)).alias("place"), "n"), size, np.uint16):
+        out[i * size : (i + 1) * size] = np.frombuffer(piece, np.uint16)
+    return out
