@@ -45,7 +45,7 @@ def validate(outcomes: DataFrame, files: DataFrame, root: str, algorithm: str |
         _check("metadata", (F.col("meta_path") != F.col("path")) | (F.col("meta_size") != F.col("__length")) | (F.lower("meta_checksum") != F.lower("expected_checksum")), "another record", skipped=F.col("meta_path").isNull()),
     )
     df = df.withColumn("checks", checks)
-    first = F.filter("checks", lambda c: c["status"] == "Failed")[0]
+    first = F.try_element_at(F.filter("checks", lambda c: c["status"] == "Failed"), F.lit(1))
     if fail_fast:
         at = F.array_position(F.transform("checks", lambda c: c["status"]), "Failed")
         df = df.withColumn("checks", F.when(at > 0, F.slice("checks", F.lit(1), at.cast("int"))).otherwise(F.col("checks")))

@@ -57,8 +57,8 @@ _query("read_state_checkpoint", lambda r: state.read_cursor(r.checkpoints.select
        "SELECT '2' AS partition_key, last_part, last_ver FROM checkpoints WHERE partition_key = '2' ORDER BY last_part DESC, last_ver DESC LIMIT 1")
 _query("read_statuses_in", lambda r: state.statuses(scan.scan_documents(r.vault).select("part", "idempotency_key"), r.outcomes), "descr outcomes",
        "SELECT d.part, d.idempotency_key, o.status FROM descr d LEFT JOIN outcomes o ON o.idempotency_key = d.idempotency_key")
-_query("read_status_point", lambda r: r.outcomes.filter(F.col("part") == 5).select("part", "status", k.outcome_name("status").alias("outcome")), "outcomes",
-       "SELECT part, status, ['Unknown', 'Pending', 'Succeeded', 'Failed', 'Skipped'][status + 1] AS outcome FROM outcomes WHERE part = 5")
+_query("read_status_point", lambda r: r.outcomes.filter(F.col("part") < 20).select("part", "status", k.outcome_name("status").alias("outcome")), "outcomes",
+       "SELECT part, status, ['Unknown', 'Pending', 'Succeeded', 'Failed', 'Skipped'][status + 1] AS outcome FROM outcomes WHERE part < 20")
 _query("read_latest_progress", lambda r: r.latest.select("job_id", "progress_id", "snapshot", "recorded", "docs_per_sec"), "latest", "SELECT job_id, progress_id, snapshot, recorded, docs_per_sec FROM latest")
 _query("read_active_checkpoint", lambda r: r.checkpoints.filter("status = 'Active' AND job_id = 7").select("checkpoint_id", "last_part", "last_ver"), "checkpoints", "SELECT checkpoint_id, last_part, last_ver FROM checkpoints WHERE status = 'Active' AND job_id = 7")
 _query("read_job", lambda r: r.jobs.filter("job_id = 12").select("job_id", "job_name", "status", "started", "completed", "expected"), "jobs", "SELECT job_id, job_name, status, started, completed, expected FROM jobs WHERE job_id = 12")
@@ -460,22 +460,23 @@ _query("m_worker_stalled_ratio", lambda r: metrics.clamped_ratio(r.workers.selec
        "SELECT round(sum(CASE WHEN status = 'Stalled' THEN 1 ELSE 0 END) / greatest(sum(CASE WHEN status IN ('Stalled', 'Active') THEN 1 ELSE 0 END), 1), 8) AS ratio FROM workers")
 
 
-def _series(r: Relations, minutes: int) -> DataFrame:
+def _series(r: Relations, minutes: int, scale: float = 1.0) -> DataFrame:
     g = r.metrics.groupBy(metrics.bucket("captured", minutes).alias("bucket"))
-    return g.agg((F.sum(F.when(F.col("metric_name") == "error", 1).otherwise(0)) / F.count(F.lit(1))).alias("value"))
+    return g.agg((F.sum(F.when(F.col("metric_name") == "error", 1).otherwise(0)) / F.count(F.lit(1)) * F.lit(scale)).alias("value"))
 
 
-def _alert_sql(threshold: str, comparison: str, hold: int, step: int) -> str:
+def _alert_sql(threshold: str, comparison: str, hold: int, step: int, scale: float = 1.0) -> str:
     peak = "max" if comparison == ">" else "min"
     return f"""SELECT min(bucket) AS started, max(bucket) AS ended, count(*) AS samples, {peak}(value) AS peak, date_diff('second', min(bucket), max(bucket)) + {step * 60} >= {hold * 60} AS fired FROM (
         SELECT *, sum(CASE WHEN s THEN 1 ELSE 0 END) OVER (ORDER BY bucket) AS island FROM (
         SELECT bucket, value, beyond, beyond AND (lag(beyond) OVER w IS NULL OR NOT lag(beyond) OVER w OR date_diff('second', lag(bucket) OVER w, bucket) > {step * 60}) AS s FROM (
-        SELECT time_bucket(INTERVAL {step} MINUTE, captured) AS bucket, sum(CASE WHEN metric_name = 'error' THEN 1 ELSE 0 END) / count(*) AS value, sum(CASE WHEN metric_name = 'error' THEN 1 ELSE 0 END) / count(*) {comparison} {threshold} AS beyond FROM metrics GROUP BY 1)
+        SELECT time_bucket(INTERVAL {step} MINUTE, captured) AS bucket, sum(CASE WHEN metric_name = 'error' THEN 1 ELSE 0 END) / count(*) * {scale} AS value, sum(CASE WHEN metric_name = 'error' THEN 1 ELSE 0 END) / count(*) * {scale} {comparison} {threshold} AS beyond FROM metrics GROUP BY 1)
         WINDOW w AS (ORDER BY bucket))) WHERE beyond GROUP BY island"""
 
 
 for _name, (_threshold, _comparison, _hold) in metrics.ALERTS.items():
-    _query(_name, lambda r, n=_name: metrics.alert(n, _series(r, 30), step_minutes=30).withColumn("peak", F.round("peak", 8)), "metrics", "SELECT * REPLACE (round(peak, 8) AS peak) FROM (" + _alert_sql(str(_threshold), _comparison, _hold, 30) + ")")
+    _scale = 16_384.0 if _name == "a_sql_p95_high" else 1.0  # shares of failures stand for milliseconds
+    _query(_name, lambda r, n=_name, k=_scale: metrics.alert(n, _series(r, 30, k), step_minutes=30).withColumn("peak", F.round("peak", 8)), "metrics", "SELECT * REPLACE (round(peak, 8) AS peak) FROM (" + _alert_sql(str(_threshold), _comparison, _hold, 30, _scale) + ")")
 _query("g_rate_1m", lambda r: metrics.rate(r.metrics, "captured", 1).select("bucket", "n"), "metrics", "SELECT time_bucket(INTERVAL 1 MINUTE, captured) AS bucket, count(*) AS n FROM metrics GROUP BY 1")
 _query("g_sink_p95", lambda r: r.metrics.groupBy(metrics.bucket("captured", 5).alias("bucket")).agg(F.round(F.percentile("value", F.lit(0.95)), 6).alias("p95")), "metrics", f"SELECT {_B5} AS bucket, round(quantile_cont(value, 0.95), 6) AS p95 FROM metrics GROUP BY 1")
 

@@ -33,5 +33,5 @@ def write_wal(root: str, partition: str, part: int, ver: int, docs: int, at: str
 def read_wal(spark: SparkSession, path: str) -> DataFrame:
     """file, last_part, last_ver, processed, at: of each file the last line that is not blank; files whose line is not whole give no row."""
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.split("value", "\\r?\\n").alias("lines"))
-    last = lines.select("file", F.element_at(F.filter("lines", lambda x: F.trim(x) != ""), -1).alias("line")).filter("line IS NOT NULL")
+    last = lines.select("file", F.try_element_at(F.filter("lines", lambda x: F.trim(x) != ""), F.lit(-1)).alias("line")).filter("line IS NOT NULL")
     return last.select("file", parse_wal("line").alias("w")).filter("w IS NOT NULL").select("file", "w.*")
