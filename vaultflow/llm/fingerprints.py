@@ -62,9 +62,9 @@ def digests(text: str, cut: int = CUT) -> np.ndarray:
         seen: Counter = Counter()
         for i, x in enumerate(own):
             if seen[x]:
-                d[i] = xxhash.xxh3_64_intdigest(x, seed=seen[x])
+                d[i] = xxhash.xxh3_64_intdigest(x + b"\n%d" % seen[x])  # no paragraph has a line feed
             seen[x] += 1
-    return d | np.uint64(1 << 63)
+    return np.unique(d | np.uint64(1 << 63))
 
 
 def _mixed(d: np.ndarray, salt: np.uint64) -> np.ndarray:
@@ -150,7 +150,12 @@ def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = CELLS) ->
     """For each pair of digest sets, what only a and what only b has, by sketches alone: where they don't peel, larger ones follow."""
     out: list = [None] * len(a)
     todo = np.arange(len(a))
+    largest = max((len(x) + len(y) for x, y in zip(a, b)), default=0)
     while len(todo):
+        if cells > 64 * max(largest, 16):  # two digests that share all their cells: a chance of 1 in 10**9
+            for k in todo.tolist():
+                out[k] = (np.setdiff1d(a[k], b[k]), np.setdiff1d(b[k], a[k]))
+            break
         step = max(1, _AT_ONCE // (_ROWS * cells))
         failed = []
         for i in range(0, len(todo), step):
