@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -62,10 +64,18 @@ def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[
         names = [n for n, _ in fields]
         for out in f(batches):
             yield pa.RecordBatch.from_arrays([pa.array(out[n], type=t) for n, t in fields], names=names)
+        _give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system: a worker lives on, and others share its executor's limit."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _arrow_type(t: T.DataType) -> pa.DataType:
     if isinstance(t, T.ArrayType):
         return pa.list_(_arrow_type(t.elementType))
@@ -134,7 +144,7 @@ class BloomFilter:
 
         at = map_batches(members.dropna(), places, schema_of("at bigint")).distinct()
         packed = np.zeros(1 << (bits - 3), np.uint8)
-        for i, piece in _pieces(at.select((F.col("at") / F.lit(1 << 19)).cast("long").alias("piece"), (F.col("at") % F.lit(1 << 19)).alias("place"), F.lit(1).cast("long").alias("n")), 1 << 19, bool):
+        for i, piece in _pieces(at.select((F.col("at") / F.lit(1 << 19)).cast("long").alias("piece"), (F.col("at") % F.lit(1 << 19)).alias("place")), 1 << 19):
             packed[i << 16 : (i + 1) << 16] = np.packbits(np.frombuffer(piece, bool), bitorder="little")
         return cls(packed, bits)
 
@@ -143,29 +153,47 @@ class BloomFilter:
         return ((self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
 
 
-def _pieces(rows: DataFrame, size: int, kind: type) -> Iterator[tuple[int, bytes]]:
-    """(piece, array of n by place as bytes) of rows (piece, place, n), put together on the executors."""
+def _pieces(rows: DataFrame, size: int) -> Iterator[tuple[int, bytes]]:
+    """(piece, whether each place is there, as bytes) of rows (piece, place), put together on the executors."""
 
     def run(batches):
         held: dict[int, np.ndarray] = {}
         for b in batches:
-            piece, place, n = (np.asarray(b.column(i)) for i in range(3))
+            piece, place = (np.asarray(b.column(i)) for i in range(2))
             for p in np.unique(piece).tolist():
                 own = piece == p
-                a = held.setdefault(p, np.zeros(size, kind))
-                a[place[own]] = np.minimum(n[own], np.iinfo(kind).max) if kind is not bool else True
+                held.setdefault(p, np.zeros(size, bool))[place[own]] = True
         yield {"piece": list(held), "data": [a.tobytes() for a in held.values()]}
 
     for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).toLocalIterator():
         yield r["piece"], bytes(r["data"])
 
 
-def hashed_counts(rows: DataFrame, bits: int) -> np.ndarray:
-    """The sums of rows (at, n) with at below 2**bits, as an array of unsigned 16-bit counts that stop at
-    their largest value: of fixed size, whatever the input."""
-    summed = rows.groupBy("at").agg(F.sum("n").alias("n"))
-    size = 1 << min(bits, 16)
+_PIECE = 1 << 16
+
+
+def packed_counts(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Pieces of an array of counts that are not all 0, as unsigned 32-bit numbers."""
+    for i in range(0, len(counts), _PIECE):
+        own = counts[i : i + _PIECE]
+        if own.any():
+            yield i // _PIECE, own.astype(np.uint32).tobytes()
+
+
+def summed_counts(rows: DataFrame, bits: int) -> np.ndarray:
+    """The sums of packed counts (piece, data) of 2**bits places, as unsigned 16-bit counts that stop at their largest
+    value: of fixed size, whatever the input. Pieces are summed up on the executors."""
+
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for piece, data in zip(b.column(0).to_pylist(), b.column(1)):
+                own = np.frombuffer(data.as_buffer(), np.uint32)
+                held[piece] = held.get(piece, 0) + own.astype(np.int64)
+        yield {"piece": list(held), "data": [np.minimum(x, 65_535).astype(np.uint16).tobytes() for x in held.values()]}
+
     out = np.zeros(1 << bits, np.uint16)
-    for i, piece in _pieces(summed.select((F.col("at") / F.lit(size)).cast("long").alias("piece"), (F.col("at") % F.lit(size)).alias("place"), "n"), size, np.uint16):
-        out[i * size : (i + 1) * size] = np.frombuffer(piece, np.uint16)
+    for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).toLocalIterator():
+        own = np.frombuffer(r["data"], np.uint16)
+        out[r["piece"] * _PIECE : r["piece"] * _PIECE + len(own)] = own
     return out

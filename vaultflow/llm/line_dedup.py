@@ -2,15 +2,15 @@
 
 A line's words, lower-cased, are a set. Sets are ordered by rarity; two sets whose Jaccard
 similarity is `threshold` or more share a word within their prefixes, and sets that share one are
-candidates if their sizes, the places of that word, and a parity bitmap allow the similarity. What
+candidates if their sizes, the places of that word, and parity bitmaps allow the similarity. What
 passes is verified on the whole sets. A line is removed if an earlier line - by doc_id, then by its
 number - is that similar to it.
 
 Rarity is counted over all lines in a table of hashed counts of fixed size; any order that all
-lines share keeps the join exact. Equal sets are one candidate. Candidates of a word are tried from
-the earliest on, TRIES at first and all others only where those fail, so that groups of similar
-lines need no list of all their pairs. Words with more than MOST sets are compared chunk by chunk,
-over all tasks.
+lines share keeps the join exact. Equal sets are one candidate. Where a set has more than FEW
+candidates of a word, the earliest TRIES are tried, and all others only where those fail, so that
+groups of similar lines need no list of all their pairs. Words with more than MOST sets are
+compared chunk by chunk, over all tasks.
 
 Defined results: lines end at line feeds; a line without words is never removed and matches
 nothing; a null text has no line; documents of a null id stay as they are and match nothing; rows
@@ -28,13 +28,59 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import LOWER, BloomFilter, hashed_counts, join_by_unique_key, map_batches, materialise, read_table, schema_of, texts_of
+from vaultflow.llm._common import LOWER, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, read_table, schema_of, summed_counts, texts_of
 
 THRESHOLD = Fraction(4, 5)
 RARITY_BITS = 22
-TRIES = 2
-MOST = 2048
+#: A set's candidates of a word are all tried if they are at most FEW, else the earliest TRIES first.
+FEW, TRIES = 32, 8
+MOST = 4096
+#: Documents whose words are held at once.
+_AT_ONCE = 512
+_BITS = 40
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_END = b"\xff"  # ends a document's text; is in no UTF-8 text
+_SLICE = 1 << 20
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32, 255]] = True
+_SMALL = np.frombuffer(LOWER, np.uint8)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd base modulo 2**64, and their inverses; n of them or more."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            x = np.full(n, base, np.uint64)
+            x[0] = 1
+            _POWERS[k] = np.cumprod(x)
+    return _POWERS[0], _POWERS[1]
+
+
+_BASE = 0xA0761D6478BD642F
+_POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+#: A 64-bit value for each byte.
+_VALUES = np.random.default_rng(20_240_131).integers(1, 1 << 63, 256, dtype=np.uint64)
+
+
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of raw[start:end] for each word; words are in ascending order and don't overlap. All at once: the sum of each
+    byte's value times a power by its place is a difference of running sums, and the inverse power moves it to the origin."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        first = start[i]
+        j = max(i + 1, int(np.searchsorted(end, first + _SLICE, side="right")))
+        size = int(end[j - 1] - first)
+        up, down = _powers(max(size, _SLICE))
+        run = np.empty(size + 1, np.uint64)
+        run[0] = 0
+        np.cumsum(_VALUES[raw[first : first + size]] * up[:size], out=run[1:])
+        s, e = start[i:j] - first, end[i:j] - first
+        out[i:j] = (run[e] - run[s]) * down[s]
+        i = j
+    out = (out ^ (out >> np.uint64(32))) * _MIX
+    return (out ^ (out >> np.uint64(29))) * _MIX
 
 
 class _Hashes(dict):
@@ -43,270 +89,307 @@ class _Hashes(dict):
         return h
 
 
-class Lines:
-    """The lines with words of some documents: document (its place), number, and their sets of word hashes, one after the other."""
-
-    def __init__(self, texts: list[str], hashes: _Hashes):
-        doc, number, sets = [], [], []
-        if len(hashes) > 1_000_000:
-            hashes.clear()
-        for d, t in enumerate(texts):
-            for i, line in enumerate(t.encode().translate(LOWER).split(b"\n")):
-                if ws := set(line.split()):
-                    doc.append(d)
-                    number.append(i)
-                    sets.append(np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws)))
-        self.doc, self.number, self.sets = np.array(doc, np.int64), np.array(number, np.int64), sets
-        self.size = np.array([len(x) for x in sets], np.int64)
-        self.words = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+class LineSets:
+    """The lines with words of some documents: document (its place), number, size, and their distinct words, as
+    hashes of 40 bits in ascending order, one line after the other."""
+
+    def __init__(self, texts: list[str]):
+        raw = _SMALL[np.frombuffer(_END.join([*(t.encode() for t in texts), b""]), np.uint8)]
+        edge = np.diff(np.concatenate([[True], _BLANK[raw], [True]]).astype(np.int8))
+        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        breaks = np.flatnonzero((raw == 10) | (raw == 255))
+        docs = np.flatnonzero(raw[breaks] == 255) + 1  # lines up to and with each document's last
+        of = np.repeat(np.arange(len(docs)), np.diff(docs, prepend=0))
+        number = np.arange(len(of)) - np.repeat(np.append(0, docs[:-1])[: len(docs)], np.diff(docs, prepend=0))
+        line = np.searchsorted(breaks, start)
+        key = np.sort((line.astype(np.uint64) << np.uint64(_BITS)) | (word_hashes(raw, start, end) >> np.uint64(64 - _BITS)))
+        if len(key):
+            key = key[np.append(True, key[1:] != key[:-1])]
+        size = np.bincount((key >> np.uint64(_BITS)).astype(np.int64), minlength=len(of))
+        some = np.flatnonzero(size)
+        self.doc, self.number, self.size = of[some], number[some], size[some]
+        self.words = key & np.uint64((1 << _BITS) - 1)
         self.start = np.cumsum(self.size) - self.size
+        self.line = np.repeat(np.arange(len(some)), self.size)
 
     def ids(self) -> np.ndarray:
         """A 64-bit hash of each set."""
-        if not self.sets:
+        if not len(self.size):
             return np.empty(0, np.int64)
-        x = (self.words ^ (self.words >> np.uint64(33))) * _MIX
+        x = (self.words ^ (self.words >> np.uint64(17))) * _MIX
         x = (x ^ (x >> np.uint64(29))) * _MIX
         return np.add.reduceat(x ^ (x >> np.uint64(32)), self.start).view(np.int64)
 
-    def parity(self) -> np.ndarray:
-        """Each bit says whether an odd number of the set's words have it: as many bits differ as words at most."""
-        if not self.sets:
-            return np.empty(0, np.int64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (self.words & np.uint64(63)), self.start).view(np.int64)
+    def parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits: each says whether an odd number of the set's words have it, so that no more bits differ than words do."""
+        if not len(self.size):
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        at, high = self.words & np.uint64(63), self.words & np.uint64(64)
+        bit = np.uint64(1) << at
+        zero = np.uint64(0)
+        return np.bitwise_xor.reduceat(np.where(high == zero, bit, zero), self.start), np.bitwise_xor.reduceat(np.where(high != zero, bit, zero), self.start)
 
 
-def rarity(rows: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
-    """In how many lines the words of each hash's place are, up to 65535. rows: doc_id, text."""
+def lines_and_rarity(rows: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, np.ndarray]:
+    """(doc, line, line_set of each line with words; in how many lines the words of each hash's place are, up to 65535), from one pass over rows (doc_id, text)."""
 
     def run(batches):
-        hashes, total = _Hashes(), np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.int64)
         for b in batches:
-            words = Lines(b.column(1).to_pylist(), hashes).words
-            at, n = np.unique(words >> np.uint64(64 - bits), return_counts=True)
-            total[at.astype(np.int64)] += n
-        at = np.flatnonzero(total)
-        yield {"at": at, "n": total[at]}
+            ids, texts = np.asarray(b.column(0)), b.column(1)
+            for i in range(0, b.num_rows, _AT_ONCE):
+                x = LineSets(texts.slice(i, _AT_ONCE).to_pylist())
+                np.add.at(total, (x.words >> np.uint64(_BITS - bits)).astype(np.int64), 1)
+                yield {"kind": np.zeros(len(x.doc), np.int8), "a": ids[i : i + _AT_ONCE][x.doc], "line": x.number, "b": x.ids(), "data": [None] * len(x.doc)}
+        for piece, data in packed_counts(total):
+            yield {"kind": [1], "a": [piece], "line": [0], "b": [0], "data": [data]}
 
-    return hashed_counts(map_batches(rows, run, schema_of("at bigint, n bigint")), bits)
+    both = materialise(map_batches(rows, run, schema_of("kind tinyint, a bigint, line int, b bigint, data binary")), "lines")
+    lines = both.filter("kind = 0").select(F.col("a").alias("doc"), "line", F.col("b").alias("line_set"))
+    return lines, summed_counts(both.filter("kind = 1").select(F.col("a").alias("piece"), "data"), bits)
 
 
-def prefix_length(size: int, threshold: Fraction) -> int:
-    return size - -(-threshold.numerator * size // threshold.denominator) + 1
+#: A word of a set's prefix. side: 0 pairs with all; 1 and 2 only with each other.
+_PREFIX = np.dtype([("word", "<u8"), ("set", "<i8"), ("p0", "<u8"), ("p1", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("size", "<i4"), ("place", "<u2"), ("side", "u1")])
 
 
-def lines_and_prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction) -> DataFrame:
-    """For each line: doc_id, line, line_set. For each word of its prefix (kind 1) also the word by rarity, its place and the
-    set's size and parity; within a task only the first line of each set has these."""
+def prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction, parts: int) -> DataFrame:
+    """part, data: the words of all sets' prefixes, dealt by word into parts, many packed together. Of equal sets a task
+    sends the earliest; words that no other line has are left out, as are sets too small to be similar to any but their equals."""
     sent = rows.sparkSession.sparkContext.broadcast(counts)
     bits = len(counts).bit_length() - 1
+    num, den = threshold.numerator, threshold.denominator
 
     def run(batches):
-        hashes, seen = _Hashes(), {}
+        seen = {}
         for b in batches:
-            ids = np.asarray(b.column(0))
-            x = Lines(b.column(1).to_pylist(), hashes)
-            own, parity, doc = x.ids(), x.parity(), ids[x.doc] if len(x.doc) else x.doc
-            if len(seen) > 2_000_000:
-                seen.clear()
-            often = sent.value[(x.words >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64)
-            order = (often << np.uint64(48)) | (x.words >> np.uint64(16))
-            lines, words, places = [], [], []
-            for i, (k, s, n) in enumerate(zip(own.tolist(), x.start.tolist(), x.size.tolist())):
-                at = (int(doc[i]), int(x.number[i]))
-                if k in seen and seen[k] <= at:
+            ids, texts, out = np.asarray(b.column(0)), b.column(1), []
+            for i in range(0, b.num_rows, _AT_ONCE):
+                x = LineSets(texts.slice(i, _AT_ONCE).to_pylist())
+                if not len(x.size):
                     continue
-                seen[k] = at
-                p = prefix_length(n, threshold)
-                own_order = order[s : s + n]
-                words.append(np.sort(own_order)[:p] if n < 64 else np.sort(np.partition(own_order, p - 1)[:p]))
-                places.append(np.arange(p))
-                lines.append(i)
-            n = np.array([len(w) for w in words], np.int64)
-            at = np.repeat(np.array(lines, np.int64), n)
-            zero = np.zeros(len(own), np.int64)
-            yield {
-                "kind": np.concatenate([zero, np.ones(len(at), np.int64)]).astype(np.int8), "word": np.concatenate([zero, *(w.view(np.int64) for w in words)]),
-                "doc": np.concatenate([doc, doc[at]]), "line": np.concatenate([x.number, x.number[at]]).astype(np.int32), "line_set": np.concatenate([own, own[at]]),
-                "size": np.concatenate([x.size, x.size[at]]).astype(np.int32), "place": np.concatenate([zero, *places]).astype(np.int32), "parity": np.concatenate([zero, parity[at]]),
-            }
-
-    return map_batches(rows, run, schema_of("kind tinyint, word bigint, doc bigint, line int, line_set bigint, size int, place int, parity bigint"))
-
-
-_PREFIX = "word bigint, side tinyint, doc bigint, line int, line_set bigint, size int, place int, parity bigint"
-
-
-def _candidates(threshold: Fraction, tries: int | None, most: int):
-    """Prefix rows sorted by (word, doc, line) to candidates: kind 0 (word, later set, earlier set, its doc and line; more: whether
-    others were left), and rows of large groups to deal again (kind 1)."""
+                own, doc = x.ids(), ids[i : i + _AT_ONCE][x.doc]
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                new = np.zeros(len(own), bool)
+                for k, (s, *at) in enumerate(zip(own.tolist(), doc.tolist(), x.number.tolist())):
+                    if s not in seen or at < seen[s]:
+                        seen[s], new[k] = at, True
+                # The largest set that x is similar to has den/num of its size; they may differ in (den - num) / (num + den) of both.
+                new &= (den - num) * (x.size + x.size * den // num) >= num + den
+                often = sent.value[(x.words >> np.uint64(_BITS - bits)).astype(np.int64)]
+                order = np.argsort((x.line << 16) | often, kind="stable")
+                place = np.arange(len(order)) - x.start[x.line]  # order keeps lines where they are
+                length = x.size - -(-num * x.size // den) + 1
+                at = np.flatnonzero((place < length[x.line]) & new[x.line] & (often[order] > 1))
+                line, p = x.line[at], x.parities()
+                r = np.empty(len(at), _PREFIX)
+                r["word"], r["set"], r["p0"], r["p1"], r["doc"] = x.words[order[at]], own[line], p[0][line], p[1][line], doc[line]
+                r["line"], r["size"], r["place"], r["side"] = x.number[line], x.size[line], np.minimum(place[at], 65_535), 0
+                out.append(r)
+                if sum(map(len, out)) > 200_000:
+                    yield from _dealt(np.concatenate(out), parts)
+                    out = []
+            if out:
+                yield from _dealt(np.concatenate(out), parts)
+
+    return map_batches(rows, run, schema_of("part int, data binary"))
+
+
+def _dealt(r: np.ndarray, parts: int):
+    part = ((r["word"] * _MIX) >> np.uint64(33)).astype(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    some = np.flatnonzero(np.diff(ends))
+    yield {"part": some, "data": [r[order[ends[k] : ends[k + 1]]].tobytes() for k in some.tolist()]}
+
+
+_CANDIDATE = "kind tinyint, word bigint, line_set bigint, doc bigint, line int, other bigint, other_doc bigint, other_line int, more boolean, part int, data binary"
+
+
+def _candidates(threshold: Fraction, tries: int, few: int, most: int, parts: int, wanted):
+    """Packed prefixes to candidates (kind 0: a later set and an earlier one; more: others of its word were left) and to
+    packed prefixes of large groups, to deal again (kind 1)."""
     num, den = threshold.numerator, threshold.denominator
-    names = ("word", "side", "doc", "line", "line_set", "size", "place", "parity")
-
-    def pairs(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of (earlier, later) rows of equal word that pass the filters."""
-        n, found = len(g["word"]), []
-        alive = np.arange(n)
-        for d in range(1, n):
-            alive = alive[alive + d < n]
-            alive = alive[g["word"][alive] == g["word"][alive + d]]
-            if not len(alive):
+
+    def pairs(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of rows of equal word that pass the filters; g is sorted by word and size."""
+        word, size, place, side, own = (np.ascontiguousarray(g[c]) for c in ("word", "size", "place", "side", "set"))
+        size, place, p0, p1 = size.astype(np.int64), place.astype(np.int64), np.ascontiguousarray(g["p0"]), np.ascontiguousarray(g["p1"])
+        found, a, d = [], np.arange(len(g)), 0
+        while True:
+            d += 1
+            a = a[a + d < len(g)]
+            a = a[(word[a] == word[a + d]) & (num * size[a + d] <= den * size[a])]  # once beyond, always beyond
+            if not len(a):
                 break
-            a, b = alive, alive + d
-            sx, sy = g["size"][a], g["size"][b]
-            ok = (g["line_set"][a] != g["line_set"][b]) & (den * np.minimum(sx, sy) >= num * np.maximum(sx, sy))
-            ok &= (g["side"][a] == 0) | (g["side"][a] != g["side"][b])
-            both = sx + sy
-            best = 1 + np.minimum(sx - g["place"][a], sy - g["place"][b]) - 1
-            ok &= (num + den) * best >= num * both
-            differ = np.bitwise_count((g["parity"][a] ^ g["parity"][b]).view(np.uint64)).astype(np.int64)
-            ok &= (num + den) * (both - differ) >= 2 * num * both
+            b = a + d
+            room = (den - num) * (size[a] + size[b])  # words in which they may differ, times num + den
+            # Words before the first that both have are of one set only.
+            ok = (num + den) * (place[a] + place[b]) <= room
+            x, y = a[ok], b[ok]
+            differ = np.bitwise_count(p0[x] ^ p0[y]).astype(np.int64) + np.bitwise_count(p1[x] ^ p1[y])
+            ok = ((num + den) * differ <= room[ok]) & (own[x] != own[y]) & ((side[x] == 0) | (side[x] != side[y]))
             if ok.any():
-                found.append((a[ok], b[ok]))
+                found.append((x[ok], y[ok]))
         if not found:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         a, b = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((a, b))
-        return a[order], b[order]
-
-    def chosen(g):
-        a, b = pairs(g)
-        first = np.append(True, b[1:] != b[:-1])[: len(b)]
-        nth = np.arange(len(b)) - np.maximum.accumulate(np.where(first, np.arange(len(b)), 0)) if len(b) else b
-        total = np.bincount(b, minlength=len(g["word"]))[b] if len(b) else b
-        keep = nth < tries if tries else nth >= 0
-        a, b, more = a[keep], b[keep], (total > tries)[keep] if tries else np.zeros(keep.sum(), bool)
-        return out(0, g["word"][b], more.astype(np.int8), g["doc"][a], g["line"][a], g["line_set"][b], g["line_set"][a], len(b))
-
-    def out(kind, word, flag, doc, line, line_set, other, n, size=0, place=0, parity=0):
-        full = lambda v, t: np.full(n, v, t) if np.isscalar(v) else v.astype(t)
+        later = (g["doc"][a] > g["doc"][b]) | ((g["doc"][a] == g["doc"][b]) & (g["line"][a] > g["line"][b]))
+        return np.where(later, a, b), np.where(later, b, a)
+
+    def chosen(g: np.ndarray) -> dict:
+        y, x = pairs(g)
+        if wanted is not None and len(y):
+            keep = wanted.value.may_hold(g["set"][y])
+            y, x = y[keep], x[keep]
+        order = np.lexsort((g["line"][x], g["doc"][x], y))
+        y, x = y[order], x[order]
+        more = np.zeros(len(y), bool)
+        if tries and len(y):
+            start = np.flatnonzero(np.append(True, y[1:] != y[:-1]))
+            n = np.diff(np.append(start, len(y)))
+            nth = np.arange(len(y)) - np.repeat(start, n)
+            keep, more = (np.repeat(n, n) <= few) | (nth < tries), np.repeat(n > few, n)
+            y, x, more = y[keep], x[keep], more[keep]
+        n = len(y)
         return {
-            "kind": np.full(n, kind, np.int8), "word": word, "flag": flag, "doc": doc, "line": line, "line_set": line_set, "other": full(other, np.int64),
-            "size": full(size, np.int32), "place": full(place, np.int32), "parity": full(parity, np.int64),
+            "kind": np.zeros(n, np.int8), "word": g["word"][y].view(np.int64), "line_set": g["set"][y], "doc": g["doc"][y], "line": g["line"][y], "other": g["set"][x], "other_doc": g["doc"][x],
+            "other_line": g["line"][x], "more": more, "part": np.zeros(n, np.int32), "data": [None] * n,
         }
 
-    def again(g):
-        """Chunks of most / 2 rows, each pair of them under a word of its own."""
-        n, half = len(g["word"]), most // 2
-        chunk = np.arange(n) // half
-        parts = int(chunk[-1]) + 1
-        word = int(g["word"][0]) & 0xFFFFFFFFFFFFFFFF
-        for i in range(parts):
-            for j in range(i, parts):
-                own = np.flatnonzero((chunk == i) | (chunk == j))
-                name = np.uint64(xxhash.xxh3_64_intdigest(b"%d %d %d" % (word, i, j))).view(np.int64)
-                side = np.zeros(len(own)) if i == j else np.where(chunk[own] == i, 1, 2)
-                yield out(1, np.full(len(own), name), side.astype(np.int8), g["doc"][own], g["line"][own], g["line_set"][own], 0, len(own), g["size"][own], g["place"][own], g["parity"][own])
-
-    def whole(g):
-        """Groups of a word each, the small ones together."""
-        key = g["word"]
-        starts = np.append(0, np.flatnonzero(key[1:] != key[:-1]) + 1)
-        size = np.diff(np.append(starts, len(key)))
-        of = np.repeat(size, size)
-        small = (of > 1) & (of <= 64)
-        if small.any():
-            yield chosen({c: v[small] for c, v in g.items()})
-        for s, n in zip(starts[size > 64].tolist(), size[size > 64].tolist()):
-            own = {c: v[s : s + n] for c, v in g.items()}
-            # A set that tasks met several times stands here with each of their first lines: the earliest counts.
-            _, at = np.unique(own["line_set"], return_index=True)
-            own = {c: v[np.sort(at)] for c, v in own.items()}
-            if len(at) > most and not own["side"][0]:
-                yield from again(own)
-            elif len(at) > 1:
-                yield chosen(own)
+    def again(g: np.ndarray):
+        """Chunks of most / 2 rows, each pair of them that may hold similar sizes under a word of its own."""
+        chunks = [g[i : i + most // 2] for i in range(0, len(g), most // 2)]
+        for i, a in enumerate(chunks):
+            for j, b in enumerate(chunks[i:], i):
+                if num * int(b["size"][0]) > den * int(a["size"][-1]):
+                    break
+                r = a.copy() if i == j else np.concatenate([a, b])
+                r["side"] = 0 if i == j else np.repeat([1, 2], [len(a), len(b)])
+                r["word"] = xxhash.xxh3_64_intdigest(b"%d %d %d" % (int(g["word"][0]), i, j))
+                for out in _dealt(r, parts):
+                    n = len(out["part"])
+                    none = np.zeros(n, np.int64)
+                    yield {"kind": np.ones(n, np.int8), "word": none, "line_set": none, "doc": none, "line": none.astype(np.int32), "other": none, "other_doc": none, "other_line": none.astype(np.int32), "more": none > 0, **out, "part": out["part"].astype(np.int32)}
 
     def run(batches):
-        held = None
-        for b in batches:
-            g = {c: np.asarray(b.column(i)) for i, c in enumerate(names)}
-            g = {c: v.astype(np.int64) for c, v in g.items()}
-            if held is not None:
-                g = {c: np.concatenate([held[c], g[c]]) for c in names}
-            if not len(g["word"]):
-                continue
-            last = np.flatnonzero(g["word"] != g["word"][-1])
-            cut = int(last[-1]) + 1 if len(last) else 0
-            yield from whole({c: v[:cut] for c, v in g.items()}) if cut else ()
-            held = {c: v[cut:] for c, v in g.items()}
-        if held is not None and len(held["word"]):
-            yield from whole(held)
+        held = [np.frombuffer(x, _PREFIX) for b in batches for x in b.column(1).to_pylist()]
+        if not held:
+            return
+        g = np.concatenate(held)
+        held.clear()
+        # Of a set that several tasks sent the earliest line counts.
+        g = g[np.lexsort((g["line"], g["doc"], g["set"], g["side"], g["word"]))]
+        same = (g["word"][1:] == g["word"][:-1]) & (g["set"][1:] == g["set"][:-1]) & (g["side"][1:] == g["side"][:-1])
+        g = g[np.append(True, ~same)]
+        g = g[np.lexsort((g["size"], g["word"]))]
+        starts = np.append(0, np.flatnonzero(g["word"][1:] != g["word"][:-1]) + 1)
+        n = np.diff(np.append(starts, len(g)))
+        large = (n > most) & (g["side"][starts] == 0)
+        for s, k in zip(starts[large].tolist(), n[large].tolist()):
+            yield from again(g[s : s + k])
+        use = (n > 1) & ~large
+        if wanted is not None and len(g):
+            use &= np.logical_or.reduceat(wanted.value.may_hold(g["set"]), starts)
+        g = g[np.repeat(use, n)]
+        if not len(g):
+            return
+        # Whole groups, about 100 000 rows at a time.
+        starts = np.append(0, np.flatnonzero(g["word"][1:] != g["word"][:-1]) + 1)
+        cuts = starts[np.minimum(np.searchsorted(starts, np.arange(0, len(g), 100_000)), len(starts) - 1)]
+        cuts = np.unique(np.append(cuts, len(g)))
+        for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield chosen(g[s:e])
 
     return run
 
 
-_CANDIDATE = "kind tinyint, word bigint, flag tinyint, doc bigint, line int, line_set bigint, other bigint, size int, place int, parity bigint"
-
-
-def candidates(prefixes: DataFrame, threshold: Fraction, tries: int | None, most: int = MOST) -> DataFrame:
-    """word, line_set, other (an earlier set), doc, line (its first line), more."""
-    found, rows = None, prefixes
+def candidates(packed: DataFrame, threshold: Fraction, tries: int, few: int, most: int, parts: int, wanted=None) -> DataFrame:
+    """word, line_set, doc, line, other (an earlier set), other_doc, other_line, more."""
+    found = None
     while True:
-        dealt = rows.repartition("word").sortWithinPartitions("word", "doc", "line")
-        out = materialise(map_batches(dealt, _candidates(threshold, tries, most), schema_of(_CANDIDATE)), "candidates")
-        now = out.filter("kind = 0").select("word", "line_set", "other", "doc", "line", (F.col("flag") > 0).alias("more"))
+        dealt = packed.repartition("part")
+        out = materialise(map_batches(dealt, _candidates(threshold, tries, few, most, parts, wanted), schema_of(_CANDIDATE)), "candidates")
+        now = out.filter("kind = 0").drop("kind", "part", "data")
         found = now if found is None else found.unionByName(now)
-        rows = out.filter("kind = 1").select("word", F.col("flag").alias("side"), "doc", "line", "line_set", "size", "place", "parity")
-        if rows.isEmpty():
+        packed = out.filter("kind = 1").select("part", "data")
+        if packed.isEmpty():
             return found
 
 
+def _place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return ((doc.astype(np.int64).view(np.uint64) * _MIX) ^ line.astype(np.int64).view(np.uint64)).view(np.int64)
+
+
 def verified(pairs: DataFrame, rows: DataFrame, threshold: Fraction) -> DataFrame:
-    """Those of the pairs of sets (line_set, other) that are as similar as threshold. A Bloom filter of fixed
-    size says whose words are sent."""
-    pairs = materialise(pairs.select("line_set", "other").distinct(), "pairs")
-    needed = pairs.select("line_set").union(pairs.select("other")).distinct()
-    bloom = rows.sparkSession.sparkContext.broadcast(BloomFilter.of(needed))
+    """Those pairs (line_set, other) whose whole lines are as similar as threshold. Bloom filters of fixed size say which
+    documents and lines are sent; joins by their places leave no doubt."""
+    sc = rows.sparkSession.sparkContext
+    each = pairs.groupBy("line_set", "other").agg(F.min(F.struct("doc", "line")).alias("y"), F.min(F.struct(F.col("other_doc").alias("doc"), F.col("other_line").alias("line"))).alias("x"))
+    each = materialise(each, "pairs")
+    needed = each.select("y.doc", "y.line").union(each.select("x.doc", "x.line")).distinct()
+    needed = materialise(needed, "needed")
+
+    def places(batches):
+        for b in batches:
+            yield {"at": _place(np.asarray(b.column(0)), np.asarray(b.column(1)))}
+
+    docs_wanted = sc.broadcast(BloomFilter.of(needed.select("doc")))
+    lines_wanted = sc.broadcast(BloomFilter.of(map_batches(needed, places, schema_of("at bigint"))))
 
     def sets(batches):
-        hashes, seen = _Hashes(), set()
+        hashes = _Hashes()
         for b in batches:
-            x = Lines(b.column(1).to_pylist(), hashes)
-            own = x.ids()
-            at = [i for i in np.flatnonzero(bloom.value.may_hold(own)).tolist() if own[i] not in seen] if len(own) else []
-            if len(seen) > 2_000_000:
-                seen.clear()
-            seen.update(own[at].tolist() if len(at) else ())
-            at = list({int(own[i]): i for i in at}.values())
-            yield {"id": own[at] if at else [], "words": [np.sort(x.sets[i]).tobytes() for i in at]}
-
-    found = map_batches(rows, sets, schema_of("id bigint, words binary")).join(needed.withColumnRenamed("line_set", "id"), "id", "left_semi")
-    found = found.groupBy("id").agg(F.first("words").alias("words"))
-    a = pairs.join(found.select(F.col("id").alias("line_set"), F.col("words").alias("a")), "line_set")
-    both = a.join(found.select(F.col("id").alias("other"), F.col("words").alias("b")), "other").select("line_set", "other", "a", "b")
+            ids = np.asarray(b.column(0))
+            hit = np.flatnonzero(docs_wanted.value.may_hold(ids))
+            out = []
+            for d, t in zip(ids[hit].tolist(), b.column(1).take(pa.array(hit)).to_pylist()):
+                lines = t.encode().translate(LOWER).split(b"\n")
+                for i in np.flatnonzero(lines_wanted.value.may_hold(_place(np.full(len(lines), d), np.arange(len(lines))))).tolist():
+                    ws = set(lines[i].split())
+                    if len(hashes) > 500_000:
+                        hashes.clear()
+                    out.append((d, i, np.sort(np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws))).tobytes()))
+            yield dict(zip(("doc", "line", "words"), zip(*out) if out else [()] * 3))
+
+    found = map_batches(rows, sets, schema_of("doc bigint, line int, words binary")).join(needed, ["doc", "line"], "left_semi")
+    found = found.groupBy("doc", "line").agg(F.first("words").alias("words"))
+    found = materialise(found, "sets")
+    y, x = found.select(F.struct("doc", "line").alias("y"), F.col("words").alias("a")), found.select(F.struct("doc", "line").alias("x"), F.col("words").alias("b"))
+    both = each.join(y, "y").join(x, "x").select("line_set", "other", "a", "b")
     num, den = threshold.numerator, threshold.denominator
 
     def similar(batches):
         for b in batches:
             keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y)
-                keep.append((num + den) * (both - len(np.union1d(x, y))) >= num * both)
+            for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                u = np.sort(np.concatenate([np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)]))
+                common = int((u[1:] == u[:-1]).sum())
+                keep.append((num + den) * common >= num * len(u))
             keep = np.array(keep, bool)
             yield {"line_set": np.asarray(b.column(0))[keep], "other": np.asarray(b.column(1))[keep]}
 
     return materialise(map_batches(both, similar, schema_of("line_set bigint, other bigint")), "verified")
 
 
-def duplicate_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = RARITY_BITS, tries: int = TRIES, most: int = MOST) -> DataFrame:
+def duplicate_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = RARITY_BITS, tries: int = TRIES, few: int = FEW, most: int = MOST) -> DataFrame:
     """doc, line, match_doc, match_line: for each line with words, the earliest line that is similar to it, or nulls."""
     rows = texts_of(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    both = materialise(lines_and_prefixes(rows, rarity(rows, rarity_bits), threshold), "lines")
-    lines = both.filter("kind = 0").select("doc", "line", "line_set")
-    prefixes = both.filter("kind = 1").select("word", F.lit(0).cast("tinyint").alias("side"), "doc", "line", "line_set", "size", "place", "parity")
-    tried = candidates(prefixes, threshold, tries, most)
+    lines, counts = lines_and_rarity(rows, rarity_bits)
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tried = candidates(prefixes(rows, counts, threshold, parts), threshold, tries, few, most, parts)
     good = verified(tried, rows, threshold)
-    links = tried.join(good, ["line_set", "other"]).select("line_set", "doc", "line")
-    # Where all that was tried of a word's candidates failed, all of them are tried.
-    open_ = tried.filter("more").select("word", "line_set").distinct().join(tried.join(good, ["line_set", "other"]).select("word", "line_set").distinct(), ["word", "line_set"], "left_anti")
+    matched = tried.join(good, ["line_set", "other"])
+    links = matched.select("line_set", F.col("other_doc").alias("doc"), F.col("other_line").alias("line"))
+    # Where some of a word's candidates were left and all that were tried failed, all are tried.
+    open_ = tried.filter("more").select("word", "line_set").distinct().join(matched.select("word", "line_set").distinct(), ["word", "line_set"], "left_anti")
     open_ = materialise(open_.select("line_set").distinct(), "open")
     if not open_.isEmpty():
-        words = prefixes.join(open_, "line_set", "left_semi").select("word").distinct()
-        rest = candidates(prefixes.join(words, "word", "left_semi"), threshold, None, most).join(open_, "line_set", "left_semi")
-        rest = materialise(rest, "rest")
-        links = links.unionByName(rest.join(verified(rest, rows, threshold), ["line_set", "other"]).select("line_set", "doc", "line"))
+        wanted = docs.sparkSession.sparkContext.broadcast(BloomFilter.of(open_))
+        rest = candidates(prefixes(rows, counts, threshold, parts), threshold, 0, few, most, parts, wanted)
+        rest = materialise(rest.join(open_, "line_set", "left_semi"), "rest")
+        links = links.unionByName(rest.join(verified(rest, rows, threshold), ["line_set", "other"]).select("line_set", F.col("other_doc").alias("doc"), F.col("other_line").alias("line")))
     first = lines.groupBy("line_set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
     earliest = links.groupBy("line_set").agg(F.min(F.struct("doc", "line")).alias("link"))
     known = first.join(earliest, "line_set", "left").select("line_set", "n", F.least("first", "link").alias("match"))
