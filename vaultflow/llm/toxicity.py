@@ -21,8 +21,8 @@ from vaultflow.llm._common import LOWER_ALNUM, fold, id_type, map_batches, read_
 
 BITS = 20
 MAX_ROWS = 20_000
-EPOCHS = 2
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 0.1
+EPOCHS = 3
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.1
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5))
 
@@ -43,7 +43,9 @@ def learn(rows, bits: int = BITS, epochs: int = EPOCHS, alpha: float = ALPHA, be
     """(indices, weights) that are not 0, from (features, label) rows in their order; the last index is the bias."""
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
-    rows = [(np.append(x, size - 1), y) for x, y in rows]
+    rows = [*rows]
+    for i, (x, y) in enumerate(rows):  # one by one, so that all rows are never held twice
+        rows[i] = (np.append(x, x.dtype.type(size - 1)), y)
     for _ in range(epochs):
         for x, y in rows:
             zx, nx = z[x], n[x]
@@ -89,7 +91,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: in
             rows += zip(b.column(0).to_pylist(), (np.frombuffer(x, np.int32) for x in b.column(2).to_pylist()), b.column(1).to_pylist())
         rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
         if rows:
-            at, w = learn([(x, y) for _, x, y in rows], bits, **how)
+            rows = [(x, y) for _, x, y in rows]
+            at, w = learn(rows, bits, **how)
             yield {"at": at.astype(np.int64), "w": w}
 
     extracted = map_batches(rows, extract, schema_of("key bigint, label double, x binary"))
