@@ -114,7 +114,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None
     number the pieces of a length as the tasks meet them."""
 
     def run(batches):
-        encode, end, task, seen = encoder(tokenizer_path).encode_bytes, int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId(), {}
+        own_encoder = encoder(tokenizer_path)
+        encode, end, task, seen = own_encoder.encode_bytes, int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId(), {}
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -129,6 +130,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None
                     rows.append((doc, piece, start, length, zlib.crc32(own), task, nth, np.frombuffer(own, np.uint32).astype(np.int32) if keep_ids else None))
                     start, piece = start + length, piece + 1
             yield dict(zip(names, zip(*rows) if rows else [()] * 8))
+        own_encoder.forget()
 
     names = ("doc_id", "piece", "start", "length", "ids_crc32", "task", "nth", "ids")
     schema = schema_of(f"doc_id {id_type(docs, id_col)}, piece int, start bigint, length bigint, ids_crc32 bigint, task int, nth bigint" + ", ids array<int>" * keep_ids)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import id_type, map_batches, read_table, schema_of, texts_of
+from vaultflow.llm._common import id_type, map_batches, materialise, read_table, schema_of, texts_of
 from vaultflow.llm.tokens import encoder
 
 #: Lengths in one block of the suffix sums; a text has under 2**31 bytes, so there are at most 2**19 blocks.
@@ -21,9 +21,10 @@ def encoded_lengths(docs: DataFrame, tokenizer_path: str | None = None, id_col:
     """doc_id, n_tokens of every whole text."""
 
     def run(batches):
-        count = encoder(tokenizer_path).count
+        own = encoder(tokenizer_path)
         for b in batches:
-            yield {"doc_id": b.column(0), "n_tokens": [count(x) for x in b.column(1).to_pylist()]}
+            yield {"doc_id": b.column(0), "n_tokens": [own.count(x) for x in b.column(1).to_pylist()]}
+        own.forget()
 
     return map_batches(texts_of(docs, id_col, text_col), run, schema_of(f"doc_id {id_type(docs, id_col)}, n_tokens bigint"))
 
@@ -76,4 +77,5 @@ def quantile(sums: DataFrame, q: float) -> int | None:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_sums(length_histogram(encoded_lengths(read_table(spark, sf_dir, "documents"))))
+    histogram = length_histogram(encoded_lengths(read_table(spark, sf_dir, "documents")))
+    return suffix_sums(materialise(histogram, "histogram"))  # it is read twice

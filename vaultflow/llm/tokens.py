@@ -6,9 +6,10 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from functools import cached_property
 
 #: Pieces kept at most; then the cache starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 250_000
 
 _ENCODERS: dict[str, ByteBPE] = {}
 
@@ -38,9 +39,8 @@ class ByteBPE:
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         said = json.load(open(path, encoding="utf-8"))
         self.special = re.compile("|".join(re.escape(x["content"]) for x in said.get("added_tokens", [])) or r"(?!)")
         byte_of = _bytes_of_characters()
@@ -49,6 +49,13 @@ class ByteBPE:
         self.uncut = re.compile(r" (?:\s|$)")
         self.cache = _Cache(self.fast)
 
+    @cached_property
+    def whole(self):
+        """Loaded only where a text needs it: it takes much memory."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def encode_bytes(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if self.special.search(text):
@@ -61,6 +68,10 @@ class ByteBPE:
         head = array("I", self.fast(first)).tobytes() if first else b""
         return head + b"".join(map(self.cache.__getitem__, rest))
 
+    def forget(self) -> None:
+        """Frees the cache; a worker may serve other operators next."""
+        self.cache.clear()
+
     def count(self, text: str) -> int:
         return len(self.encode_bytes(text)) // 4
 
