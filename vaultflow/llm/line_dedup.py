@@ -153,9 +153,10 @@ def lines_and_rarity(rows: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFram
 _PREFIX = np.dtype([("word", "<u8"), ("set", "<i8"), ("p0", "<u8"), ("p1", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("size", "<i4"), ("place", "<u2"), ("side", "u1")])
 
 
-def prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction, parts: int) -> DataFrame:
+def prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction, parts: int, least: int = 0) -> DataFrame:
     """part, data: the words of all sets' prefixes, dealt by word into parts, many packed together. Of equal sets a task
-    sends the earliest; words that no other line has are left out, as are sets too small to be similar to any but their equals."""
+    sends the earliest; words that no other line has are left out, as are sets too small to be similar to any but their equals,
+    and those of fewer than least words."""
     sent = rows.sparkSession.sparkContext.broadcast(counts)
     bits = len(counts).bit_length() - 1
     num, den = threshold.numerator, threshold.denominator
@@ -176,7 +177,7 @@ def prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction, parts: in
                     if s not in seen or at < seen[s]:
                         seen[s], new[k] = at, True
                 # The largest set that x is similar to has den/num of its size; they may differ in (den - num) / (num + den) of both.
-                new &= (den - num) * (x.size + x.size * den // num) >= num + den
+                new &= ((den - num) * (x.size + x.size * den // num) >= num + den) & (x.size >= least)
                 often = sent.value[(x.words >> np.uint64(_BITS - bits)).astype(np.int64)]
                 order = np.argsort((x.line << 16) | often, kind="stable")
                 place = np.arange(len(order)) - x.start[x.line]  # order keeps lines where they are
@@ -255,7 +256,7 @@ def _candidates(threshold: Fraction, tries: int, few: int, most: int, parts: int
         n = len(y)
         return {
             "kind": np.zeros(n, np.int8), "word": g["word"][y].view(np.int64), "line_set": g["set"][y], "doc": g["doc"][y], "line": g["line"][y], "other": g["set"][x], "other_doc": g["doc"][x],
-            "other_line": g["line"][x], "more": more, "part": np.zeros(n, np.int32), "data": [None] * n,
+            "other_line": g["line"][x], "more": more, "part": g["size"][y], "data": [None] * n,
         }
 
     def again(g: np.ndarray):
@@ -306,12 +307,12 @@ def _candidates(threshold: Fraction, tries: int, few: int, most: int, parts: int
 
 
 def candidates(packed: DataFrame, threshold: Fraction, tries: int, few: int, most: int, parts: int, wanted=None) -> DataFrame:
-    """word, line_set, doc, line, other (an earlier set), other_doc, other_line, more."""
+    """word, line_set, doc, line, size, other (an earlier set), other_doc, other_line, more."""
     found = None
     while True:
         dealt = packed.repartition("part")
         out = materialise(map_batches(dealt, _candidates(threshold, tries, few, most, parts, wanted), schema_of(_CANDIDATE)), "candidates")
-        now = out.filter("kind = 0").drop("kind", "part", "data")
+        now = out.filter("kind = 0").drop("kind", "data").withColumnRenamed("part", "size")
         found = now if found is None else found.unionByName(now)
         packed = out.filter("kind = 1").select("part", "data")
         if packed.isEmpty():
@@ -383,11 +384,15 @@ def duplicate_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: st
     matched = tried.join(good, ["line_set", "other"])
     links = matched.select("line_set", F.col("other_doc").alias("doc"), F.col("other_line").alias("line"))
     # Where some of a word's candidates were left and all that were tried failed, all are tried.
-    open_ = tried.filter("more").select("word", "line_set").distinct().join(matched.select("word", "line_set").distinct(), ["word", "line_set"], "left_anti")
-    open_ = materialise(open_.select("line_set").distinct(), "open")
-    if not open_.isEmpty():
+    open_ = tried.filter("more").select("word", "line_set", "size").distinct().join(matched.select("word", "line_set").distinct(), ["word", "line_set"], "left_anti")
+    open_ = materialise(open_.groupBy("line_set").agg(F.min("size").alias("size")), "open")
+    smallest = open_.agg(F.min("size")).first()[0]
+    open_ = open_.select("line_set")
+    if smallest is not None:
+        # Mostly long lines, whose parities tell little: what they may match is long too.
+        least = -(-threshold.numerator * smallest // threshold.denominator)
         wanted = docs.sparkSession.sparkContext.broadcast(BloomFilter.of(open_))
-        rest = candidates(prefixes(rows, counts, threshold, parts), threshold, 0, few, most, parts, wanted)
+        rest = candidates(prefixes(rows, counts, threshold, parts, least), threshold, 0, few, most, parts, wanted)
         rest = materialise(rest.join(open_, "line_set", "left_semi"), "rest")
         links = links.unionByName(rest.join(verified(rest, rows, threshold), ["line_set", "other"]).select("line_set", F.col("other_doc").alias("doc"), F.col("other_line").alias("line")))
     first = lines.groupBy("line_set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
