@@ -145,7 +145,7 @@ class BloomFilter:
         at = map_batches(members.dropna(), places, schema_of("at bigint")).distinct()
         packed = np.zeros(1 << (bits - 3), np.uint8)
         for i, piece in _pieces(at.select((F.col("at") / F.lit(1 << 19)).cast("long").alias("piece"), (F.col("at") % F.lit(1 << 19)).alias("place")), 1 << 19):
-            packed[i << 16 : (i + 1) << 16] = np.packbits(np.frombuffer(piece, bool), bitorder="little")
+            packed[i << 16 : (i + 1) << 16] = np.frombuffer(piece, np.uint8)
         return cls(packed, bits)
 
     def may_hold(self, x: np.ndarray) -> np.ndarray:
@@ -154,7 +154,7 @@ class BloomFilter:
 
 
 def _pieces(rows: DataFrame, size: int) -> Iterator[tuple[int, bytes]]:
-    """(piece, whether each place is there, as bytes) of rows (piece, place), put together on the executors."""
+    """(piece, a bit for each place, whether it is there) of rows (piece, place), put together on the executors."""
 
     def run(batches):
         held: dict[int, np.ndarray] = {}
@@ -163,21 +163,24 @@ def _pieces(rows: DataFrame, size: int) -> Iterator[tuple[int, bytes]]:
             for p in np.unique(piece).tolist():
                 own = piece == p
                 held.setdefault(p, np.zeros(size, bool))[place[own]] = True
-        yield {"piece": list(held), "data": [a.tobytes() for a in held.values()]}
+        yield {"piece": list(held), "data": [np.packbits(a, bitorder="little").tobytes() for a in held.values()]}
 
     for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).toLocalIterator():
         yield r["piece"], bytes(r["data"])
 
 
 _PIECE = 1 << 16
+_COUNT = np.dtype([("at", "<u2"), ("n", "<u2")])
 
 
 def packed_counts(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Pieces of an array of counts that are not all 0, as unsigned 32-bit numbers."""
-    for i in range(0, len(counts), _PIECE):
-        own = counts[i : i + _PIECE]
-        if own.any():
-            yield i // _PIECE, own.astype(np.uint32).tobytes()
+    """Pieces of an array of counts, as the places and values that are not 0; values stop at 65535."""
+    at = np.flatnonzero(counts)
+    for piece in np.unique(at // _PIECE).tolist():
+        own = at[np.searchsorted(at, piece * _PIECE) : np.searchsorted(at, (piece + 1) * _PIECE)]
+        out = np.empty(len(own), _COUNT)
+        out["at"], out["n"] = own % _PIECE, np.minimum(counts[own], 65_535)
+        yield piece, out.tobytes()
 
 
 def summed_counts(rows: DataFrame, bits: int) -> np.ndarray:
@@ -188,12 +191,12 @@ def summed_counts(rows: DataFrame, bits: int) -> np.ndarray:
         held: dict[int, np.ndarray] = {}
         for b in batches:
             for piece, data in zip(b.column(0).to_pylist(), b.column(1)):
-                own = np.frombuffer(data.as_buffer(), np.uint32)
-                held[piece] = held.get(piece, 0) + own.astype(np.int64)
+                own = np.frombuffer(data.as_buffer(), _COUNT)
+                held.setdefault(piece, np.zeros(_PIECE, np.int64))[own["at"]] += own["n"]  # a place stands once in each
         yield {"piece": list(held), "data": [np.minimum(x, 65_535).astype(np.uint16).tobytes() for x in held.values()]}
 
     out = np.zeros(1 << bits, np.uint16)
     for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).toLocalIterator():
         own = np.frombuffer(r["data"], np.uint16)
-        out[r["piece"] * _PIECE : r["piece"] * _PIECE + len(own)] = own
+        out[r["piece"] * _PIECE :][: len(own)] = own[: len(out)]
     return out
