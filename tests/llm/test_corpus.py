@@ -175,6 +175,26 @@ def test_lm_edges(spark, docs, nothing):
     assert {(r["n_known"], r["base_score"], r["score"]) for r in lm_scoring.score(one).collect()} == {(0, 0.0, 0.0)}
 
 
+def test_lm_keeps_what_recurs_however_large_the_table(spark, rows):
+    """Over 200 000 tokens a share of them is more than two occurrences. Every score is that of the whole tree in one place."""
+    r = np.random.default_rng(1)
+    filler = [(1000 + i, " ".join(f"w{k}" for k in r.integers(0, 3000, 3000))) for i in range(110)]
+    docs = spark.createDataFrame([*rows, *filler, *((5000 + i, "seldom seen pair of words") for i in range(4))], "doc_id long, text string").repartition(4)
+    cut = lm_scoring.materialise(lm_scoring.blocks(docs, 40_000), "blocks")
+    counts = lm_scoring.word_counts(cut)
+    n, v = (int(x) for x in counts.selectExpr("sum(n)", "count(*)").first())
+    assert n > 300_000
+    totals = lm_scoring.Totals(n, v, lm_scoring.DISCOUNT)
+    tree, known = lm_scoring.grow(cut, counts, totals, share=0.0), {x["word"]: x["n"] for x in counts.collect()}
+    want = {}
+    for b in cut.collect():
+        tokens, _, starts = lm_scoring._tokens(bytes(b["tokens"]), b["words"], b["sizes"])
+        each = lm_scoring.token_scores(tree, totals, tokens, starts, np.array([known.get(x, 0) for x in tokens.tolist()]))
+        want |= dict(zip(b["ids"], np.add.reduceat(each, starts)))
+    got = {x["doc_id"]: x["score"] for x in lm_scoring.score(docs, block_tokens=40_000).collect()}
+    assert got == pytest.approx(want)
+
+
 @pytest.mark.parametrize("how", [{}, {"most": 8, "tries": 1, "few": 1, "rarity_bits": 5}])
 def test_lines(spark, rows, docs, how):
     got = {(r["doc"], r["line"]): (r["match_doc"], r["match_line"]) if r["match_doc"] is not None else None for r in line_dedup.duplicate_lines(docs, **how).collect()}

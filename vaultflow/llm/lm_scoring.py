@@ -1,14 +1,17 @@
 """LM scoring: a probabilistic suffix tree over words.
 
-Contexts are up to `depth` words. A context is kept if it is frequent - at least `share` of all
-training tokens - and if its distribution of next tokens diverges from that of its longest proper
-suffix by at least `divergence` nats a token; suffixes of kept contexts are kept too. A context's
+Contexts are up to `depth` words. A context is kept if its distribution of next tokens diverges from
+that of its longest proper suffix by at least `divergence` nats a token; suffixes of kept contexts
+are kept too. Sequences that occur LEAST times or more in the training tokens count, however large
+the input; what a context gives to rarer next tokens goes to its parent. A context's
 distribution is smoothed by its parent's, and the root's by absolute discounting, with the
 discounted mass for the one unknown word. Each token is scored in the longest suffix state.
 
-Counts of words are exact, over all training texts, and never broadcast: blocks of documents ask
-for the words that they hold. Frequent contexts and next tokens number at most 1/share a depth,
-whatever the input, so the tree is broadcast.
+Counts of words and sequences are exact, over all training texts, and neither they nor the tree are
+ever broadcast or collected: blocks of documents ask for the words, contexts and sequences that they
+hold. Sequences are known by hashes of 64 bits. Bitmaps of fixed size say which may recur; where they
+fill up, more sequences are sent that turn out to be rare. grow(), prune() and token_scores() are the
+same tree in one place, for small tables.
 
 Defined results: a null text is empty and is one token, the end; a row of null id is scored and
 learned from; repeated rows count and are scored one by one; without training rows every token is
@@ -22,14 +25,15 @@ from typing import NamedTuple
 
 import numpy as np
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import LOWER, crc_fold, id_type, map_batches, materialise, read_table, schema_of, texts_of
+from vaultflow.llm._common import LOWER, BloomFilter, crc_fold, id_type, join_by_unique_key, map_batches, materialise, read_table, schema_of, texts_of
 
 DEPTH = 3
-SHARE = 1e-5
+#: Sequences of fewer occurrences are not learned from.
+LEAST = 2
 DIVERGENCE = 0.05
 DISCOUNT = 0.75
 STRENGTH = 10.0
@@ -38,6 +42,9 @@ FOLDS = 10
 BLOCK_TOKENS = 2_000_000
 #: The hash of the token that ends a document; no word is hashed to it but by chance.
 END = np.uint64(0)
+#: Places of a bitmap of what may recur (two to four a token, at most 2**MOST_BITS), and those of one piece of it.
+MOST_BITS, _PIECE_BITS = 27, 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Numbers(dict):
@@ -182,9 +189,9 @@ def frequent_sequences(cut: DataFrame, words: np.ndarray, levels: list[np.ndarra
     return Level(rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
 
 
-def grow(cut: DataFrame, counts: DataFrame, totals: Totals, depth: int = DEPTH, share: float = SHARE, divergence: float = DIVERGENCE, strength: float = STRENGTH) -> Tree:
-    """The tree. Of each length at most 1/share sequences come to the driver."""
-    least = max(2.0, share * totals.tokens)
+def grow(cut: DataFrame, counts: DataFrame, totals: Totals, depth: int = DEPTH, share: float = 0.0, divergence: float = DIVERGENCE, strength: float = STRENGTH) -> Tree:
+    """The tree in one place, for small tables: all its sequences come to the driver. score() makes the one of share 0, and never here."""
+    least = max(float(LEAST), share * totals.tokens)
     common = counts.filter(F.col("n") >= least).orderBy("word").toPandas()
     words, n = common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64)
     levels: list[Level] = []
@@ -258,21 +265,197 @@ def token_scores(tree: Tree, totals: Totals, tokens: np.ndarray, starts: np.ndar
     return np.log10(p)
 
 
-def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, divergence: float = DIVERGENCE, discount: float = DISCOUNT, strength: float = STRENGTH, folds: int = FOLDS, block_tokens: int = BLOCK_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _chains(tokens: np.ndarray, starts: np.ndarray, depth: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each length up to depth + 1 the hash of the words that end at each token, and whether the document has so many."""
+    words = tokens.view(np.uint64)
+    keys, fits = [words], [np.ones(len(words), bool)]
+    for k in range(depth):
+        x = (_before(keys[k]) ^ np.uint64(k + 1)) * _MIX
+        x = ((x ^ (x >> np.uint64(29))) + words) * _MIX
+        x = (x ^ (x >> np.uint64(32))) * _MIX
+        ok = _before(fits[k])
+        ok[starts] = False  # no context runs over the start of a document
+        keys.append(x ^ (x >> np.uint64(29)))
+        fits.append(ok)
+    return keys, fits
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    return np.append(x[:1], x[:-1])
+
+
+def _recurs(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(65 - (8 * len(bitmap)).bit_length())
+    return ((bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def _candidates(keys: list[np.ndarray], fits: list[np.ndarray], bitmaps: list[np.ndarray], k: int) -> np.ndarray:
+    """Where sequences of k + 2 words end whose start and end may recur."""
+    if not k:
+        return fits[1]
+    may = _recurs(bitmaps[k - 1], keys[k]) & fits[k]
+    return fits[k + 1] & may & _before(may)
+
+
+def _block_tokens(b, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, starts of documents and whether each token is of training, of row i of (tokens, words, sizes, held_out)."""
+    row = [b.column(j)[i] for j in range(4)]
+    sizes, held = np.asarray(row[2].values), np.array(row[3].values.to_pylist(), bool)
+    tokens, _, starts = _tokens(row[0].as_py(), row[1].values, sizes)
+    return tokens, starts, np.repeat(~held, sizes)
+
+
+def recurring(cut: DataFrame, bitmaps: list[Broadcast], bits: int) -> np.ndarray:
+    """A bitmap of the places of sequences one longer than those of bitmaps[-1] that training texts hold twice or more; of fixed
+    size, and never wrong about those that do."""
+    k = len(bitmaps)
+    size = 1 << _PIECE_BITS
+
+    def places(batches):
+        maps = [x.value for x in bitmaps]
+        for b in batches:
+            for i in range(b.num_rows):
+                tokens, starts, train = _block_tokens(b, i)
+                keys, fits = _chains(tokens, starts, k + 1)
+                at, n = np.unique(keys[k + 1][_candidates(keys, fits, maps, k) & train] >> np.uint64(64 - bits), return_counts=True)
+                piece = (at >> np.uint64(_PIECE_BITS)).astype(np.int64)
+                own = ((at & np.uint64(size - 1)) << np.uint64(1) | (n > 1).astype(np.uint64)).astype(np.uint32)
+                ends = np.append(np.flatnonzero(np.diff(piece)) + 1, len(piece)) if len(piece) else np.empty(0, np.int64)
+                firsts = np.append(0, ends[:-1])[: len(ends)]
+                yield {"piece": piece[firsts], "data": [own[s:e].tobytes() for s, e in zip(firsts.tolist(), ends.tolist())]}
+
+    def merged(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for piece, data in zip(b.column(0).to_pylist(), b.column(1)):
+                x = np.frombuffer(data.as_buffer(), np.uint32)
+                n = held.setdefault(piece, np.zeros(size, np.uint8))
+                n[x >> 1] = np.minimum(n[x >> 1] + 1 + (x & 1), 2)  # a place stands once in each
+        yield {"piece": list(held), "data": [np.packbits(n > 1, bitorder="little").tobytes() for n in held.values()]}
+
+    schema = schema_of("piece bigint, data binary")
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    found = map_batches(cut.select("tokens", "words", "sizes", "held_out"), places, schema)
+    for r in map_batches(found.repartition("piece"), merged, schema).toLocalIterator():
+        out[r["piece"] * size // 8 :][: size // 8] = np.frombuffer(r["data"], np.uint8)
+    return out
+
+
+def sequences(cut: DataFrame, bitmaps: list[Broadcast], least: int = LEAST) -> DataFrame:
+    """level (words less 2), key, context (its words but the last), suffix (its words but the first) and n of all sequences that
+    training texts hold least times or more."""
+
+    def run(batches):
+        maps = [x.value for x in bitmaps]
+        for b in batches:
+            for i in range(b.num_rows):
+                tokens, starts, train = _block_tokens(b, i)
+                keys, fits = _chains(tokens, starts, len(maps))
+                for k, bitmap in enumerate(maps):
+                    at = np.flatnonzero(_candidates(keys, fits, maps, k) & train)
+                    at = at[_recurs(bitmap, keys[k + 1][at])]
+                    key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
+                    at = at[first]
+                    yield {"level": np.full(len(at), k, np.int8), "key": key.view(np.int64), "context": keys[k][at - 1].view(np.int64), "suffix": keys[k][at].view(np.int64), "n": n}
+
+    found = map_batches(cut.select("tokens", "words", "sizes", "held_out"), run, schema_of("level tinyint, key bigint, context bigint, suffix bigint, n bigint"))
+    return found.groupBy("level", "key").agg(F.sum("n").alias("n"), F.first("context").alias("context"), F.first("suffix").alias("suffix")).filter(F.col("n") >= least)
+
+
+def states(cut: DataFrame, counts: DataFrame, totals: Totals, bitmaps: list[Broadcast], divergence: float = DIVERGENCE, strength: float = STRENGTH) -> tuple[DataFrame, DataFrame]:
+    """The tree as tables: context and left of all kept contexts, and key and own of their sequences; left and own as in Tree."""
+    every = materialise(sequences(cut, bitmaps), "sequences")
+    # The probability of a sequence's last word in its longest kept proper context; words first.
+    root = F.greatest(F.col("n") - totals.reserved, F.lit(1e-300)) / totals.tokens
+    shorter = counts.select(F.col("word").alias("key"), "n", root.alias("below"))
+    contexts, own = [], []
+    for k in range(len(bitmaps)):
+        level = every.filter(F.col("level") == k).drop("level")
+        seen = level.groupBy("context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("rows"))
+        of = seen.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+        unseen = F.greatest(F.col("total") - F.col("seen"), F.lit(0))
+        of = materialise(of.select("context", "rows", "total", unseen.alias("unseen"), ((unseen + strength) / (F.col("total") + strength)).alias("left")), "contexts")
+        ends = level.groupBy("suffix").agg(F.count(F.lit(1)).alias("ends"))
+        parent = shorter.select(F.col("key").alias("suffix"), F.col("below").alias("parent")).join(ends, "suffix")
+        both = join_by_unique_key(join_by_unique_key(level, of, "context", "rows"), materialise(parent, "parents"), "suffix", "ends")
+        alone = F.col("n") / (F.col("total") + strength)
+        both = both.select("key", "context", "suffix", "n", "parent", alone.alias("own"), (alone + F.col("left") * F.col("parent")).alias("p"), (F.col("n") / F.col("total")).alias("share"))
+        both = materialise(both, "level")
+        gains = both.groupBy("context").agg(F.sum(F.col("share") * F.log(F.greatest("p", F.lit(1e-300)) / F.greatest("parent", F.lit(1e-300)))).alias("gain"))
+        gain = F.col("gain") + F.col("unseen") / F.col("total") * F.log("left")
+        of = materialise(of.join(gains, "context").select("context", "rows", "left", (gain >= divergence).alias("keep")), "contexts")
+        contexts.append(of)
+        own.append(both)
+        if k + 1 < len(bitmaps):
+            below = F.when(F.col("keep"), F.col("p")).otherwise(F.col("parent"))
+            shorter = materialise(join_by_unique_key(both.select("key", "context", "n", "p", "parent"), of.drop("left"), "context", "rows").select("key", "n", below.alias("below")), "shorter")
+    # Suffixes of kept contexts are kept.
+    kept = [of.filter("keep").drop("keep") for of in contexts]
+    for k in range(len(kept) - 1, 0, -1):
+        more = own[k - 1].select(F.col("key").alias("context"), "suffix").join(kept[k].select("context"), "context", "left_semi").select(F.col("suffix").alias("context"))
+        ids = kept[k - 1].select("context").union(more).distinct()
+        kept[k - 1] = materialise(contexts[k - 1].drop("keep").join(ids, "context", "left_semi"), "kept")
+    tables = [[of.select("context", "left"), join_by_unique_key(x.select("key", "context", "own"), of.drop("left"), "context", "rows").select("key", "own")] for of, x in zip(kept, own)]
+    lefts, owns = tables[0]
+    for a, b in tables[1:]:
+        lefts, owns = lefts.unionByName(a), owns.unionByName(b)
+    return materialise(lefts, "states"), materialise(owns, "own")
+
+
+def _found(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of x are among keys (ascending), and the values of those, else 0."""
+    at = _places(keys, x.view(np.int64))
+    return at >= 0, np.where(at >= 0, values[np.maximum(at, 0)] if len(values) else 0.0, 0.0)
+
+
+def _sorted(keys, values) -> tuple[np.ndarray, np.ndarray]:
+    keys, values = np.asarray(keys, np.int64), np.asarray(values, np.float64)
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, discount: float = DISCOUNT, strength: float = STRENGTH, folds: int = FOLDS, block_tokens: int = BLOCK_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs."""
     spark = docs.sparkSession
     cut = materialise(blocks(docs, block_tokens, folds, id_col, text_col), "blocks")
     counts = materialise(word_counts(cut), "words")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     totals = Totals(int(n), int(v), discount)
-    tree = grow(cut, counts, totals, depth, share, divergence, strength)
+    bitmaps: list[Broadcast] = []
+    bits = min(MOST_BITS, max(_PIECE_BITS, totals.tokens.bit_length() + 1))
+    for _ in range(depth if n else 0):
+        bitmaps.append(spark.sparkContext.broadcast(recurring(cut, bitmaps, bits)))
     asked = cut.select("block", F.posexplode("words").alias("at", "word")).join(counts, "word")
     answered = asked.groupBy("block").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
-    sent = spark.sparkContext.broadcast((tuple(tree), totals))
+    rows = cut.select("block", "ids", "held_out", "sizes", "tokens", "words").join(answered, "block", "left")
+    if bitmaps:
+        lefts, owns = states(cut, counts, totals, bitmaps, divergence, strength)
+        wanted = spark.sparkContext.broadcast(BloomFilter.of(lefts.select("context"), 24))
+
+        def asks(batches):
+            bloom, maps = wanted.value, [x.value for x in bitmaps]
+            for b in batches:
+                for i in range(b.num_rows):
+                    tokens, starts, _ = _block_tokens(b, i)
+                    keys, fits = _chains(tokens, starts, len(maps))
+                    block = b.column(4)[i].as_py()
+                    for k, bitmap in enumerate(maps):
+                        context = _before(keys[k])[fits[k + 1]]
+                        held, back = np.unique(context, return_inverse=True)
+                        may = bloom.may_hold(held.view(np.int64))
+                        key = keys[k + 1][fits[k + 1]][may[back]]
+                        key = np.unique(key[_recurs(bitmap, key)])
+                        for kind, x in enumerate((held[may], key)):
+                            yield {"block": np.full(len(x), block), "kind": np.full(len(x), kind, np.int8), "key": x.view(np.int64)}
+
+        ask = materialise(map_batches(cut.select("tokens", "words", "sizes", "held_out", "block"), asks, schema_of("block bigint, kind tinyint, key bigint")), "asks")
+        for kind, table, names in ((0, lefts, ("context", "left")), (1, owns, ("key", "own"))):
+            found = ask.filter(F.col("kind") == kind).select("block", F.col("key").alias(names[0])).join(table, names[0])
+            rows = rows.join(found.groupBy("block").agg(F.collect_list(names[0]).alias(f"{names[1]}_keys"), F.collect_list(names[1]).alias(names[1])), "block", "left")
+
+    levels = len(bitmaps)
 
     def run(batches):
-        tree, totals = sent.value
-        tree = Tree(*tree)
         for b in batches:
             for i in range(b.num_rows):
                 row = {c: b.column(j)[i] for j, c in enumerate(b.schema.names)}
@@ -283,15 +466,21 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, divergence:
                 sizes = np.asarray(row["sizes"].values)
                 tokens, numbers, starts = _tokens(row["tokens"].as_py(), words, sizes)
                 c = known[numbers]
+                p = 10.0 ** totals.root(c)
+                if levels:
+                    left, own = (_sorted(row[f"{x}_keys"].values, row[x].values) if row[x].is_valid else _sorted([], []) for x in ("left", "own"))
+                    keys, fits = _chains(tokens, starts, levels)
+                    for k in range(levels):
+                        state, rest = _found(*left, _before(keys[k]))
+                        p = np.where(state & fits[k + 1], _found(*own, keys[k + 1])[1] + rest * p, p)
                 yield {
                     "doc_id": row["ids"].values, "held_out": row["held_out"].values, "n_tokens": sizes,
                     "n_known": np.add.reduceat((c > 0).astype(np.int64), starts), "train_tokens": np.full(len(sizes), totals.tokens),
                     "base_score": np.add.reduceat(totals.base(c), starts),
-                    "score": np.add.reduceat(token_scores(tree, totals, tokens, starts, c), starts),
+                    "score": np.add.reduceat(np.log10(p), starts),
                 }
 
     kind = id_type(docs, id_col)
-    rows = cut.select("block", "ids", "held_out", "sizes", "tokens", "words").join(answered, "block", "left")
     return map_batches(rows, run, schema_of(f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))
 
 
