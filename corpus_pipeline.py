@@ -21,7 +21,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one_of_each(docs)
+    """Of fingerprints within op7's radius one document stays; then documents go whose five-word shingles are like an earlier one's
+    (Jaccard 0.8 or more), most of which lie beyond that radius."""
+    return line_dedup.drop_similar(materialise(simhash.keep_one_of_each(docs), "one_of_each"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import sys
 
 import pytest
 
-from tests_llm_helpers import contamination, fingerprint, matches
+from tests_llm_helpers import components_of, contamination, fingerprint, matches
 
 
 def test_stages(spark, data, tmp_path):
@@ -37,6 +37,34 @@ def test_stages(spark, data, tmp_path):
             assert bad and set(after) == set(before) - bad
 
 
+def test_near_copies_go(spark):
+    """Near copies of a similarity of 0.8 or more go, beyond radius 2 as well; others beyond it stay."""
+    import random
+
+    import corpus_pipeline
+
+    r = random.Random(3)
+    vocabulary = [f"word{i}" for i in range(500)]
+    texts = {}
+    for i in range(20):
+        w = r.choices(vocabulary, k=150)
+        for k, changes in enumerate((0, 1, 2, 3, 4, 9)):
+            own = list(w)
+            for at in r.sample(range(150), changes):
+                own[at] = f"other{r.random()}"
+            texts[10 * i + k] = " ".join(own)
+    texts |= {1000: None, 1001: "two words", 1002: "x"}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in texts.items() if (w := (t or "").split())}
+    like = lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    prints = {i: fingerprint(t) for i, t in texts.items()}
+    one_of_each = {i for i, c in zip(sorted(texts), components_of(sorted(texts), [prints[i] for i in sorted(texts)], 2)) if i == c}
+    want = {i for i in one_of_each if i not in sets or not any(j < i and like(i, j) for j in sets.keys() & one_of_each)}
+    far = {i for i in sets if i not in want and min((prints[i] ^ prints[j]).bit_count() for j in sets if j != i) > 2}
+    assert far and 1001 in want
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {x["doc_id"] for x in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()} == want
+
+
 def test_run(spark, data):
     import corpus_pipeline
 

@@ -441,6 +441,36 @@ def remove_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str =
     return side(False).unionByName(marked.mapInArrow(cut, docs.schema))
 
 
+def shingled(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text: of each document one line, whose words are the hashes of its shingles (of all its words, if they are fewer)."""
+
+    def line(text: str) -> str:
+        raw = _SMALL[np.frombuffer(text.encode(), np.uint8)]
+        edge = np.diff(np.concatenate([[True], _BLANK[raw], [True]]).astype(np.int8))
+        words = word_hashes(raw, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1))
+        k = min(shingle, len(words))
+        n = len(words) - k + 1
+        h = np.zeros(n if k else 0, np.uint64)
+        for i in range(k):
+            h = (h ^ (h >> np.uint64(29))) * _MIX + words[i : n + i]
+        return h.tobytes().hex(" ", 8)
+
+    def run(batches):
+        for b in batches:
+            yield {"doc_id": b.column(0), "text": [line(t) for t in b.column(1).to_pylist()]}
+
+    rows = texts_of(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_batches(rows, run, schema_of("doc_id bigint, text string"))
+
+
+def drop_similar(docs: DataFrame, threshold: Fraction = THRESHOLD, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = 24) -> DataFrame:
+    """docs, all columns, without the documents to which an earlier one is similar: the Jaccard similarity of their sets of
+    shingles, verified on whole sets, is threshold or more. Documents without words and those of null id stay."""
+    found = duplicate_lines(shingled(docs, shingle, id_col, text_col), threshold, rarity_bits=rarity_bits)
+    gone = materialise(found.filter(F.col("match_doc").isNotNull()).select(F.col("doc").alias("__gone")), "similar")
+    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines (with words), n_removed, n_links (removed lines whose match is in another document),
     class_id (the smallest doc_id among the document and its lines' matches), removed (their numbers, joined by commas)."""
