@@ -220,3 +220,25 @@ def test_remove_lines(spark, rows, docs, nothing, sf):
     got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_dedup.op9_line_dedup(spark, sf(rows)).collect()}
     lines = Counter(i for i, _ in matches(rows))
     assert got == {i: (lines[i], len(gone.get(i, ()))) for i, _ in rows}
+
+
+def test_all_links_and_classes(spark, rows, sf):
+    """n_links against all pairs of lines, class_id against their closure; a chain of documents and a group of similar lines among them."""
+    base = [f"g{k}" for k in range(40)]
+    rows = [*rows, (900, "p q r s t u"), (901, "p q r s t u\nv w x y z"), (902, "v w x y z"), *((910 + k, " ".join([*base[:k], f"h{k}", *base[k + 1 :]])) for k in range(40))]
+    lines = [(i, frozenset(x.split())) for i, t in rows if i is not None for x in lower(t).split("\n") if x.split()]
+    links, label = Counter(), {i: i for i, _ in rows}
+    pairs = [(i, j) for k, (i, s) in enumerate(lines) for j, o in lines[:k] if i != j and 5 * len(s & o) >= 4 * len(s | o)]
+    for i, j in pairs:
+        links[i] += 1
+        links[j] += 1
+    changed = True
+    while changed:
+        changed = False
+        for i, j in pairs:
+            least = min(label[i], label[j])
+            changed |= label[i] != label[j]
+            label[i] = label[j] = least
+    got = {r["doc_id"]: (r["n_links"], r["class_id"]) for r in line_dedup.op9_line_dedup(spark, sf(rows)).collect()}
+    assert label[902] == 900 and links[900] == 1 and links[949] == 39
+    assert got == {i: (links[i], label[i]) for i, _ in rows}

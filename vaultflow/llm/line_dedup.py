@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultflow.llm._common import LOWER, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, read_table, schema_of, summed_counts, texts_of
+from vaultflow.llm.components import connected_components
 
 THRESHOLD = Fraction(4, 5)
 RARITY_BITS = 22
@@ -471,19 +472,48 @@ def drop_similar(docs: DataFrame, threshold: Fraction = THRESHOLD, shingle: int
     return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
 
 
+def all_links(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = RARITY_BITS, most: int = MOST) -> tuple[DataFrame, DataFrame]:
+    """(doc, line, match_doc, match_line as of duplicate_lines, and links: the lines of all documents, its own too, that are similar to
+    the line, itself included; pairs of documents of which lines are similar: a, b, enough to connect all such documents;
+    doc, inside: for each document those of its lines' links that are within it). Every candidate is verified."""
+    rows = texts_of(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    lines, counts = lines_and_rarity(rows, rarity_bits)
+    lines = lines.distinct()  # rows that share an id are one document
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    good = verified(candidates(prefixes(rows, counts, threshold, parts), threshold, 0, FEW, most, parts), rows, threshold)
+    both = good.select(F.col("line_set").alias("a"), F.col("other").alias("b"))
+    both = materialise(both.union(both.select("b", "a")).distinct(), "similar")
+    sets = materialise(lines.groupBy("line_set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("n")), "sets")
+    others = both.join(sets.select(F.col("line_set").alias("b"), "first", "n"), "b")
+    others = materialise(others.groupBy("a").agg(F.min("first").alias("link"), F.sum("n").alias("more")).withColumnRenamed("a", "line_set"), "others")
+    known = sets.join(others, "line_set", "left").select("line_set", "n", F.col("first.doc").alias("first_doc"), F.least("first", "link").alias("match"), (F.col("n") + F.coalesce("more", F.lit(0))).alias("links"))
+    out = materialise(join_by_unique_key(lines, materialise(known, "known"), "line_set", "n"), "links")
+    firsts = sets.select("line_set", F.col("first.doc").alias("doc"))
+    ends = both.filter("a < b").join(firsts.select(F.col("line_set").alias("a"), F.col("doc").alias("x")), "a").join(firsts.select(F.col("line_set").alias("b"), F.col("doc").alias("y")), "b")
+    edges = out.select(F.col("doc").alias("a"), F.col("first_doc").alias("b")).union(ends.select("x", "y")).filter("a <> b")
+    held = materialise(out.groupBy("doc", "line_set").agg(F.count(F.lit(1)).alias("c")), "held")
+    near = held.select("doc", F.col("line_set").alias("a"), "c").join(both, "a").join(held.select("doc", F.col("line_set").alias("b"), F.col("c").alias("d")), ["doc", "b"])
+    inside = held.select("doc", (F.col("c") * F.col("c")).alias("k")).union(near.select("doc", F.col("c") * F.col("d"))).groupBy("doc").agg(F.sum("k").alias("inside"))
+    later = F.struct("doc", "line") > F.col("match")
+    matched = (F.when(later, F.col(f"match.{c}")).alias(f"match_{c}") for c in ("doc", "line"))
+    return out.select("doc", "line", *matched, "links"), edges, inside
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_lines (with words), n_removed, n_links (removed lines whose match is in another document),
-    class_id (the smallest doc_id among the document and its lines' matches), removed (their numbers, joined by commas)."""
+    """doc_id, n_lines (with words), n_removed, n_links (all pairs of a line of the document and a similar line of another one),
+    class_id (the smallest doc_id that chains of such pairs reach), removed (the removed lines' numbers, joined by commas)."""
     docs = read_table(spark, sf_dir, "documents")
-    found = duplicate_lines(docs)
+    found, edges, inside = all_links(docs)
+    roots = connected_components(edges).select(F.col("node").alias("doc"), F.col("root").alias("least"))
     gone = F.col("match_doc").isNotNull()
     per_doc = found.groupBy("doc").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(gone.cast("long")).alias("n_removed"), F.sum((gone & (F.col("match_doc") != F.col("doc"))).cast("long")).alias("n_links"),
-        F.min("match_doc").alias("least"), F.sort_array(F.collect_list(F.when(gone, F.col("line")))).alias("removed"),
+        F.count(F.lit(1)).alias("n_lines"), F.sum(gone.cast("long")).alias("n_removed"), F.sum("links").alias("links"),
+        F.sort_array(F.collect_list(F.when(gone, F.col("line")))).alias("removed"),
     )
+    per_doc = per_doc.join(inside, "doc").join(roots, "doc", "left").withColumn("n_links", F.col("links") - F.col("inside"))
     all_ = docs.select("doc_id").join(per_doc, F.col("doc_id").cast("long") == F.col("doc"), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     return all_.select(
-        "doc_id", zero("n_lines"), zero("n_removed"), zero("n_links"), F.least("doc_id", F.coalesce("least", "doc_id")).alias("class_id"),
+        "doc_id", zero("n_lines"), zero("n_removed"), zero("n_links"), F.coalesce("least", "doc_id").alias("class_id"),
         F.coalesce(F.concat_ws(",", F.col("removed").cast("array<string>")), F.lit("")).alias("removed"),
     )
