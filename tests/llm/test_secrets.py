@@ -27,6 +27,24 @@ def test_rules_are_those_of_the_plain_patterns(text):
     assert sorted(secrets.base_spans(text.encode("latin-1", "replace"))) == sorted(plain(text))
 
 
+def test_runs_of_one_byte_longer_than_the_window():
+    for c in secrets.CLASSES:
+        for n in (c.window - 1, c.window, c.window + 1, 500):
+            for b in c.alphabet:
+                text = "rule " + chr(b) * n + " end"
+                base, added = secrets.scan_text(text)
+                assert base == plain(text) and not added
+
+
+def test_random_keys_without_a_keyword():
+    import random
+    import string
+
+    r = random.Random(1)
+    found = sum(bool(secrets.scan_text("see " + "".join(r.choices(string.ascii_letters + string.digits, k=24)) + " there")[1]) for _ in range(300))
+    assert found >= 285
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text("abcdefABCDEF0123456789", min_size=10, max_size=60))
 def test_entropy_by_increments_is_that_of_each_window(text):
