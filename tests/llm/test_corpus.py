@@ -195,7 +195,7 @@ def test_lm_keeps_what_recurs_however_large_the_table(spark, rows):
     assert got == pytest.approx(want)
 
 
-@pytest.mark.parametrize("how", [{}, {"most": 8, "tries": 1, "few": 1, "rarity_bits": 5}])
+@pytest.mark.parametrize("how", [{}, {"hot": 3, "chunk": 4, "rarity_bits": 12}, {"hot": 1, "chunk": 16, "rarity_bits": 5}])
 def test_lines(spark, rows, docs, how):
     got = {(r["doc"], r["line"]): (r["match_doc"], r["match_line"]) if r["match_doc"] is not None else None for r in line_dedup.duplicate_lines(docs, **how).collect()}
     assert got == matches(rows)
@@ -222,6 +222,46 @@ def test_remove_lines(spark, rows, docs, nothing, sf):
     assert got == {i: (lines[i], len(gone.get(i, ()))) for i, _ in rows}
 
 
+def test_rows_that_share_an_id_lose_nothing(spark):
+    line = "keep this line please now"
+    rows = [(1, f"one two three four five six\n{line}"), (1, "one two three four five six\nother words of a second text\nand more of them here"), (2, f"seven eight nine\n{line} again"), (2, "ten eleven twelve"), (2, "ten eleven twelve"), (None, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sorted(((r["doc_id"] or 0, r["text"]) for r in line_dedup.remove_lines(docs).collect()), key=str)
+    ver = {t: h for t, h in docs.select("text", line_dedup.text_hash("text")).collect()}
+    first, second = sorted(rows[:2], key=lambda r: ver[r[1]])
+    want = [first, (1, "\n".join(second[1].split("\n")[1:])), (2, "seven eight nine"), (2, "ten eleven twelve"), (2, "ten eleven twelve"), (0, line)]
+    assert out == sorted(want, key=str)
+
+
+def test_all_columns_of_the_lines_query(spark, sf):
+    """Every column against all pairs of lines, with repeated ids, empty and very long texts."""
+    r = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(60)]
+    lines = [" ".join(r.choice(words, r.integers(1, 12))) for _ in range(60)]
+    lines += [x + f" extra{k}" for k, x in enumerate(lines[:30])] + [" ".join(f"long{k}" for k in range(20_000)), " ".join(f"long{k}" for k in range(100, 20_100)), ""]
+    rows = [(int(i), "\n".join(r.choice(lines, r.integers(0, 9)))) for i in r.integers(0, 50, 70)] + [(60, lines[-3]), (61, lines[-2]), (62, None), (63, "one\n" * 700), (None, "one")]
+    ver = dict(spark.createDataFrame(rows, "doc_id long, text string").select("text", line_dedup.text_hash("text")).distinct().collect())
+    keyed = {(i, ver[t]): t for i, t in rows if i is not None}
+    every = sorted((i, v, n, frozenset(x.split())) for (i, v), t in keyed.items() for n, x in enumerate((t or "").split("\n")) if x.split())
+    sets = sorted({s for *_, s in every}, key=sorted)
+    like = {(a, b) for a in sets for b in sets if 4 * max(len(a), len(b)) <= 5 * min(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b)}
+    n_lines, removed, links, label = Counter(), {}, Counter(), {i: i for i, _ in rows if i is not None}
+    pairs = [(x[:2], y[:2]) for k, x in enumerate(every) for y in every[:k] if x[:2] != y[:2] and (x[3], y[3]) in like]
+    for x, y in pairs:
+        links[x] += 1
+        links[y] += 1
+    for _ in label:
+        for (i, _), (j, _) in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    for k, (i, v, n, s) in enumerate(every):
+        n_lines[i, v] += 1
+        if any((s, t) in like for *_, t in every[:k]):
+            removed.setdefault((i, v), []).append(n)
+    want = [(i, n_lines[k], len(removed.get(k, ())), links[k], label[i], ",".join(map(str, removed.get(k, ())))) for i, t in rows if i is not None for k in [(i, ver[t])]] + [(None, 0, 0, 0, None, "")]
+    got = line_dedup.op9_line_dedup(spark, sf(rows)).select("doc_id", "n_lines", "n_removed", "n_links", "class_id", "removed").collect()
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_all_links_and_classes(spark, rows, sf):
     """n_links against all pairs of lines, class_id against their closure; a chain of documents and a group of similar lines among them."""
     base = [f"g{k}" for k in range(40)]

@@ -120,6 +120,60 @@ def join_by_unique_key(left: DataFrame, right: DataFrame, key: str, weight: str,
     )
 
 
+def text_hash(text_col: str) -> Column:
+    """A hash of the text (null: empty); rows that share an id are told apart by it."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """name, or it behind underscores: no name of columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def _sides(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, str, str]:
+    """The rows of docs whose id and text's hash may not and may be among keys (doc, ver), the latter with both behind all columns, and those
+    two's names. A Bloom filter of fixed size says so; rows of null id are never there."""
+    bloom = docs.sparkSession.sparkContext.broadcast(BloomFilter.of(keys.select(F.xxhash64("doc", "ver"))))
+    id_name, ver = free_name(docs.columns, "own_id"), free_name(docs.columns, "own_ver")
+    more = docs.withColumn(id_name, F.col(f"`{id_col}`").cast(keys.schema["doc"].dataType)).withColumn(ver, text_hash(text_col))
+    at = free_name(more.columns, "own_key")
+    more = more.withColumn(at, F.when(F.col(id_name).isNotNull(), F.xxhash64(id_name, ver)))
+    n = len(docs.columns)
+
+    def side(wanted: bool, keep: int):
+        def run(batches):
+            for b in batches:
+                key = b.column(n + 2)
+                there = np.asarray(key.is_valid())
+                hit = bloom.value.may_hold(np.asarray(key.fill_null(0))) & there
+                yield b.select(list(range(keep))).filter(pa.array(hit == wanted))
+
+        return more.mapInArrow(run, T.StructType(more.schema.fields[:keep]))
+
+    return side(False, n), side(True, n + 2), id_name, ver
+
+
+def parted(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Rows of docs that marks (doc, ver: the text's hash; and more columns) doesn't name, all columns; and the others, those columns and then what else
+    marks says, by place. Only rows that may be named are shuffled; a few that aren't are among the others, with nulls."""
+    rest, some, id_name, ver = _sides(docs, marks.select("doc", "ver"), id_col, text_col)
+    named = [free_name(some.columns, f"mark_{c}") for c in marks.columns]
+    m = marks.toDF(*named)
+    joined = some.join(m, (F.col(id_name) == F.col(named[marks.columns.index("doc")])) & (F.col(ver) == F.col(named[marks.columns.index("ver")])), "left")
+    return rest, joined.select(*(F.col(f"`{c}`") for c in docs.columns), *(F.col(n) for c, n in zip(marks.columns, named) if c not in ("doc", "ver")))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, all columns, without the rows that gone (doc, ver: the text's hash) names. Only rows that may go are shuffled."""
+    rest, some, id_name, ver = _sides(docs, gone.select("doc", "ver"), id_col, text_col)
+    named = gone.select(F.col("doc").alias("mark_" + id_name), F.col("ver").alias("mark_" + ver))
+    left = some.join(named, (F.col(id_name) == F.col("mark_" + id_name)) & (F.col(ver) == F.col("mark_" + ver)), "left_anti")
+    return rest.unionByName(left.select(*(F.col(f"`{c}`") for c in docs.columns)))
+
+
 class BloomFilter:
     """A set of longs of fixed size: 2**bits bits, whatever the number of its members; when it
     fills up it answers yes more often, never no for a member."""

@@ -1,44 +1,50 @@
 """Line dedup: an exact set-similarity join of lines.
 
-A line's words, lower-cased, are a set. Sets are ordered by rarity; two sets whose Jaccard
-similarity is `threshold` or more share a word within their prefixes, and sets that share one are
-candidates if their sizes, the places of that word, and parity bitmaps allow the similarity. What
-passes is verified on the whole sets. A line is removed if an earlier line - by doc_id, then by its
-number - is that similar to it.
+A line's words, lower-cased, are a set. The words of a set are ordered by rarity; two sets whose
+Jaccard similarity is `threshold` or more share a word within their prefixes. Sets that share one
+are candidates if their sizes, the places of that word, the words just before it, and parity
+bitmaps allow that it is the first word that both have and that they are so similar. The few sets
+that have a candidate are then gathered, word by word, with all their words: the pairs of which it is
+the first common word, each of which is met just once, are verified on the whole sets. Pairs are
+never rows: a task returns for each of its sets how many lines are similar, the earliest of them, and
+the smallest of those that its pairs connect. A line is removed if an earlier line - by doc_id, then
+by a hash of the text, then by its number - is that similar to it.
 
 Rarity is counted over all lines in a table of hashed counts of fixed size; any order that all
-lines share keeps the join exact. Equal sets are one candidate. Where a set has more than FEW
-candidates of a word, the earliest TRIES are tried, and all others only where those fail, so that
-groups of similar lines need no list of all their pairs. Words with more than MOST sets are
+lines share keeps the join exact. Equal sets are one, with the number of their lines. Sets that have
+a word that HOT or more lines have are dealt by word and set, cut into chunks of CHUNK sets, and
 compared chunk by chunk, over all tasks.
 
+Words and sets are known by hashes of 64 bits.
+
 Defined results: lines end at line feeds; a line without words is never removed and matches
 nothing; a null text has no line; documents of a null id stay as they are and match nothing; rows
-that share an id count as one document, whose equal lines of equal numbers are one line; ids are
-integers; an empty table gives no rows; other columns are kept (remove_lines) or never read.
+that share an id are documents of their own if their texts differ, and one document if they don't;
+ids are integers; an empty table gives no rows; other columns are kept (remove_lines) or never read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from fractions import Fraction
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import LOWER, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, read_table, schema_of, summed_counts, texts_of
+from vaultflow.llm._common import LOWER, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, parted, read_table, schema_of, summed_counts, text_hash, texts_of, without
 from vaultflow.llm.components import connected_components
 
 THRESHOLD = Fraction(4, 5)
 RARITY_BITS = 22
-#: A set's candidates of a word are all tried if they are at most FEW, else the earliest TRIES first.
-FEW, TRIES = 32, 8
-MOST = 4096
-#: Documents whose words are held at once.
-_AT_ONCE = 512
-_BITS = 40
+HOT, CHUNK = 16_384, 8_192
+#: Documents, and bytes of their texts, whose words are held at once; a longer text stands alone.
+_AT_ONCE, _BYTES_AT_ONCE = 512, 1 << 21
+#: Words of sets that are compared at once, and those of one step of a verification.
+_WORDS_AT_ONCE = 1 << 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _END = b"\xff"  # ends a document's text; is in no UTF-8 text
 _SLICE = 1 << 20
@@ -46,6 +52,7 @@ _SLICE = 1 << 20
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32, 255]] = True
 _SMALL = np.frombuffer(LOWER, np.uint8)
+_ZERO = np.uint64(0)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,36 +87,42 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
         s, e = start[i:j] - first, end[i:j] - first
         out[i:j] = (run[e] - run[s]) * down[s]
         i = j
+    if len(_POWERS[0]) > _SLICE:  # after a very long word
+        _POWERS[0], _POWERS[1] = _POWERS[0][:_SLICE].copy(), _POWERS[1][:_SLICE].copy()
     out = (out ^ (out >> np.uint64(32))) * _MIX
     return (out ^ (out >> np.uint64(29))) * _MIX
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-class LineSets:
-    """The lines with words of some documents: document (its place), number, size, and their distinct words, as
-    hashes of 40 bits in ascending order, one line after the other."""
-
-    def __init__(self, texts: list[str]):
-        raw = _SMALL[np.frombuffer(_END.join([*(t.encode() for t in texts), b""]), np.uint8)]
-        edge = np.diff(np.concatenate([[True], _BLANK[raw], [True]]).astype(np.int8))
-        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        breaks = np.flatnonzero((raw == 10) | (raw == 255))
-        docs = np.flatnonzero(raw[breaks] == 255) + 1  # lines up to and with each document's last
-        of = np.repeat(np.arange(len(docs)), np.diff(docs, prepend=0))
-        number = np.arange(len(of)) - np.repeat(np.append(0, docs[:-1])[: len(docs)], np.diff(docs, prepend=0))
-        line = np.searchsorted(breaks, start)
-        key = np.sort((line.astype(np.uint64) << np.uint64(_BITS)) | (word_hashes(raw, start, end) >> np.uint64(64 - _BITS)))
-        if len(key):
-            key = key[np.append(True, key[1:] != key[:-1])]
-        size = np.bincount((key >> np.uint64(_BITS)).astype(np.int64), minlength=len(of))
+def _sorted_by(line: np.ndarray, lines: int, *then: tuple[np.ndarray, int]) -> np.ndarray:
+    """The order of words by line, then by values of so many bits each; by its high bits at once where those tell all apart."""
+    left = 64 - max(1, (lines - 1).bit_length())
+    key = line.astype(np.uint64) << np.uint64(left)
+    for x, bits in then:
+        own = min(bits, left)
+        left -= own
+        key |= (x >> np.uint64(bits - own)) << np.uint64(left)
+    order = np.argsort(key)
+    now = key[order]
+    tie = np.flatnonzero(now[1:] == now[:-1])
+    if any((x[order[tie]] != x[order[tie + 1]]).any() for x, _ in then):
+        return np.lexsort([x for x, _ in reversed(then)] + [line])
+    return order
+
+
+class Sets:
+    """Lines with words, as sets: doc (the place of its document), number, size; words, their distinct hashes in ascending order,
+    one line after the other; line, that of each word; start, the place of each line's first."""
+
+    def __init__(self, doc: np.ndarray, number: np.ndarray, line: np.ndarray, words: np.ndarray):
+        """doc, number: of all lines, with words or not; line: the line of each word."""
+        order = _sorted_by(line, len(doc), (words, 64))
+        line, words = line[order], words[order]
+        new = np.ones(len(words), bool)
+        new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
+        line, self.words = line[new], words[new]
+        size = np.bincount(line, minlength=len(doc))
         some = np.flatnonzero(size)
-        self.doc, self.number, self.size = of[some], number[some], size[some]
-        self.words = key & np.uint64((1 << _BITS) - 1)
+        self.doc, self.number, self.size = doc[some], number[some], size[some]
         self.start = np.cumsum(self.size) - self.size
         self.line = np.repeat(np.arange(len(some)), self.size)
 
@@ -117,403 +130,515 @@ class LineSets:
         """A 64-bit hash of each set."""
         if not len(self.size):
             return np.empty(0, np.int64)
-        x = (self.words ^ (self.words >> np.uint64(17))) * _MIX
+        x = (self.words ^ (self.words >> np.uint64(31))) * _MIX
         x = (x ^ (x >> np.uint64(29))) * _MIX
         return np.add.reduceat(x ^ (x >> np.uint64(32)), self.start).view(np.int64)
 
-    def parities(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits: each says whether an odd number of the set's words have it, so that no more bits differ than words do."""
-        if not len(self.size):
-            return np.empty(0, np.uint64), np.empty(0, np.uint64)
-        at, high = self.words & np.uint64(63), self.words & np.uint64(64)
-        bit = np.uint64(1) << at
-        zero = np.uint64(0)
-        return np.bitwise_xor.reduceat(np.where(high == zero, bit, zero), self.start), np.bitwise_xor.reduceat(np.where(high != zero, bit, zero), self.start)
+    def by_rarity(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of each set in their order by rarity, and how often lines have them."""
+        bits = np.uint64(65 - len(counts).bit_length())
+        often = counts[self.words >> bits]
+        order = _sorted_by(self.line, len(self.size), (often.astype(np.uint64), 16), (self.words, 64))
+        return self.words[order], often[order]
+
+
+def _words_in(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of texts, each with _END behind it, and where words start and end."""
+    raw = _SMALL[np.frombuffer(_END.join([*(t.encode() for t in texts), b""]), np.uint8)]
+    edge = np.diff(np.concatenate([[True], _BLANK[raw], [True]]).astype(np.int8))
+    return raw, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+def line_sets(texts: list[str]) -> Sets:
+    """The sets of words of all lines of some texts."""
+    raw, start, end = _words_in(texts)
+    breaks = np.flatnonzero((raw == 10) | (raw == 255))
+    docs = np.flatnonzero(raw[breaks] == 255) + 1  # lines up to and with each document's last
+    of = np.repeat(np.arange(len(docs)), np.diff(docs, prepend=0))
+    number = np.arange(len(of)) - np.repeat(np.append(0, docs[:-1])[: len(docs)], np.diff(docs, prepend=0))
+    return Sets(of, number, np.searchsorted(breaks, start), word_hashes(raw, start, end))
+
+
+def shingle_sets(texts: list[str], shingle: int = 5) -> Sets:
+    """Of each text one set: its shingles, or of fewer words the whole sequence."""
+    raw, start, end = _words_in(texts)
+    doc = np.searchsorted(np.flatnonzero(raw == 255), start)
+    words, n = word_hashes(raw, start, end), len(start)
+    first = np.searchsorted(doc, doc)
+    h, at = np.zeros(n, np.uint64), np.arange(n)
+    whole = at == first
+    for i in range(shingle):
+        own = at[: n - i][doc[i:] == doc[: n - i]] if i < n else at[:0]
+        h[own] = (h[own] ^ (h[own] >> np.uint64(29))) * _MIX + words[own + i]
+        if i == shingle - 1:
+            whole[own] = True
+    every = np.arange(len(texts))
+    return Sets(every, np.zeros(len(texts), np.int64), doc[whole], h[whole])
+
+
+Make = Callable[[list[str]], Sets]
+
+
+def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts that are of _AT_ONCE texts and _BYTES_AT_ONCE bytes at most, or of one text."""
+    ends = np.cumsum(np.asarray(pc.binary_length(texts)), dtype=np.int64)
+    i = 0
+    while i < len(ends):
+        before = int(ends[i - 1]) if i else 0
+        j = min(i + _AT_ONCE, max(i + 1, int(np.searchsorted(ends, before + _BYTES_AT_ONCE, side="right"))))
+        yield i, j
+        i = j
+
+
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ver (a hash of the text), text of the rows that have an id."""
+    return texts_of(docs, id_col, text_col, text_hash(text_col).alias("ver")).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "ver", "text")
+
+
+def _each(b) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+    """ids, vers and texts of a batch (doc_id, ver, text), a portion at a time."""
+    ids, vers, texts = np.asarray(b.column(0)), np.asarray(b.column(1)), b.column(2)
+    for i, j in _portions(texts):
+        yield ids[i:j], vers[i:j], texts.slice(i, j - i).to_pylist()
 
 
-def lines_and_rarity(rows: DataFrame, bits: int = RARITY_BITS) -> tuple[DataFrame, np.ndarray]:
-    """(doc, line, line_set of each line with words; in how many lines the words of each hash's place are, up to 65535), from one pass over rows (doc_id, text)."""
+def lines_and_rarity(rows: DataFrame, make: Make = line_sets, bits: int = RARITY_BITS, within: Fraction | None = None) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(doc, ver, line, line_set of each line with words; doc, ver, and, with a threshold within, inside: pairs of similar lines within
+    it, of each row; in how many lines the words of each hash's place are, up to 65535), from one pass over rows (doc_id, ver, text)."""
 
     def run(batches):
         total = np.zeros(1 << bits, np.int64)
         for b in batches:
-            ids, texts = np.asarray(b.column(0)), b.column(1)
-            for i in range(0, b.num_rows, _AT_ONCE):
-                x = LineSets(texts.slice(i, _AT_ONCE).to_pylist())
-                np.add.at(total, (x.words >> np.uint64(_BITS - bits)).astype(np.int64), 1)
-                yield {"kind": np.zeros(len(x.doc), np.int8), "a": ids[i : i + _AT_ONCE][x.doc], "line": x.number, "b": x.ids(), "data": [None] * len(x.doc)}
+            for ids, vers, texts in _each(b):
+                x = make(texts)
+                np.add.at(total, x.words >> np.uint64(64 - bits), 1)
+                own, n, m = x.ids(), len(x.doc), len(ids)
+                yield {
+                    "kind": np.repeat(np.array([0, 2], np.int8), [n, m]), "a": np.append(ids[x.doc], ids), "ver": np.append(vers[x.doc], vers), "line": np.append(x.number, np.zeros(m, np.int64)),
+                    "b": np.append(own, _inside(x, own, m, within) if within else np.zeros(m, np.int64)), "data": pa.nulls(n + m, pa.binary()),
+                }
         for piece, data in packed_counts(total):
-            yield {"kind": [1], "a": [piece], "line": [0], "b": [0], "data": [data]}
+            yield {"kind": [1], "a": [piece], "ver": [0], "line": [0], "b": [0], "data": [data]}
 
-    both = materialise(map_batches(rows, run, schema_of("kind tinyint, a bigint, line int, b bigint, data binary")), "lines")
-    lines = both.filter("kind = 0").select(F.col("a").alias("doc"), "line", F.col("b").alias("line_set"))
-    return lines, summed_counts(both.filter("kind = 1").select(F.col("a").alias("piece"), "data"), bits)
+    both = materialise(map_batches(rows, run, schema_of("kind tinyint, a bigint, ver bigint, line int, b bigint, data binary")), "lines")
+    lines = both.filter("kind = 0").select(F.col("a").alias("doc"), "ver", "line", F.col("b").alias("line_set"))
+    of_docs = both.filter("kind = 2").select(F.col("a").alias("doc"), "ver", F.col("b").alias("inside"))
+    if not of_docs.groupBy("doc", "ver").count().filter("count > 1").isEmpty():
+        lines = lines.distinct()  # rows of equal id and text are one document
+    return lines, of_docs, summed_counts(both.filter("kind = 1").select(F.col("a").alias("piece"), "data"), bits)
 
 
-#: A word of a set's prefix. side: 0 pairs with all; 1 and 2 only with each other.
-_PREFIX = np.dtype([("word", "<u8"), ("set", "<i8"), ("p0", "<u8"), ("p1", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("size", "<i4"), ("place", "<u2"), ("side", "u1")])
+#: A word of a set's prefix, its place there, and the two words before it (0: none). place and size end at 65535.
+_PREFIX = np.dtype([("word", "<u8"), ("set", "<i8"), ("p0", "<u8"), ("p1", "<u8"), ("before", "<u8"), ("earlier", "<u8"), ("size", "<u2"), ("place", "<u2")])
+_MOST = 65_535
 
 
-def prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction, parts: int, least: int = 0) -> DataFrame:
-    """part, data: the words of all sets' prefixes, dealt by word into parts, many packed together. Of equal sets a task
-    sends the earliest; words that no other line has are left out, as are sets too small to be similar to any but their equals,
-    and those of fewer than least words."""
-    sent = rows.sparkSession.sparkContext.broadcast(counts)
-    bits = len(counts).bit_length() - 1
-    num, den = threshold.numerator, threshold.denominator
+def _parities(words: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each set: each says whether an odd number of the set's words have it, so that no more bits differ than words do."""
+    if not len(start):
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    bit, high = np.uint64(1) << (words & np.uint64(63)), (words & np.uint64(64)) > 0
+    return np.bitwise_xor.reduceat(np.where(high, _ZERO, bit), start), np.bitwise_xor.reduceat(np.where(high, bit, _ZERO), start)
 
-    def run(batches):
-        seen = {}
-        for b in batches:
-            ids, texts, out = np.asarray(b.column(0)), b.column(1), []
-            for i in range(0, b.num_rows, _AT_ONCE):
-                x = LineSets(texts.slice(i, _AT_ONCE).to_pylist())
-                if not len(x.size):
-                    continue
-                own, doc = x.ids(), ids[i : i + _AT_ONCE][x.doc]
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                new = np.zeros(len(own), bool)
-                for k, (s, *at) in enumerate(zip(own.tolist(), doc.tolist(), x.number.tolist())):
-                    if s not in seen or at < seen[s]:
-                        seen[s], new[k] = at, True
-                # The largest set that x is similar to has den/num of its size; they may differ in (den - num) / (num + den) of both.
-                new &= ((den - num) * (x.size + x.size * den // num) >= num + den) & (x.size >= least)
-                often = sent.value[(x.words >> np.uint64(_BITS - bits)).astype(np.int64)]
-                order = np.argsort((x.line << 16) | often, kind="stable")
-                place = np.arange(len(order)) - x.start[x.line]  # order keeps lines where they are
-                length = x.size - -(-num * x.size // den) + 1
-                at = np.flatnonzero((place < length[x.line]) & new[x.line] & (often[order] > 1))
-                line, p = x.line[at], x.parities()
-                r = np.empty(len(at), _PREFIX)
-                r["word"], r["set"], r["p0"], r["p1"], r["doc"] = x.words[order[at]], own[line], p[0][line], p[1][line], doc[line]
-                r["line"], r["size"], r["place"], r["side"] = x.number[line], x.size[line], np.minimum(place[at], 65_535), 0
-                out.append(r)
-                if sum(map(len, out)) > 200_000:
-                    yield from _dealt(np.concatenate(out), parts)
-                    out = []
-            if out:
-                yield from _dealt(np.concatenate(out), parts)
-
-    return map_batches(rows, run, schema_of("part int, data binary"))
-
-
-def _dealt(r: np.ndarray, parts: int):
-    part = ((r["word"] * _MIX) >> np.uint64(33)).astype(np.int64) % parts
+
+def _prefixes(words: np.ndarray, often: np.ndarray, x: Sets, own: np.ndarray, of: np.ndarray, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of _PREFIX of the sets for which `of` is true, and where their words lie in words (by rarity). Words that no other
+    line has are left out, as are sets too small to be similar to any but their equals."""
+    num, den = threshold.numerator, threshold.denominator
+    # The largest set that x is similar to has den/num of its size; they may differ in (den - num) / (num + den) of both.
+    of = of & ((den - num) * (x.size + x.size * den // num) >= num + den)
+    place = np.arange(len(words)) - x.start[x.line]
+    length = np.where(of, x.size - -(-num * x.size // den) + 1, 0)
+    at = np.flatnonzero((place < length[x.line]) & (often > 1))
+    line, place = x.line[at], place[at]
+    p = _parities(words, x.start)
+    r = np.empty(len(at), _PREFIX)
+    r["word"], r["set"], r["p0"], r["p1"] = words[at], own[line], p[0][line], p[1][line]
+    r["before"], r["earlier"] = (np.where(place >= k, words[np.maximum(at - k, 0)], _ZERO) for k in (1, 2))
+    r["size"], r["place"] = np.minimum(x.size[line], _MOST), np.minimum(place, _MOST)
+    return r, at
+
+
+def _dealt(r: np.ndarray, part: np.ndarray, parts: int, kind: int) -> dict:
     order = np.argsort(part, kind="stable")
     ends = np.searchsorted(part[order], np.arange(parts + 1))
     some = np.flatnonzero(np.diff(ends))
-    yield {"part": some, "data": [r[order[ends[k] : ends[k + 1]]].tobytes() for k in some.tolist()]}
+    return {"kind": np.full(len(some), kind, np.int8), "part": some, "data": [r[order[ends[k] : ends[k + 1]]].tobytes() for k in some.tolist()]}
+
 
+def prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction, parts: int, make: Make = line_sets, hot: int = HOT) -> DataFrame:
+    """kind, part, data: the words of all sets' prefixes, many packed together, dealt into parts by word (kind 0) or, words that
+    hot lines or more have, by word and set (kind 1). Of equal sets a task sends one."""
+    sent = rows.sparkSession.sparkContext.broadcast(counts)
 
-_CANDIDATE = "kind tinyint, word bigint, line_set bigint, doc bigint, line int, other bigint, other_doc bigint, other_line int, more boolean, part int, data binary"
+    def run(batches):
+        seen, held, size = set(), [], 0
 
+        def out():
+            r, often = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            is_hot = often >= hot
+            for kind, own in enumerate((r[~is_hot], r[is_hot])):
+                if len(own):
+                    by = own["word"] if not kind else own["word"] ^ own["set"].view(np.uint64)
+                    yield _dealt(own, ((by * _MIX) >> np.uint64(33)).astype(np.int64) % parts, parts, kind)
 
-def _candidates(threshold: Fraction, tries: int, few: int, most: int, parts: int, wanted):
-    """Packed prefixes to candidates (kind 0: a later set and an earlier one; more: others of its word were left) and to
-    packed prefixes of large groups, to deal again (kind 1)."""
+        for b in batches:
+            for _, _, texts in _each(b):
+                x = make(texts)
+                own = x.ids()
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                new = np.array([s not in seen and not seen.add(s) for s in own.tolist()], bool)
+                words, often = x.by_rarity(sent.value)
+                r, at = _prefixes(words, often, x, own, new, threshold)
+                held.append((r, often[at]))
+                size += len(r)
+                if size > 200_000:
+                    yield from out()
+                    size = 0
+        if size:
+            yield from out()
+
+    return map_batches(rows, run, schema_of("kind tinyint, part int, data binary"))
+
+
+def candidate_pairs(key: np.ndarray, r: np.ndarray, threshold: Fraction, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places of rows of _PREFIX of equal key that may be similar and of which the row's word may be the first in common.
+    Rows are sorted by key and size. side: 0 pairs with all; 1 and 2 only with each other."""
     num, den = threshold.numerator, threshold.denominator
+    size, place = r["size"].astype(np.int64), r["place"].astype(np.int64)
+    p0, p1, before, earlier = (np.ascontiguousarray(r[c]) for c in ("p0", "p1", "before", "earlier"))
+    a, d = np.arange(len(key)), 0
+    while True:
+        d += 1
+        a = a[: np.searchsorted(a, len(key) - d)]
+        a = a[(key[a] == key[a + d]) & (num * size[a + d] <= den * size[a])]  # once beyond, always beyond
+        if not len(a):
+            return
+        x, y = a, a + d
+        if side is not None:
+            ok = (side[x] == 0) | (side[x] != side[y])
+            x, y = x[ok], y[ok]
+        # Words in which they may differ, times num + den; sizes that end at _MOST tell nothing.
+        room = np.where(size[y] < _MOST, (den - num) * (size[x] + size[y]), 1 << 60)
+        # Words before the first that both have are of one set only, so none of them is equal.
+        u, v, s, t = before[x], before[y], earlier[x], earlier[y]
+        ok = ((num + den) * (place[x] + place[y]) <= room) & ((u == _ZERO) | ((u != v) & (u != t))) & ((s == _ZERO) | ((s != v) & (s != t)))
+        x, y, room = x[ok], y[ok], room[ok]
+        ok = (num + den) * (np.bitwise_count(p0[x] ^ p0[y]).astype(np.int64) + np.bitwise_count(p1[x] ^ p1[y])) <= room
+        if ok.any():
+            yield x[ok], y[ok]
+
+
+def _in_common(number: np.ndarray, start: np.ndarray, x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """How many of the first nx words of set x the first ny words of set y have, for each pair. number: of each word, by value."""
+    out = np.zeros(len(x), np.int64)
+    ends, i = np.cumsum(nx + ny), 0
+    while i < len(x):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + _WORDS_AT_ONCE, side="right")))
+        n = np.concatenate([nx[i:j], ny[i:j]])
+        first = np.concatenate([start[x[i:j]], start[y[i:j]]])
+        of = np.repeat(np.tile(np.arange(j - i), 2), n)
+        at = np.arange(len(of)) + np.repeat(first - (np.cumsum(n) - n), n)
+        both = (of << 32) | number[at]
+        both.sort()
+        out[i:j] = np.bincount(both[1:][both[1:] == both[:-1]] >> 32, minlength=j - i)
+        i = j
+    return out
 
-    def pairs(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of rows of equal word that pass the filters; g is sorted by word and size."""
-        word, size, place, side, own = (np.ascontiguousarray(g[c]) for c in ("word", "size", "place", "side", "set"))
-        size, place, p0, p1 = size.astype(np.int64), place.astype(np.int64), np.ascontiguousarray(g["p0"]), np.ascontiguousarray(g["p1"])
-        found, a, d = [], np.arange(len(g)), 0
-        while True:
-            d += 1
-            a = a[a + d < len(g)]
-            a = a[(word[a] == word[a + d]) & (num * size[a + d] <= den * size[a])]  # once beyond, always beyond
-            if not len(a):
-                break
-            b = a + d
-            room = (den - num) * (size[a] + size[b])  # words in which they may differ, times num + den
-            # Words before the first that both have are of one set only.
-            ok = (num + den) * (place[a] + place[b]) <= room
-            x, y = a[ok], b[ok]
-            differ = np.bitwise_count(p0[x] ^ p0[y]).astype(np.int64) + np.bitwise_count(p1[x] ^ p1[y])
-            ok = ((num + den) * differ <= room[ok]) & (own[x] != own[y]) & ((side[x] == 0) | (side[x] != side[y]))
-            if ok.any():
-                found.append((x[ok], y[ok]))
-        if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        a, b = (np.concatenate(x) for x in zip(*found))
-        later = (g["doc"][a] > g["doc"][b]) | ((g["doc"][a] == g["doc"][b]) & (g["line"][a] > g["line"][b]))
-        return np.where(later, a, b), np.where(later, b, a)
-
-    def chosen(g: np.ndarray) -> dict:
-        y, x = pairs(g)
-        if wanted is not None and len(y):
-            keep = wanted.value.may_hold(g["set"][y])
-            y, x = y[keep], x[keep]
-        order = np.lexsort((g["line"][x], g["doc"][x], y))
-        y, x = y[order], x[order]
-        more = np.zeros(len(y), bool)
-        if tries and len(y):
-            start = np.flatnonzero(np.append(True, y[1:] != y[:-1]))
-            n = np.diff(np.append(start, len(y)))
-            nth = np.arange(len(y)) - np.repeat(start, n)
-            keep, more = (np.repeat(n, n) <= few) | (nth < tries), np.repeat(n > few, n)
-            y, x, more = y[keep], x[keep], more[keep]
-        n = len(y)
-        return {
-            "kind": np.zeros(n, np.int8), "word": g["word"][y].view(np.int64), "line_set": g["set"][y], "doc": g["doc"][y], "line": g["line"][y], "other": g["set"][x], "other_doc": g["doc"][x],
-            "other_line": g["line"][x], "more": more, "part": g["size"][y], "data": [None] * n,
-        }
-
-    def again(g: np.ndarray):
-        """Chunks of most / 2 rows, each pair of them that may hold similar sizes under a word of its own."""
-        chunks = [g[i : i + most // 2] for i in range(0, len(g), most // 2)]
-        for i, a in enumerate(chunks):
-            for j, b in enumerate(chunks[i:], i):
-                if num * int(b["size"][0]) > den * int(a["size"][-1]):
-                    break
-                r = a.copy() if i == j else np.concatenate([a, b])
-                r["side"] = 0 if i == j else np.repeat([1, 2], [len(a), len(b)])
-                r["word"] = xxhash.xxh3_64_intdigest(b"%d %d %d" % (int(g["word"][0]), i, j))
-                for out in _dealt(r, parts):
-                    n = len(out["part"])
-                    none = np.zeros(n, np.int64)
-                    yield {"kind": np.ones(n, np.int8), "word": none, "line_set": none, "doc": none, "line": none.astype(np.int32), "other": none, "other_doc": none, "other_line": none.astype(np.int32), "more": none > 0, **out, "part": out["part"].astype(np.int32)}
 
-    def run(batches):
-        held = [np.frombuffer(x, _PREFIX) for b in batches for x in b.column(1).to_pylist()]
-        if not held:
-            return
-        g = np.concatenate(held)
+def similar_pairs(key: np.ndarray, r: np.ndarray, place: np.ndarray, own: np.ndarray, words: np.ndarray, start: np.ndarray, size: np.ndarray, threshold: Fraction, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets, each once: those whose similarity is threshold or more and of which the word of two rows of equal key is the
+    first in common. place, own: each row's place in its set's prefix, and its set; words: of all sets, each by rarity."""
+    num, den = threshold.numerator, threshold.denominator
+    held, n, number = [], 0, None
+    order = np.lexsort((r["size"], key))
+    key, r, place, own = key[order], r[order], place[order], own[order]
+    side = None if side is None else side[order]
+
+    def verified():
+        nonlocal number
+        if number is None:
+            number = np.unique(words, return_inverse=True)[1]
+        a, b = (np.concatenate(z) for z in zip(*held))
         held.clear()
-        # Of a set that several tasks sent the earliest line counts.
-        g = g[np.lexsort((g["line"], g["doc"], g["set"], g["side"], g["word"]))]
-        same = (g["word"][1:] == g["word"][:-1]) & (g["set"][1:] == g["set"][:-1]) & (g["side"][1:] == g["side"][:-1])
-        g = g[np.append(True, ~same)]
-        g = g[np.lexsort((g["size"], g["word"]))]
-        starts = np.append(0, np.flatnonzero(g["word"][1:] != g["word"][:-1]) + 1)
-        n = np.diff(np.append(starts, len(g)))
-        large = (n > most) & (g["side"][starts] == 0)
-        for s, k in zip(starts[large].tolist(), n[large].tolist()):
-            yield from again(g[s : s + k])
-        use = (n > 1) & ~large
-        if wanted is not None and len(g):
-            use &= np.logical_or.reduceat(wanted.value.may_hold(g["set"]), starts)
-        g = g[np.repeat(use, n)]
-        if not len(g):
-            return
-        # Whole groups, about 100 000 rows at a time.
-        starts = np.append(0, np.flatnonzero(g["word"][1:] != g["word"][:-1]) + 1)
-        cuts = starts[np.minimum(np.searchsorted(starts, np.arange(0, len(g), 100_000)), len(starts) - 1)]
-        cuts = np.unique(np.append(cuts, len(g)))
-        for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            yield chosen(g[s:e])
+        first = _in_common(number, start, own[a], place[a], own[b], place[b]) == 0
+        x, y = own[a[first]], own[b[first]]
+        ok = (num + den) * _in_common(number, start, x, size[x], y, size[y]) >= num * (size[x] + size[y])
+        return x[ok], y[ok]
+
+    for a, b in candidate_pairs(key, r, threshold, side):
+        held.append((a, b))
+        n += len(a)
+        if n > 100_000:
+            yield verified()
+            n = 0
+    if held:
+        yield verified()
+
+
+def _inside(x: Sets, own: np.ndarray, docs: int, threshold: Fraction) -> np.ndarray:
+    """For each document the pairs (in both orders, and of each line with itself) of its lines that are similar."""
+    out = np.zeros(docs, np.int64)
+    if not len(own):
+        return out
+    order = np.lexsort((own, x.doc))
+    starts = np.append(0, np.flatnonzero((own[order][1:] != own[order][:-1]) | (x.doc[order][1:] != x.doc[order][:-1])) + 1)
+    c = np.zeros(len(own), np.int64)
+    c[order[starts]] = np.diff(np.append(starts, len(own)))
+    np.add.at(out, x.doc, c * c)
+    words, often = x.by_rarity(np.bincount((x.words >> np.uint64(48)).astype(np.int64), minlength=1 << 16).clip(0, 65_535))
+    r, at = _prefixes(words, often, x, own, c > 0, threshold)
+    line = x.line[at]
+    key = (r["word"] ^ (r["word"] >> np.uint64(29))) * _MIX + x.doc[line].astype(np.uint64) * np.uint64(_BASE)
+    for a, b in similar_pairs(key, r, at - x.start[line], line, words, x.start, x.size, threshold):
+        np.add.at(out, x.doc[a], 2 * c[a] * c[b])
+    return out
+
+
+def _asks(threshold: Fraction, chunk: int):
+    """Packed prefixes, whole parts, to (kind 0: key, a word; line_set) of sets that have a candidate of the word, and (kind 1: key; lo, hi,
+    the sizes there; data) chunks of sets of a word that many lines have."""
+
+    def run(batches):
+        held: dict[int, list] = {0: [], 1: []}
+        for b in batches:
+            for kind, x in zip(b.column(0).to_pylist(), b.column(2)):
+                held[kind].append(np.frombuffer(x.as_buffer(), _PREFIX))
+        for kind, of in held.items():
+            if not of:
+                continue
+            r = np.concatenate(of)
+            of.clear()
+            r = r[np.lexsort((r["set"], r["size"], r["word"]))]
+            new = np.ones(len(r), bool)  # several tasks may have sent a set
+            new[1:] = (r["word"][1:] != r["word"][:-1]) | (r["set"][1:] != r["set"][:-1])
+            r = r[new]
+            word = np.ascontiguousarray(r["word"])
+            if kind:
+                starts = np.append(0, np.flatnonzero(word[1:] != word[:-1]) + 1)
+                for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(r)]):
+                    for i in range(s, e, chunk):
+                        x = r[i : min(i + chunk, e)]
+                        yield {"kind": [1], "key": [x["word"][0].view(np.int64)], "line_set": [0], "lo": [x["size"][0]], "hi": [x["size"][-1]], "data": [x.tobytes()]}
+                continue
+            mark = np.zeros(len(r), bool)
+            for a, b in candidate_pairs(word, r, threshold):
+                mark[a] = mark[b] = True
+            at = np.flatnonzero(mark)
+            n = len(at)
+            yield {"kind": np.zeros(n, np.int8), "key": word[at].view(np.int64), "line_set": r["set"][at], "lo": np.zeros(n, np.int32), "hi": np.zeros(n, np.int32), "data": pa.nulls(n, pa.binary())}
 
     return run
 
 
-def candidates(packed: DataFrame, threshold: Fraction, tries: int, few: int, most: int, parts: int, wanted=None) -> DataFrame:
-    """word, line_set, doc, line, size, other (an earlier set), other_doc, other_line, more."""
-    found = None
-    while True:
-        dealt = packed.repartition("part")
-        out = materialise(map_batches(dealt, _candidates(threshold, tries, few, most, parts, wanted), schema_of(_CANDIDATE)), "candidates")
-        now = out.filter("kind = 0").drop("kind", "data").withColumnRenamed("part", "size")
-        found = now if found is None else found.unionByName(now)
-        packed = out.filter("kind = 1").select("part", "data")
-        if packed.isEmpty():
-            return found
+def asked(packed: DataFrame, threshold: Fraction, chunk: int = CHUNK) -> DataFrame:
+    """key, word, side, line_set: the sets that have a candidate, for each word, or pair of chunks of a word, of which they have it."""
+    num, den = threshold.numerator, threshold.denominator
+    out = map_batches(packed.repartition("part"), _asks(threshold, chunk), schema_of("kind tinyint, key bigint, line_set bigint, lo int, hi int, data binary"))
+    out = materialise(out, "asks")
+    asks = out.filter("kind = 0").select("key", F.col("key").alias("word"), F.lit(0).cast("tinyint").alias("side"), "line_set")
+    chunks = out.filter("kind = 1")
+    if chunks.isEmpty():
+        return asks
+    chunks = materialise(chunks.select(F.col("key").alias("word"), F.xxhash64("key", "data").alias("chunk"), "lo", "hi", "data"), "chunks")
+    a, b = (chunks.select("word", *(F.col(c).alias(f"{c}_{x}") for c in ("chunk", "lo", "hi"))) for x in "ab")
+    pairs = a.join(b, "word").filter((F.col("chunk_a") <= F.col("chunk_b")) & (num * F.col("lo_a") <= den * F.col("hi_b")) & (num * F.col("lo_b") <= den * F.col("hi_a")))
+    pairs = materialise(pairs.select("word", "chunk_a", "chunk_b", F.xxhash64("word", "chunk_a", "chunk_b").alias("key")), "chunk_pairs")
+    alone = F.col("chunk_a") == F.col("chunk_b")
+    sides = pairs.select("key", F.col("chunk_a").alias("chunk"), F.when(alone, 0).otherwise(1).cast("tinyint").alias("side")).union(pairs.filter(~alone).select("key", "chunk_b", F.lit(2).cast("tinyint")))
+    both = sides.join(chunks.select("chunk", "word", "data"), "chunk").select("key", "word", "side", "data")
 
+    def run(batches):
+        for key, word, side, r in _pair_by_pair(batches):
+            order = np.argsort(r["size"], kind="stable")
+            r, side = r[order], side[order]
+            mark = np.zeros(len(r), bool)
+            for x, y in candidate_pairs(np.zeros(len(r), np.int64), r, threshold, side):
+                mark[x] = mark[y] = True
+            at = np.flatnonzero(mark)
+            yield {"key": np.full(len(at), key), "word": np.full(len(at), word), "side": side[at], "line_set": r["set"][at]}
+
+    dealt = both.repartition("key").sortWithinPartitions("key")
+    return asks.unionByName(materialise(map_batches(dealt, run, schema_of("key bigint, word bigint, side tinyint, line_set bigint")), "asks"))
+
+
+def _pair_by_pair(batches):
+    """(key, word, side of each row, rows of _PREFIX) of each pair of chunks; rows (key, word, side, data) are in order."""
+    now, word, held = None, None, []
+    for b in batches:
+        for key, w, side, data in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3)):
+            if held and key != now:
+                yield now, word, np.concatenate([s for s, _ in held]), np.concatenate([r for _, r in held])
+                held = []
+            now, word, r = key, w, np.frombuffer(data.as_buffer(), _PREFIX)
+            held.append((np.full(len(r), side, np.int8), r))
+    if held:
+        yield now, word, np.concatenate([s for s, _ in held]), np.concatenate([r for _, r in held])
+
+
+def words_of_sets(rows: DataFrame, sets: DataFrame, counts: np.ndarray, make: Make = line_sets) -> DataFrame:
+    """line_set, words (by rarity, packed) of the asked sets (line_set). A Bloom filter of fixed size says which are sent; a join leaves no doubt."""
+    sc = rows.sparkSession.sparkContext
+    wanted, sent = sc.broadcast(BloomFilter.of(sets)), sc.broadcast(counts)
 
-def _place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return ((doc.astype(np.int64).view(np.uint64) * _MIX) ^ line.astype(np.int64).view(np.uint64)).view(np.int64)
+    def run(batches):
+        seen: set[int] = set()
+        for b in batches:
+            for _, _, texts in _each(b):
+                x = make(texts)
+                own = x.ids()
+                hit = np.flatnonzero(wanted.value.may_hold(own))
+                hit = [k for k, s in zip(hit.tolist(), own[hit].tolist()) if s not in seen and not seen.add(s)]
+                if hit:
+                    words, _ = x.by_rarity(sent.value)
+                    ends = x.start + x.size
+                    yield {"line_set": own[hit], "words": [words[x.start[k] : ends[k]].tobytes() for k in hit]}
+
+    found = map_batches(rows, run, schema_of("line_set bigint, words binary")).join(sets, "line_set", "left_semi")
+    return found.groupBy("line_set").agg(F.first("words").alias("words"))
+
+
+def _linked(threshold: Fraction):
+    """Rows (key, word, side, line_set, words, n, doc, ver, line), in order of key, to line_set, more (how many lines have sets that
+    are similar to it), the earliest of their (doc, ver, line), and root: the doc of the earliest set that pairs connect it to."""
+
+    def of(rows: list[tuple]) -> dict:
+        rows.sort(key=lambda x: x[6:])  # a row's place tells how early its set is
+        key, word, side, own, words, n, doc, ver, line = zip(*rows)
+        flat = np.frombuffer(b"".join(words), np.uint64)
+        size = np.array([len(x) // 8 for x in words], np.int64)
+        start = np.cumsum(size) - size
+        key, word, side, own, n, doc, ver, line = (np.array(x) for x in (key, word, side, own, n, doc, ver, line))
+        at = np.flatnonzero(flat == np.repeat(word.view(np.uint64), size))  # of distinct words one in each set
+        place = at - start
+        r = np.empty(len(rows), _PREFIX)
+        r["size"], r["place"] = np.minimum(size, _MOST), np.minimum(place, _MOST)
+        r["p0"], r["p1"] = _parities(flat, start)
+        r["before"], r["earlier"] = (np.where(place >= k, flat[np.maximum(at - k, 0)], _ZERO) for k in (1, 2))
+        more, link, root = np.zeros(len(rows), np.int64), np.full(len(rows), len(rows)), np.arange(len(rows))
+        for x, y in similar_pairs(key, r, place, np.arange(len(rows)), flat, start, size, threshold, side):
+            np.add.at(more, x, n[y])
+            np.add.at(more, y, n[x])
+            np.minimum.at(link, x, y)
+            np.minimum.at(link, y, x)
+            while ((a := root[x]) != (b := root[y])).any():
+                least = np.minimum(a, b)
+                np.minimum.at(root, a, least)
+                np.minimum.at(root, b, least)
+                while ((up := root[root]) != root).any():
+                    root = up
+        some = np.flatnonzero(more)
+        first = link[some]
+        return {"line_set": own[some], "more": more[some], "doc": doc[first], "ver": ver[first], "line": line[first], "own": doc[some], "root": doc[root[some]]}
 
+    def run(batches):
+        held, words = [], 0
+        for b in batches:
+            columns = [b.column(i).to_pylist() for i in range(b.num_columns)]
+            for row in zip(*columns):
+                if words > _WORDS_AT_ONCE and row[0] != held[-1][0]:
+                    yield of(held)
+                    held, words = [], 0
+                held.append(row)
+                words += len(row[4]) // 8
+        if held:
+            yield of(held)
 
-def verified(pairs: DataFrame, rows: DataFrame, threshold: Fraction) -> DataFrame:
-    """Those pairs (line_set, other) whose whole lines are as similar as threshold. Bloom filters of fixed size say which
-    documents and lines are sent; joins by their places leave no doubt."""
-    sc = rows.sparkSession.sparkContext
-    each = pairs.groupBy("line_set", "other").agg(F.min(F.struct("doc", "line")).alias("y"), F.min(F.struct(F.col("other_doc").alias("doc"), F.col("other_line").alias("line"))).alias("x"))
-    each = materialise(each, "pairs")
-    needed = each.select("y.doc", "y.line").union(each.select("x.doc", "x.line")).distinct()
-    needed = materialise(needed, "needed")
+    return run
 
-    def places(batches):
-        for b in batches:
-            yield {"at": _place(np.asarray(b.column(0)), np.asarray(b.column(1)))}
 
-    docs_wanted = sc.broadcast(BloomFilter.of(needed.select("doc")))
-    lines_wanted = sc.broadcast(BloomFilter.of(map_batches(needed, places, schema_of("at bigint"))))
+def links(rows: DataFrame, lines: DataFrame, counts: np.ndarray, threshold: Fraction, make: Make, hot: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """(line_set, n, first, links, match: of each set the number and the earliest (doc, ver, line) of its lines, how many lines are similar,
+    equal ones included, and the earliest of those; a, b: docs, enough to connect all that have similar sets of different words)."""
+    spark = rows.sparkSession
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets = materialise(lines.groupBy("line_set").agg(F.min(F.struct("doc", "ver", "line")).alias("first"), F.count(F.lit(1)).alias("n")), "sets")
+    asks = materialise(asked(prefixes(rows, counts, threshold, parts, make, hot), threshold, chunk), "asked")
+    wanted = materialise(asks.select("line_set").distinct(), "wanted")
+    known = words_of_sets(rows, wanted, counts, make).join(sets, "line_set").select("line_set", "words", "n", "first.*")
+    every = asks.join(materialise(known, "known"), "line_set").select("key", "word", "side", "line_set", "words", "n", "doc", "ver", "line")
+    found = map_batches(every.repartition("key").sortWithinPartitions("key"), _linked(threshold), schema_of("line_set bigint, more bigint, doc bigint, ver bigint, line int, own bigint, root bigint"))
+    found = materialise(found, "linked")
+    others = found.groupBy("line_set").agg(F.sum("more").alias("more"), F.min(F.struct("doc", "ver", "line")).alias("link"))
+    all_ = sets.join(others, "line_set", "left").select("line_set", "n", "first", (F.col("n") + F.coalesce("more", F.lit(0))).alias("links"), F.least("first", "link").alias("match"))
+    return materialise(all_, "links"), found.select(F.col("own").alias("a"), F.col("root").alias("b"))
 
-    def sets(batches):
-        hashes = _Hashes()
-        for b in batches:
-            ids = np.asarray(b.column(0))
-            hit = np.flatnonzero(docs_wanted.value.may_hold(ids))
-            out = []
-            for d, t in zip(ids[hit].tolist(), b.column(1).take(pa.array(hit)).to_pylist()):
-                lines = t.encode().translate(LOWER).split(b"\n")
-                for i in np.flatnonzero(lines_wanted.value.may_hold(_place(np.full(len(lines), d), np.arange(len(lines))))).tolist():
-                    ws = set(lines[i].split())
-                    if len(hashes) > 500_000:
-                        hashes.clear()
-                    out.append((d, i, np.sort(np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws))).tobytes()))
-            yield dict(zip(("doc", "line", "words"), zip(*out) if out else [()] * 3))
-
-    found = map_batches(rows, sets, schema_of("doc bigint, line int, words binary")).join(needed, ["doc", "line"], "left_semi")
-    found = found.groupBy("doc", "line").agg(F.first("words").alias("words"))
-    found = materialise(found, "sets")
-    y, x = found.select(F.struct("doc", "line").alias("y"), F.col("words").alias("a")), found.select(F.struct("doc", "line").alias("x"), F.col("words").alias("b"))
-    both = each.join(y, "y").join(x, "x").select("line_set", "other", "a", "b")
-    num, den = threshold.numerator, threshold.denominator
 
-    def similar(batches):
-        for b in batches:
-            keep = []
-            for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                u = np.sort(np.concatenate([np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)]))
-                common = int((u[1:] == u[:-1]).sum())
-                keep.append((num + den) * common >= num * len(u))
-            keep = np.array(keep, bool)
-            yield {"line_set": np.asarray(b.column(0))[keep], "other": np.asarray(b.column(1))[keep]}
-
-    return materialise(map_batches(both, similar, schema_of("line_set bigint, other bigint")), "verified")
-
-
-def duplicate_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = RARITY_BITS, tries: int = TRIES, few: int = FEW, most: int = MOST) -> DataFrame:
-    """doc, line, match_doc, match_line: for each line with words, the earliest line that is similar to it, or nulls."""
-    rows = texts_of(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines, counts = lines_and_rarity(rows, rarity_bits)
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tried = candidates(prefixes(rows, counts, threshold, parts), threshold, tries, few, most, parts)
-    good = verified(tried, rows, threshold)
-    matched = tried.join(good, ["line_set", "other"])
-    links = matched.select("line_set", F.col("other_doc").alias("doc"), F.col("other_line").alias("line"))
-    # Where some of a word's candidates were left and all that were tried failed, all are tried.
-    open_ = tried.filter("more").select("word", "line_set", "size").distinct().join(matched.select("word", "line_set").distinct(), ["word", "line_set"], "left_anti")
-    open_ = materialise(open_.groupBy("line_set").agg(F.min("size").alias("size")), "open")
-    smallest = open_.agg(F.min("size")).first()[0]
-    open_ = open_.select("line_set")
-    if smallest is not None:
-        # Mostly long lines, whose parities tell little: what they may match is long too.
-        least = -(-threshold.numerator * smallest // threshold.denominator)
-        wanted = docs.sparkSession.sparkContext.broadcast(BloomFilter.of(open_))
-        rest = candidates(prefixes(rows, counts, threshold, parts, least), threshold, 0, few, most, parts, wanted)
-        rest = materialise(rest.join(open_, "line_set", "left_semi"), "rest")
-        links = links.unionByName(rest.join(verified(rest, rows, threshold), ["line_set", "other"]).select("line_set", F.col("other_doc").alias("doc"), F.col("other_line").alias("line")))
-    first = lines.groupBy("line_set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
-    earliest = links.groupBy("line_set").agg(F.min(F.struct("doc", "line")).alias("link"))
-    known = first.join(earliest, "line_set", "left").select("line_set", "n", F.least("first", "link").alias("match"))
-    out = join_by_unique_key(lines, materialise(known, "sets"), "line_set", "n")
-    later = F.struct("doc", "line") > F.col("match")
-    return out.select("doc", "line", F.when(later, F.col("match.doc")).alias("match_doc"), F.when(later, F.col("match.line")).alias("match_line"))
+def _matched(lines: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
+    out = join_by_unique_key(lines, sets.select("line_set", "n", "match", *more), "line_set", "n")
+    later = F.struct("doc", "ver", "line") > F.col("match")
+    return out.select("doc", "ver", "line", *(F.when(later, F.col(f"match.{c}")).alias(f"match_{c}") for c in ("doc", "line")), *more)
+
+
+def duplicate_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", make: Make = line_sets, rarity_bits: int = RARITY_BITS, hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
+    """doc, ver, line, match_doc, match_line: for each line with words, the earliest line that is similar to it, or nulls. ver is the text's hash."""
+    rows = numbered(docs, id_col, text_col)
+    lines, _, counts = lines_and_rarity(rows, make, rarity_bits)
+    return _matched(lines, links(rows, lines, counts, threshold, make, hot, chunk)[0])
 
 
 def remove_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", drop_empty: bool = True, **how) -> DataFrame:
     """docs, all columns, without the lines that repeat earlier ones; with drop_empty, documents all of
     whose lines with words go are dropped. Only documents that lose lines are shuffled."""
     found = duplicate_lines(docs, threshold, id_col, text_col, **how)
-    gone = found.groupBy(F.col("doc").alias("__doc")).agg(F.count(F.lit(1)).alias("__all"), F.collect_list(F.when(F.col("match_doc").isNotNull(), F.col("line"))).alias("__gone"))
-    gone = materialise(gone.filter(F.size("__gone") > 0), "gone")
-    bloom = docs.sparkSession.sparkContext.broadcast(BloomFilter.of(gone.select("__doc")))
-    names, at, text = docs.columns, docs.columns.index(id_col), docs.columns.index(text_col)
-
-    def side(wanted: bool):
-        def run(batches):
-            for b in batches:
-                ids = b.column(at)
-                hit = bloom.value.may_hold(np.array([0 if x is None else x for x in ids.to_pylist()], np.int64)) & ~np.asarray(ids.is_null())
-                yield b.filter(pa.array(hit == wanted))
-
-        return docs.mapInArrow(run, docs.schema)
-
-    touched = side(True)
-    marked = touched.join(gone, touched[id_col].cast("long") == gone["__doc"], "left")
+    lost = F.collect_list(F.when(F.col("match_doc").isNotNull(), F.col("line")))
+    names, text = docs.columns, docs.columns.index(text_col)
+    gone = found.groupBy("doc", "ver").agg(F.count(F.lit(1)).alias("every"), lost.alias("lines"))
+    gone = materialise(gone.filter(F.size("lines") > 0), "gone")
+    rest, touched = parted(docs, gone, id_col, text_col)
 
     def cut(batches):
         n = len(names)
         for b in batches:
-            rows = zip(b.column(text).to_pylist(), b.column(n + 1).to_pylist(), b.column(n + 2).to_pylist())
             texts, keep = [], []
-            for t, every, lines in rows:
+            for t, every, lines in zip(*(b.column(i).to_pylist() for i in (text, n, n + 1))):
                 if lines and t is not None:
                     own = set(lines)
                     t = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in own)
                 texts.append(t)
                 keep.append(not (drop_empty and lines and every == len(lines)))
-            out = {c: b.column(i) for i, c in enumerate(names)} | {text_col: pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_pydict(out).filter(pa.array(keep, pa.bool_()))
-
-    return side(False).unionByName(marked.mapInArrow(cut, docs.schema))
-
+            out = [pa.array(texts, pa.string()) if i == text else b.column(i) for i in range(n)]
+            yield pa.RecordBatch.from_arrays(out, names=names).filter(pa.array(keep, pa.bool_()))
 
-def shingled(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text: of each document one line, whose words are the hashes of its shingles (of all its words, if they are fewer)."""
+    return rest.unionByName(touched.mapInArrow(cut, docs.schema))
 
-    def line(text: str) -> str:
-        raw = _SMALL[np.frombuffer(text.encode(), np.uint8)]
-        edge = np.diff(np.concatenate([[True], _BLANK[raw], [True]]).astype(np.int8))
-        words = word_hashes(raw, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1))
-        k = min(shingle, len(words))
-        n = len(words) - k + 1
-        h = np.zeros(n if k else 0, np.uint64)
-        for i in range(k):
-            h = (h ^ (h >> np.uint64(29))) * _MIX + words[i : n + i]
-        return h.tobytes().hex(" ", 8)
 
-    def run(batches):
-        for b in batches:
-            yield {"doc_id": b.column(0), "text": [line(t) for t in b.column(1).to_pylist()]}
-
-    rows = texts_of(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, run, schema_of("doc_id bigint, text string"))
-
-
-def drop_similar(docs: DataFrame, threshold: Fraction = THRESHOLD, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = 24) -> DataFrame:
+def drop_similar(docs: DataFrame, threshold: Fraction = THRESHOLD, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = 24, **how) -> DataFrame:
     """docs, all columns, without the documents to which an earlier one is similar: the Jaccard similarity of their sets of
     shingles, verified on whole sets, is threshold or more. Documents without words and those of null id stay."""
-    found = duplicate_lines(shingled(docs, shingle, id_col, text_col), threshold, rarity_bits=rarity_bits)
-    gone = materialise(found.filter(F.col("match_doc").isNotNull()).select(F.col("doc").alias("__gone")), "similar")
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
-
-
-def all_links(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = RARITY_BITS, most: int = MOST) -> tuple[DataFrame, DataFrame]:
-    """(doc, line, match_doc, match_line as of duplicate_lines, and links: the lines of all documents, its own too, that are similar to
-    the line, itself included; pairs of documents of which lines are similar: a, b, enough to connect all such documents;
-    doc, inside: for each document those of its lines' links that are within it). Every candidate is verified."""
-    rows = texts_of(docs, id_col, text_col).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines, counts = lines_and_rarity(rows, rarity_bits)
-    lines = lines.distinct()  # rows that share an id are one document
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    good = verified(candidates(prefixes(rows, counts, threshold, parts), threshold, 0, FEW, most, parts), rows, threshold)
-    both = good.select(F.col("line_set").alias("a"), F.col("other").alias("b"))
-    both = materialise(both.union(both.select("b", "a")).distinct(), "similar")
-    sets = materialise(lines.groupBy("line_set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("n")), "sets")
-    others = both.join(sets.select(F.col("line_set").alias("b"), "first", "n"), "b")
-    others = materialise(others.groupBy("a").agg(F.min("first").alias("link"), F.sum("n").alias("more")).withColumnRenamed("a", "line_set"), "others")
-    known = sets.join(others, "line_set", "left").select("line_set", "n", F.col("first.doc").alias("first_doc"), F.least("first", "link").alias("match"), (F.col("n") + F.coalesce("more", F.lit(0))).alias("links"))
-    out = materialise(join_by_unique_key(lines, materialise(known, "known"), "line_set", "n"), "links")
-    firsts = sets.select("line_set", F.col("first.doc").alias("doc"))
-    ends = both.filter("a < b").join(firsts.select(F.col("line_set").alias("a"), F.col("doc").alias("x")), "a").join(firsts.select(F.col("line_set").alias("b"), F.col("doc").alias("y")), "b")
-    edges = out.select(F.col("doc").alias("a"), F.col("first_doc").alias("b")).union(ends.select("x", "y")).filter("a <> b")
-    held = materialise(out.groupBy("doc", "line_set").agg(F.count(F.lit(1)).alias("c")), "held")
-    near = held.select("doc", F.col("line_set").alias("a"), "c").join(both, "a").join(held.select("doc", F.col("line_set").alias("b"), F.col("c").alias("d")), ["doc", "b"])
-    inside = held.select("doc", (F.col("c") * F.col("c")).alias("k")).union(near.select("doc", F.col("c") * F.col("d"))).groupBy("doc").agg(F.sum("k").alias("inside"))
-    later = F.struct("doc", "line") > F.col("match")
-    matched = (F.when(later, F.col(f"match.{c}")).alias(f"match_{c}") for c in ("doc", "line"))
-    return out.select("doc", "line", *matched, "links"), edges, inside
+    found = duplicate_lines(docs, threshold, id_col, text_col, partial(shingle_sets, shingle=shingle), rarity_bits, **how)
+    return without(docs, materialise(found.filter(F.col("match_doc").isNotNull()).select("doc", "ver"), "similar"), id_col, text_col)
+
+
+def all_links(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = RARITY_BITS, hot: int = HOT, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc, ver, line, match_doc, match_line as of duplicate_lines, and links: the lines of all documents, its own too, that are similar
+    to the line, itself included; a, b: docs, enough to connect all documents of which lines are similar; doc, ver, inside: of each
+    row with an id those of its lines' links that are within it)."""
+    rows = numbered(docs, id_col, text_col)
+    lines, of_docs, counts = lines_and_rarity(rows, line_sets, rarity_bits, threshold)
+    sets, edges = links(rows, lines, counts, threshold, line_sets, hot, chunk)
+    sets = sets.withColumn("first_doc", F.col("first.doc"))
+    found = materialise(_matched(lines, sets, "links", "first_doc"), "matched")
+    return found.drop("first_doc"), edges.union(found.select("doc", "first_doc")).filter("a <> b"), of_docs
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines (with words), n_removed, n_links (all pairs of a line of the document and a similar line of another one),
     class_id (the smallest doc_id that chains of such pairs reach), removed (the removed lines' numbers, joined by commas)."""
     docs = read_table(spark, sf_dir, "documents")
-    found, edges, inside = all_links(docs)
+    found, edges, rows = all_links(docs)
     roots = connected_components(edges).select(F.col("node").alias("doc"), F.col("root").alias("least"))
     gone = F.col("match_doc").isNotNull()
-    per_doc = found.groupBy("doc").agg(
+    per_doc = found.groupBy("doc", "ver").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(gone.cast("long")).alias("n_removed"), F.sum("links").alias("links"),
         F.sort_array(F.collect_list(F.when(gone, F.col("line")))).alias("removed"),
     )
-    per_doc = per_doc.join(inside, "doc").join(roots, "doc", "left").withColumn("n_links", F.col("links") - F.col("inside"))
-    all_ = docs.select("doc_id").join(per_doc, F.col("doc_id").cast("long") == F.col("doc"), "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
-    return all_.select(
-        "doc_id", zero("n_lines"), zero("n_removed"), zero("n_links"), F.coalesce("least", "doc_id").alias("class_id"),
+    out = rows.join(per_doc, ["doc", "ver"], "left").join(roots, "doc", "left").withColumn("n_links", F.col("links") - F.col("inside")).select(
+        F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"), zero("n_lines"), zero("n_removed"), zero("n_links"), F.coalesce("least", "doc").alias("class_id"),
         F.coalesce(F.concat_ws(",", F.col("removed").cast("array<string>")), F.lit("")).alias("removed"),
     )
+    none = F.lit(0).cast("long")
+    return out.union(docs.filter(F.col("doc_id").isNull()).select("doc_id", none, none, none, F.lit(None).cast("long"), F.lit("")))
