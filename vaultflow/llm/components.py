@@ -1,25 +1,25 @@
 """Connected components of a graph of longs by alternating large-star and small-star steps.
 
-Every step is a few grouped minima and joins; nothing but counts comes to the driver, and each
-step is written to the shared folder."""
+Every step is a few grouped minima and joins, whose hot nodes Spark's adaptive plans split; nothing
+but counts comes to the driver, and each step is written to the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import join_by_unique_key, materialise
+from vaultflow.llm._common import materialise
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
-    return join_by_unique_key(both, least, "a", "n").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    return both.join(least, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-    moved = join_by_unique_key(edges, least, "a", "n").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -32,6 +32,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,50 +48,32 @@ _AT_ONCE, _BYTES_AT_ONCE = 512, 1 << 21
 _WORDS_AT_ONCE = 1 << 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _END = b"\xff"  # ends a document's text; is in no UTF-8 text
-_SLICE = 1 << 20
-
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32, 255]] = True
-_SMALL = np.frombuffer(LOWER, np.uint8)
+_IS_BLANK = bytes(b in b"\t\n\x0b\x0c\r \xff" for b in range(256))
 _ZERO = np.uint64(0)
+#: The first so many bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one.
+_LONG = 256
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of an odd base modulo 2**64, and their inverses; n of them or more."""
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            x = np.full(n, base, np.uint64)
-            x[0] = 1
-            _POWERS[k] = np.cumprod(x)
-    return _POWERS[0], _POWERS[1]
-
-
-_BASE = 0xA0761D6478BD642F
-_POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
-#: A 64-bit value for each byte.
-_VALUES = np.random.default_rng(20_240_131).integers(1, 1 << 63, 256, dtype=np.uint64)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _MIX
+    return x ^ (x >> np.uint64(29))
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of raw[start:end] for each word; words are in ascending order and don't overlap. All at once: the sum of each
-    byte's value times a power by its place is a difference of running sums, and the inverse power moves it to the origin."""
-    out = np.empty(len(start), np.uint64)
-    i = 0
-    while i < len(start):
-        first = start[i]
-        j = max(i + 1, int(np.searchsorted(end, first + _SLICE, side="right")))
-        size = int(end[j - 1] - first)
-        up, down = _powers(max(size, _SLICE))
-        run = np.empty(size + 1, np.uint64)
-        run[0] = 0
-        np.cumsum(_VALUES[raw[first : first + size]] * up[:size], out=run[1:])
-        s, e = start[i:j] - first, end[i:j] - first
-        out[i:j] = (run[e] - run[s]) * down[s]
-        i = j
-    if len(_POWERS[0]) > _SLICE:  # after a very long word
-        _POWERS[0], _POWERS[1] = _POWERS[0][:_SLICE].copy(), _POWERS[1][:_SLICE].copy()
-    out = (out ^ (out >> np.uint64(32))) * _MIX
-    return (out ^ (out >> np.uint64(29))) * _MIX
+    """A hash of 64 bits of raw[start:end] for each word. Eight bytes of all words at once; raw has eight bytes or more behind the last."""
+    eight = np.ndarray(max(0, len(raw) - 7), "<u8", raw, strides=(1,))
+    left = end - start
+    out = _mixed(left.astype(np.uint64) * _MIX + (eight[start] & _FIRST[np.minimum(left, 8)]))
+    more, at = np.flatnonzero((left > 8) & (left <= _LONG)), 8
+    while len(more):
+        out[more] = _mixed(out[more] * _MIX + (eight[start[more] + at] & _FIRST[np.minimum(left[more] - at, 8)]))
+        at += 8
+        more = more[left[more] > at]
+    for k in np.flatnonzero(left > _LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(raw[start[k] : end[k]].tobytes())
+    return _mixed(out * _MIX)
 
 
 def _sorted_by(line: np.ndarray, lines: int, *then: tuple[np.ndarray, int]) -> np.ndarray:
@@ -137,29 +120,32 @@ class Sets:
     def by_rarity(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words of each set in their order by rarity, and how often lines have them."""
         bits = np.uint64(65 - len(counts).bit_length())
-        often = counts[self.words >> bits]
+        often = counts[(self.words >> bits).astype(np.int64)]
         order = _sorted_by(self.line, len(self.size), (often.astype(np.uint64), 16), (self.words, 64))
         return self.words[order], often[order]
 
 
-def _words_in(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes of texts, each with _END behind it, and where words start and end."""
-    raw = _SMALL[np.frombuffer(_END.join([*(t.encode() for t in texts), b""]), np.uint8)]
-    edge = np.diff(np.concatenate([[True], _BLANK[raw], [True]]).astype(np.int8))
-    return raw, np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+def _words_in(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of texts in lower case, each with _END behind it and more of them behind the last, and where words start and end."""
+    joined = _END.join([*texts, _END * 8])
+    blank = np.frombuffer(joined.translate(_IS_BLANK), np.uint8)
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edge = np.append(0, edge)
+    return np.frombuffer(joined.translate(LOWER), np.uint8), edge[::2], edge[1::2]
 
 
-def line_sets(texts: list[str]) -> Sets:
+def line_sets(texts: list[bytes]) -> Sets:
     """The sets of words of all lines of some texts."""
     raw, start, end = _words_in(texts)
-    breaks = np.flatnonzero((raw == 10) | (raw == 255))
+    breaks = np.flatnonzero((raw == 10) | (raw == 255))[:-8]
     docs = np.flatnonzero(raw[breaks] == 255) + 1  # lines up to and with each document's last
     of = np.repeat(np.arange(len(docs)), np.diff(docs, prepend=0))
     number = np.arange(len(of)) - np.repeat(np.append(0, docs[:-1])[: len(docs)], np.diff(docs, prepend=0))
     return Sets(of, number, np.searchsorted(breaks, start), word_hashes(raw, start, end))
 
 
-def shingle_sets(texts: list[str], shingle: int = 5) -> Sets:
+def shingle_sets(texts: list[bytes], shingle: int = 5) -> Sets:
     """Of each text one set: its shingles, or of fewer words the whole sequence."""
     raw, start, end = _words_in(texts)
     doc = np.searchsorted(np.flatnonzero(raw == 255), start)
@@ -176,7 +162,7 @@ def shingle_sets(texts: list[str], shingle: int = 5) -> Sets:
     return Sets(every, np.zeros(len(texts), np.int64), doc[whole], h[whole])
 
 
-Make = Callable[[list[str]], Sets]
+Make = Callable[[list[bytes]], Sets]
 
 
 def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -195,27 +181,27 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return texts_of(docs, id_col, text_col, text_hash(text_col).alias("ver")).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "ver", "text")
 
 
-def _each(b) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+def _each(b) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
     """ids, vers and texts of a batch (doc_id, ver, text), a portion at a time."""
-    ids, vers, texts = np.asarray(b.column(0)), np.asarray(b.column(1)), b.column(2)
+    ids, vers, texts = np.asarray(b.column(0)), np.asarray(b.column(1)), b.column(2).cast(pa.binary())
     for i, j in _portions(texts):
         yield ids[i:j], vers[i:j], texts.slice(i, j - i).to_pylist()
 
 
-def lines_and_rarity(rows: DataFrame, make: Make = line_sets, bits: int = RARITY_BITS, within: Fraction | None = None) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """(doc, ver, line, line_set of each line with words; doc, ver, and, with a threshold within, inside: pairs of similar lines within
-    it, of each row; in how many lines the words of each hash's place are, up to 65535), from one pass over rows (doc_id, ver, text)."""
+def lines_and_rarity(rows: DataFrame, make: Make = line_sets, bits: int = RARITY_BITS) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(doc, ver, line, line_set of each line with words; doc, ver, inside: the pairs, in both orders, of its lines of equal sets, and of
+    each with itself, of each row; in how many lines the words of each hash's place are, up to 65535), from one pass over rows (doc_id, ver, text)."""
 
     def run(batches):
         total = np.zeros(1 << bits, np.int64)
         for b in batches:
             for ids, vers, texts in _each(b):
                 x = make(texts)
-                np.add.at(total, x.words >> np.uint64(64 - bits), 1)
+                np.add.at(total, (x.words >> np.uint64(64 - bits)).astype(np.int64), 1)
                 own, n, m = x.ids(), len(x.doc), len(ids)
                 yield {
                     "kind": np.repeat(np.array([0, 2], np.int8), [n, m]), "a": np.append(ids[x.doc], ids), "ver": np.append(vers[x.doc], vers), "line": np.append(x.number, np.zeros(m, np.int64)),
-                    "b": np.append(own, _inside(x, own, m, within) if within else np.zeros(m, np.int64)), "data": pa.nulls(n + m, pa.binary()),
+                    "b": np.append(own, np.bincount(x.doc, _repeats(x, own) ** 2, m).astype(np.int64)), "data": pa.nulls(n + m, pa.binary()),
                 }
         for piece, data in packed_counts(total):
             yield {"kind": [1], "a": [piece], "ver": [0], "line": [0], "b": [0], "data": [data]}
@@ -378,20 +364,22 @@ def similar_pairs(key: np.ndarray, r: np.ndarray, place: np.ndarray, own: np.nda
         yield verified()
 
 
-def _inside(x: Sets, own: np.ndarray, docs: int, threshold: Fraction) -> np.ndarray:
-    """For each document the pairs (in both orders, and of each line with itself) of its lines that are similar."""
-    out = np.zeros(docs, np.int64)
-    if not len(own):
-        return out
-    order = np.lexsort((own, x.doc))
-    starts = np.append(0, np.flatnonzero((own[order][1:] != own[order][:-1]) | (x.doc[order][1:] != x.doc[order][:-1])) + 1)
-    c = np.zeros(len(own), np.int64)
-    c[order[starts]] = np.diff(np.append(starts, len(own)))
-    np.add.at(out, x.doc, c * c)
-    words, often = x.by_rarity(np.bincount((x.words >> np.uint64(48)).astype(np.int64), minlength=1 << 16).clip(0, 65_535))
-    r, at = _prefixes(words, often, x, own, c > 0, threshold)
+def _repeats(x: Sets, own: np.ndarray) -> np.ndarray:
+    """How many lines of its document are of each line's set, at the first of them; at others 0."""
+    out = np.zeros(len(own), np.int64)
+    if len(own):
+        order = np.lexsort((own, x.doc))
+        starts = np.append(0, np.flatnonzero((own[order][1:] != own[order][:-1]) | (x.doc[order][1:] != x.doc[order][:-1])) + 1)
+        out[order[starts]] = np.diff(np.append(starts, len(own)))
+    return out
+
+
+def _inside(x: Sets, own: np.ndarray, docs: int, words: np.ndarray, often: np.ndarray, of: np.ndarray, threshold: Fraction) -> np.ndarray:
+    """For each document the pairs (in both orders) of its lines whose different sets are similar, among the lines for which `of` is true."""
+    out, c = np.zeros(docs, np.int64), _repeats(x, own)
+    r, at = _prefixes(words, often, x, own, of & (c > 0), threshold)
     line = x.line[at]
-    key = (r["word"] ^ (r["word"] >> np.uint64(29))) * _MIX + x.doc[line].astype(np.uint64) * np.uint64(_BASE)
+    key = _mixed(r["word"] * _MIX + x.doc[line].astype(np.uint64))
     for a, b in similar_pairs(key, r, at - x.start[line], line, words, x.start, x.size, threshold):
         np.add.at(out, x.doc[a], 2 * c[a] * c[b])
     return out
@@ -478,26 +466,41 @@ def _pair_by_pair(batches):
         yield now, word, np.concatenate([s for s, _ in held]), np.concatenate([r for _, r in held])
 
 
-def words_of_sets(rows: DataFrame, sets: DataFrame, counts: np.ndarray, make: Make = line_sets) -> DataFrame:
-    """line_set, words (by rarity, packed) of the asked sets (line_set). A Bloom filter of fixed size says which are sent; a join leaves no doubt."""
+def words_of_sets(rows: DataFrame, lines: DataFrame, wanted: DataFrame, counts: np.ndarray, threshold: Fraction, make: Make = line_sets) -> tuple[DataFrame, DataFrame]:
+    """(line_set, words: by rarity, packed; of the sets in wanted (line_set); doc, ver, inside: the pairs, in both orders, of its lines of
+    different wanted sets that are similar, where there are any). Bloom filters of fixed size say which documents are read and which
+    sets are sent; a join leaves no doubt."""
     sc = rows.sparkSession.sparkContext
-    wanted, sent = sc.broadcast(BloomFilter.of(sets)), sc.broadcast(counts)
+    asked, sent = sc.broadcast(BloomFilter.of(wanted)), sc.broadcast(counts)
+
+    def holders(batches):
+        for b in batches:
+            yield {"at": np.unique(np.asarray(b.column(0))[asked.value.may_hold(np.asarray(b.column(1)))])}
+
+    found_in = sc.broadcast(BloomFilter.of(map_batches(lines.select(F.xxhash64("doc", "ver"), "line_set"), holders, schema_of("at bigint"))))
 
     def run(batches):
         seen: set[int] = set()
         for b in batches:
-            for _, _, texts in _each(b):
+            for ids, vers, texts in _each(b.filter(pa.array(found_in.value.may_hold(np.asarray(b.column(3)))))):
                 x = make(texts)
                 own = x.ids()
-                hit = np.flatnonzero(wanted.value.may_hold(own))
-                hit = [k for k, s in zip(hit.tolist(), own[hit].tolist()) if s not in seen and not seen.add(s)]
-                if hit:
-                    words, _ = x.by_rarity(sent.value)
-                    ends = x.start + x.size
-                    yield {"line_set": own[hit], "words": [words[x.start[k] : ends[k]].tobytes() for k in hit]}
+                hit = asked.value.may_hold(own)
+                words, often = x.by_rarity(sent.value)
+                inside = _inside(x, own, len(ids), words, often, hit, threshold)
+                d, ends = np.flatnonzero(inside), x.start + x.size
+                new = [k for k, s in zip(np.flatnonzero(hit).tolist(), own[hit].tolist()) if s not in seen and not seen.add(s)]
+                n, m = len(new), len(d)
+                yield {
+                    "kind": np.repeat(np.array([0, 1], np.int8), [n, m]), "a": np.append(own[new], ids[d]), "ver": np.append(np.zeros(n, np.int64), vers[d]), "inside": np.append(np.zeros(n, np.int64), inside[d]),
+                    "words": [words[x.start[k] : ends[k]].tobytes() for k in new] + [None] * m,
+                }
 
-    found = map_batches(rows, run, schema_of("line_set bigint, words binary")).join(sets, "line_set", "left_semi")
-    return found.groupBy("line_set").agg(F.first("words").alias("words"))
+    both = map_batches(rows.withColumn("key", F.xxhash64("doc_id", "ver")), run, schema_of("kind tinyint, a bigint, ver bigint, inside bigint, words binary"))
+    both = materialise(both, "words")
+    words = both.filter("kind = 0").select(F.col("a").alias("line_set"), "words").join(wanted, "line_set", "left_semi")
+    inside = both.filter("kind = 1").groupBy(F.col("a").alias("doc"), "ver").agg(F.max("inside").alias("more_inside"))  # of repeated rows one
+    return words.groupBy("line_set").agg(F.first("words").alias("words")), inside
 
 
 def _linked(threshold: Fraction):
@@ -549,21 +552,23 @@ def _linked(threshold: Fraction):
     return run
 
 
-def links(rows: DataFrame, lines: DataFrame, counts: np.ndarray, threshold: Fraction, make: Make, hot: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+def links(rows: DataFrame, lines: DataFrame, counts: np.ndarray, threshold: Fraction, make: Make, hot: int, chunk: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(line_set, n, first, links, match: of each set the number and the earliest (doc, ver, line) of its lines, how many lines are similar,
-    equal ones included, and the earliest of those; a, b: docs, enough to connect all that have similar sets of different words)."""
+    equal ones included, and the earliest of those; a, b: docs, enough to connect all that have similar sets of different words;
+    doc, ver, more_inside as of words_of_sets)."""
     spark = rows.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = materialise(lines.groupBy("line_set").agg(F.min(F.struct("doc", "ver", "line")).alias("first"), F.count(F.lit(1)).alias("n")), "sets")
     asks = materialise(asked(prefixes(rows, counts, threshold, parts, make, hot), threshold, chunk), "asked")
     wanted = materialise(asks.select("line_set").distinct(), "wanted")
-    known = words_of_sets(rows, wanted, counts, make).join(sets, "line_set").select("line_set", "words", "n", "first.*")
+    words, inside = words_of_sets(rows, lines, wanted, counts, threshold, make)
+    known = words.join(sets, "line_set").select("line_set", "words", "n", "first.*")
     every = asks.join(materialise(known, "known"), "line_set").select("key", "word", "side", "line_set", "words", "n", "doc", "ver", "line")
     found = map_batches(every.repartition("key").sortWithinPartitions("key"), _linked(threshold), schema_of("line_set bigint, more bigint, doc bigint, ver bigint, line int, own bigint, root bigint"))
     found = materialise(found, "linked")
     others = found.groupBy("line_set").agg(F.sum("more").alias("more"), F.min(F.struct("doc", "ver", "line")).alias("link"))
     all_ = sets.join(others, "line_set", "left").select("line_set", "n", "first", (F.col("n") + F.coalesce("more", F.lit(0))).alias("links"), F.least("first", "link").alias("match"))
-    return materialise(all_, "links"), found.select(F.col("own").alias("a"), F.col("root").alias("b"))
+    return materialise(all_, "links"), found.select(F.col("own").alias("a"), F.col("root").alias("b")), inside
 
 
 def _matched(lines: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
@@ -617,11 +622,11 @@ def all_links(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "d
     to the line, itself included; a, b: docs, enough to connect all documents of which lines are similar; doc, ver, inside: of each
     row with an id those of its lines' links that are within it)."""
     rows = numbered(docs, id_col, text_col)
-    lines, of_docs, counts = lines_and_rarity(rows, line_sets, rarity_bits, threshold)
-    sets, edges = links(rows, lines, counts, threshold, line_sets, hot, chunk)
+    lines, of_docs, counts = lines_and_rarity(rows, line_sets, rarity_bits)
+    sets, edges, inside = links(rows, lines, counts, threshold, line_sets, hot, chunk)
     sets = sets.withColumn("first_doc", F.col("first.doc"))
     found = materialise(_matched(lines, sets, "links", "first_doc"), "matched")
-    return found.drop("first_doc"), edges.union(found.select("doc", "first_doc")).filter("a <> b"), of_docs
+    return found.drop("first_doc"), edges.union(found.select("doc", "first_doc")).filter("a <> b"), of_docs.join(inside, ["doc", "ver"], "left").select("doc", "ver", (F.col("inside") + F.coalesce("more_inside", F.lit(0))).alias("inside"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
