@@ -50,6 +50,9 @@ def test_keep_one(spark, docs, nothing):
     assert kept.columns == docs.columns
     groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted({c for i, c in groups.items() if i == c and i is not None})
+    odd = spark.createDataFrame([(1, "first text of the id one", 7), (1, "quite another text that shares its id", 8), (3, "first text of the id one", 9), (3, "quite another text that shares its id", 10), (3, "and a third one of its own", 11), (None, "first text of the id one", 12)], "doc_id long, text string, own_id int")
+    left = simhash.keep_one_of_each(odd)
+    assert left.columns == odd.columns and sorted(r["own_id"] for r in left.collect()) == [7, 8, 11, 12]
     twice = docs.unionByName(docs)
     assert simhash.keep_one_of_each(twice).filter("doc_id IS NOT NULL").count() == kept.filter("doc_id IS NOT NULL").count()
     assert simhash.keep_one_of_each(nothing).count() == 0
@@ -69,6 +72,20 @@ def test_decontamination(spark, rows, docs, sf):
     bench = spark.createDataFrame(items, "item_id long, text string")
     blocks = {r["doc_id"]: decontamination.n_hit(r["spans"]) for r in decontamination.find(docs, bench, block_words=20).collect()}
     assert blocks == {i: x[1] for i, x in want.items()}
+    longest = {}
+    for i, t in rows:
+        w, best = words(t), (0, None, None, None)
+        for item, x in ((("" if k is None else str(k)), words(y)) for k, y in items):
+            n = min(10, len(x))
+            for p in range(len(x) - n + 1) if n else ():
+                for a in range(len(w) - n + 1):
+                    m = next((m for m in range(min(len(x) - p, len(w) - a) + 1) if m == min(len(x) - p, len(w) - a) or w[a + m] != x[p + m]))
+                    if m >= n and (not best[0] or (-m, item, p, a) < (-best[0], *best[1:])):
+                        best = (m, item, p, a)
+        longest[i] = best
+    for size in (20, 1_000_000):
+        found = {r["doc_id"]: tuple(r[c] for c in ("longest", "longest_item", "longest_item_start", "longest_start")) for r in decontamination.find(docs, bench, block_words=size).collect()}
+        assert found == longest and any(x[0] > 10 for x in found.values())
     kept = decontamination.remove_contaminated(docs, bench, block_words=20)
     assert kept.columns == docs.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(i) for i, x in want.items() if not x[4])
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +87,17 @@ def _arrow_type(t: T.DataType) -> pa.DataType:
     }[t.simpleString()]
 
 
+def portions(texts: pa.Array, rows: int, size: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts that are of so many texts and bytes at most, or of one text."""
+    ends = np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0)), dtype=np.int64)
+    i = 0
+    while i < len(ends):
+        before = int(ends[i - 1]) if i else 0
+        j = min(i + rows, max(i + 1, int(np.searchsorted(ends, before + size, side="right"))))
+        yield i, j
+        i = j
+
+
 def schema_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
@@ -219,7 +231,7 @@ def _pieces(rows: DataFrame, size: int) -> Iterator[tuple[int, bytes]]:
                 held.setdefault(p, np.zeros(size, bool))[place[own]] = True
         yield {"piece": list(held), "data": [np.packbits(a, bitorder="little").tobytes() for a in held.values()]}
 
-    for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).toLocalIterator():
+    for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).collect():  # of fixed size
         yield r["piece"], bytes(r["data"])
 
 
@@ -250,7 +262,7 @@ def summed_counts(rows: DataFrame, bits: int) -> np.ndarray:
         yield {"piece": list(held), "data": [np.minimum(x, 65_535).astype(np.uint16).tobytes() for x in held.values()]}
 
     out = np.zeros(1 << bits, np.uint16)
-    for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).toLocalIterator():
+    for r in map_batches(rows.repartition("piece"), run, schema_of("piece bigint, data binary")).collect():  # of fixed size
         own = np.frombuffer(r["data"], np.uint16)
         out[r["piece"] * _PIECE :][: len(own)] = own[: len(out)]
     return out

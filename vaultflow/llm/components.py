@@ -23,15 +23,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether all edges lead to roots: no node has two, and none that is led to has one."""
+    several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", "n")
+    led_to = edges.select(F.col("b").alias("a")).distinct()
+    return several.join(led_to.withColumn("inner", F.lit(1)), "a", "left").filter("n > 1 OR inner = 1").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) for every node of edges (a, b: longs, in any
     order, repeated or not) that is not a root itself."""
     a, b = F.col("a"), F.col("b")
     now = edges.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    now, before = materialise(now, "edges"), None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark[0] == 0 or mark == before:
-            return now.select(a.alias("node"), b.alias("root"))
-        before = mark
+    now = materialise(now, "edges")
+    while not _is_done(now):
         now = materialise(_small_star(materialise(_large_star(now), "edges")), "edges")
+    return now.select(a.alias("node"), b.alias("root"))

@@ -31,12 +31,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import LOWER, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, parted, read_table, schema_of, summed_counts, text_hash, texts_of, without
+from vaultflow.llm._common import LOWER, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, parted, portions, read_table, schema_of, summed_counts, text_hash, texts_of, without
 from vaultflow.llm.components import connected_components
 
 THRESHOLD = Fraction(4, 5)
@@ -165,6 +164,9 @@ def shingle_sets(texts: list[bytes], shingle: int = 5) -> Sets:
 Make = Callable[[list[bytes]], Sets]
 
 
+Make = Callable[[list[bytes]], Sets]
+
+
 def _portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts that are of _AT_ONCE texts and _BYTES_AT_ONCE bytes at most, or of one text."""
     ends = np.cumsum(np.asarray(pc.binary_length(texts)), dtype=np.int64)
@@ -184,7 +186,7 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _each(b) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
     """ids, vers and texts of a batch (doc_id, ver, text), a portion at a time."""
     ids, vers, texts = np.asarray(b.column(0)), np.asarray(b.column(1)), b.column(2).cast(pa.binary())
-    for i, j in _portions(texts):
+    for i, j in portions(texts, _AT_ONCE, _BYTES_AT_ONCE):
         yield ids[i:j], vers[i:j], texts.slice(i, j - i).to_pylist()
 
 

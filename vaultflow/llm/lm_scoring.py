@@ -336,7 +336,7 @@ def recurring(cut: DataFrame, bitmaps: list[Broadcast], bits: int) -> np.ndarray
     schema = schema_of("piece bigint, data binary")
     out = np.zeros(1 << (bits - 3), np.uint8)
     found = map_batches(cut.select("tokens", "words", "sizes", "held_out"), places, schema)
-    for r in map_batches(found.repartition("piece"), merged, schema).toLocalIterator():
+    for r in map_batches(found.repartition("piece"), merged, schema).collect():  # of fixed size
         out[r["piece"] * size // 8 :][: size // 8] = np.frombuffer(r["data"], np.uint8)
     return out
 

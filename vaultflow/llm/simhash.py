@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import LOWER, id_type, join_by_unique_key, map_batches, materialise, read_table, schema_of, texts_of
+from vaultflow.llm._common import LOWER, id_type, join_by_unique_key, map_batches, materialise, parted, read_table, schema_of, text_hash, texts_of, without
 from vaultflow.llm.components import connected_components
 
 RADIUS = 2
@@ -161,24 +161,32 @@ def _compare(radius: int, most: int, least_bits: int):
             yield block(prints[np.concatenate(at)], np.concatenate(groups))
 
     def run(batches):
-        mask, prints = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # of the bucket that may go on
 
         def out(parts):
             for kind, a, b in parts:
                 yield {"kind": kind, "a": a.view(np.int64), "b": b.view(np.int64)}
 
+        def joined():
+            mask, prints = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            return mask, prints
+
         for x in batches:
-            mask = np.concatenate([mask, np.asarray(x.column(0)).view(np.uint64)])
-            prints = np.concatenate([prints, np.asarray(x.column(1)).view(np.uint64)])
+            mask, prints = (np.asarray(x.column(i)).view(np.uint64) for i in range(2))
             if not len(prints):
                 continue
             key = prints & mask
             last = np.flatnonzero((key != key[-1]) | (mask != mask[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0  # the last bucket may go on
-            yield from out(whole(mask[:cut], prints[:cut]))
-            mask, prints = mask[cut:], prints[cut:]
-        if len(prints):
-            yield from out(whole(mask, prints))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if held and (cut or held[0][0][0] != mask[0] or held[0][0][0] & held[0][1][0] != key[0]):
+                held.append((mask[:cut], prints[:cut]))
+                yield from out(whole(*joined()))
+            elif cut:
+                yield from out(whole(mask[:cut], prints[:cut]))
+            held.append((mask[cut:], prints[cut:]))
+        if held:
+            yield from out(whole(*joined()))
 
     return run
 
@@ -200,36 +208,41 @@ def links(prints: DataFrame, radius: int = RADIUS, most: int = MOST, least_bits:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (a signed long) of every whole text."""
+    """doc_id, ver (the text's hash), fp (a signed long) of every whole text."""
 
     def run(batches):
         for b in batches:
-            yield {"doc_id": b.column(0), "fp": np.array([fingerprint(t, shingle, seed) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)}
+            yield {"doc_id": b.column(0), "ver": b.column(2), "fp": np.array([fingerprint(t, shingle, seed) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)}
 
-    return map_batches(texts_of(docs, id_col, text_col), run, schema_of(f"doc_id {id_type(docs, id_col)}, fp bigint"))
+    return map_batches(texts_of(docs, id_col, text_col, text_hash(text_col).alias("ver")), run, schema_of(f"doc_id {id_type(docs, id_col)}, ver bigint, fp bigint"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id that chains of links reach) of every row of docs."""
+    """doc_id, ver, fp, root (the component's smallest fingerprint), component_id (the smallest doc_id that chains of links reach) of every row of docs."""
     prints = materialise(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct")
     roots = connected_components(links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     rooted = materialise(rooted, "roots")
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("prints"))
-    of_print = join_by_unique_key(rooted.select("fp", "n", "root"), named, "root", "prints").select("fp", "n", "component_id")
-    return join_by_unique_key(prints, of_print, "fp", "n").select("doc_id", "fp", "component_id")
+    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    of_print = rooted.select("fp", "n", "root").join(named, "root").select("fp", "n", "root", "component_id")
+    return join_by_unique_key(prints, of_print, "fp", "n").select("doc_id", "ver", "fp", "root", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, all columns, with one row - that of the smallest id - of each component. Rows of null id stay."""
+    """docs, all columns, with one row of each component: that of the smallest id and, of several texts of that id, of the text of the
+    smallest hash. Of rows that are equal in both any one stays. Rows of null id stay. Only rows that may go are shuffled."""
     found = materialise(near_duplicates(docs, radius, shingle, seed, id_col, text_col), "components")
-    kept = found.filter(F.col("doc_id") == F.col("component_id"))
-    ids = kept.select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(ids, docs[id_col] == ids["__kept"], "left_semi")
-    if kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
-        out = out.dropDuplicates([id_col])
-    return out.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
+    later = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id", "ver")
+    heads = materialise(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("root", "doc_id", "ver").agg(F.count(F.lit(1)).alias("n")), "heads")
+    least = heads.groupBy("root").agg(F.min("ver").alias("least"))
+    later = later.union(heads.join(least, "root").filter(F.col("ver") > F.col("least")).select("doc_id", "ver")).distinct()
+    out = without(docs, materialise(later.withColumnRenamed("doc_id", "doc"), "later"), id_col, text_col)
+    repeated = heads.filter("n > 1").select(F.col("doc_id").alias("doc"), "ver").distinct()
+    if repeated.isEmpty():
+        return out
+    rest, some = parted(out, repeated, id_col, text_col)
+    return rest.unionByName(some.dropDuplicates([id_col, text_col]))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

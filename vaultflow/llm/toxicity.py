@@ -1,8 +1,9 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Per-coordinate rates and L1 sparsity leave compact weights, which are broadcast: at most 2**bits
-of them. The model learns from at most `max_rows` labelled rows (the documented bound), those of
-the least hash of their id; all rows are scored, by their whole texts.
+of them. The model learns from the labelled rows of at most `max_rows` ids, those of the least hash, and of
+them from as many as have `max_features` features together (the documented bounds); all rows are scored, by
+their whole texts.
 
 Defined results: a null text is empty and scores by the bias alone; without any label the score is
 0; rows with a null or unknown label, or a null id, are never learned from, and of several labels
@@ -21,6 +22,8 @@ from vaultflow.llm._common import LOWER_ALNUM, fold, id_type, map_batches, read_
 
 BITS = 20
 MAX_ROWS = 20_000
+#: Features of all rows that are learned from; 4 bytes each in the one task that learns.
+MAX_FEATURES = 50_000_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.1
 
@@ -53,8 +56,6 @@ def learn(rows, bits: int = BITS, epochs: int = EPOCHS, alpha: float = ALPHA, be
             w = np.where(np.abs(zx) > l1, (np.sign(zx) * l1 - zx) / ((beta + root) / alpha + l2), 0.0)
             w[-1] = -zx[-1] / ((beta + root[-1]) / alpha + l2)  # the bias is not thinned out
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - y
-            if abs(g) < 1e-4:
-                continue
             after = nx + g * g
             z[x] = zx + g - (np.sqrt(after) - root) / alpha * w
             n[x] = after
@@ -77,8 +78,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, folds: int
     return texts_of(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("key", "label", "text")
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: int = BITS, max_rows: int = MAX_ROWS, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", **how) -> tuple[np.ndarray, np.ndarray]:
-    """The weights. Executors extract the features; one task learns from those max_rows rows."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: int = BITS, max_rows: int = MAX_ROWS, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", max_features: int = MAX_FEATURES, **how) -> tuple[np.ndarray, np.ndarray]:
+    """The weights. Executors extract the features; one task learns, from no more than the bounds."""
     rows = training_rows(docs, labels, label_col, folds, max_rows, id_col, text_col)
 
     def extract(batches):
@@ -86,17 +87,18 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: in
             yield {"key": b.column(0), "label": b.column(1), "x": [features(t, bits).astype(np.int32).tobytes() for t in b.column(2).to_pylist()]}
 
     def fit(batches):
-        rows = []
+        rows, n = [], 0
         for b in batches:
-            rows += zip(b.column(0).to_pylist(), (np.frombuffer(x, np.int32) for x in b.column(2).to_pylist()), b.column(1).to_pylist())
-        rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
+            for x, y in zip(b.column(2).to_pylist(), b.column(1).to_pylist()):
+                n += len(x) // 4
+                if n <= max_features or not rows:
+                    rows.append((np.frombuffer(x, np.int32), y))
         if rows:
-            rows = [(x, y) for _, x, y in rows]
             at, w = learn(rows, bits, **how)
             yield {"at": at.astype(np.int64), "w": w}
 
     extracted = map_batches(rows, extract, schema_of("key bigint, label double, x binary"))
-    out = map_batches(extracted.repartition(1), fit, schema_of("at bigint, w double")).collect()
+    out = map_batches(extracted.repartition(1).sortWithinPartitions("key", "x"), fit, schema_of("at bigint, w double")).collect()
     return np.array([r["at"] for r in out], np.int64), np.array([r["w"] for r in out], np.float64)
 
 
