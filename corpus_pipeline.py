@@ -1,5 +1,10 @@
 """A corpus pipeline: toxic documents go, then repeated lines, then near duplicates, then
-documents that hold benchmark passages; what is left is packed into sequences."""
+documents that hold benchmark passages; what is left is packed into sequences.
+
+Defined results: null texts are empty: they are not toxic, have no lines, are near duplicates of each other, hold no passage and are packed as
+one end token. Rows of null id are never learned from and never dropped as duplicates; rows that share an id are told apart by their
+texts. An empty documents table gives no rows; without labels nothing is toxic, without benchmark nothing is contaminated. Other columns are kept,
+whatever their names, until packing."""
 
 from __future__ import annotations
 
@@ -15,9 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which no line is left go too. n_chars stays the length of the text that is returned."""
+    """Documents of which no line is left go too. n_chars, where it is, stays the length of the text that is returned."""
     out = line_dedup.remove_lines(docs)
-    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out if "n_chars" not in docs.columns else out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
