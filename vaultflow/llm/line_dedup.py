@@ -10,7 +10,7 @@ never rows: a task returns for each of its sets how many lines are similar, the
 the smallest of those that its pairs connect. A line is removed if an earlier line - by doc_id, then
 by a hash of the text, then by its number - is that similar to it.
 
-Rarity is counted over all lines in a table of hashed counts of fixed size; any order that all
+Rarity is counted over all lines in a table of hashed counts of fixed size, or smaller for few words; any order that all
 lines share keeps the join exact. Equal sets are one, with the number of their lines. Sets that have
 a word that HOT or more lines have are dealt by word and set, cut into chunks of CHUNK sets, and
 compared chunk by chunk, over all tasks.
@@ -32,6 +32,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -213,7 +214,10 @@ def lines_and_rarity(rows: DataFrame, make: Make = line_sets, bits: int = RARITY
     of_docs = both.filter("kind = 2").select(F.col("a").alias("doc"), "ver", F.col("b").alias("inside"))
     if not of_docs.groupBy("doc", "ver").count().filter("count > 1").isEmpty():
         lines = lines.distinct()  # rows of equal id and text are one document
-    return lines, of_docs, summed_counts(both.filter("kind = 1").select(F.col("a").alias("piece"), "data"), bits)
+    counts = summed_counts(both.filter("kind = 1").select(F.col("a").alias("piece"), "data"), bits)
+    while len(counts) > 1 << 12 and np.count_nonzero(counts) < len(counts) // 16:  # few words: a smaller table tells them apart as well
+        counts = np.minimum(counts.astype(np.uint32).reshape(-1, 2).sum(1), 65_535).astype(np.uint16)
+    return lines, of_docs, counts
 
 
 #: A word of a set's prefix, its place there, and the two words before it (0: none). place and size end at 65535.
@@ -254,10 +258,9 @@ def _dealt(r: np.ndarray, part: np.ndarray, parts: int, kind: int) -> dict:
     return {"kind": np.full(len(some), kind, np.int8), "part": some, "data": [r[order[ends[k] : ends[k + 1]]].tobytes() for k in some.tolist()]}
 
 
-def prefixes(rows: DataFrame, counts: np.ndarray, threshold: Fraction, parts: int, make: Make = line_sets, hot: int = HOT) -> DataFrame:
+def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int, make: Make = line_sets, hot: int = HOT) -> DataFrame:
     """kind, part, data: the words of all sets' prefixes, many packed together, dealt into parts by word (kind 0) or, words that
-    hot lines or more have, by word and set (kind 1). Of equal sets a task sends one."""
-    sent = rows.sparkSession.sparkContext.broadcast(counts)
+    hot lines or more have, by word and set (kind 1). Of equal sets a task sends one. sent: the counts."""
 
     def run(batches):
         seen, held, size = set(), [], 0
@@ -468,12 +471,12 @@ def _pair_by_pair(batches):
         yield now, word, np.concatenate([s for s, _ in held]), np.concatenate([r for _, r in held])
 
 
-def words_of_sets(rows: DataFrame, lines: DataFrame, wanted: DataFrame, counts: np.ndarray, threshold: Fraction, make: Make = line_sets) -> tuple[DataFrame, DataFrame]:
+def words_of_sets(rows: DataFrame, lines: DataFrame, wanted: DataFrame, sent: Broadcast, threshold: Fraction, make: Make = line_sets) -> tuple[DataFrame, DataFrame]:
     """(line_set, words: by rarity, packed; of the sets in wanted (line_set); doc, ver, inside: the pairs, in both orders, of its lines of
     different wanted sets that are similar, where there are any). Bloom filters of fixed size say which documents are read and which
     sets are sent; a join leaves no doubt."""
     sc = rows.sparkSession.sparkContext
-    asked, sent = sc.broadcast(BloomFilter.of(wanted)), sc.broadcast(counts)
+    asked = sc.broadcast(BloomFilter.of(wanted))
 
     def holders(batches):
         for b in batches:
@@ -500,6 +503,8 @@ def words_of_sets(rows: DataFrame, lines: DataFrame, wanted: DataFrame, counts:
 
     both = map_batches(rows.withColumn("key", F.xxhash64("doc_id", "ver")), run, schema_of("kind tinyint, a bigint, ver bigint, inside bigint, words binary"))
     both = materialise(both, "words")
+    asked.destroy()
+    found_in.destroy()
     words = both.filter("kind = 0").select(F.col("a").alias("line_set"), "words").join(wanted, "line_set", "left_semi")
     inside = both.filter("kind = 1").groupBy(F.col("a").alias("doc"), "ver").agg(F.max("inside").alias("more_inside"))  # of repeated rows one
     return words.groupBy("line_set").agg(F.first("words").alias("words")), inside
@@ -561,9 +566,11 @@ def links(rows: DataFrame, lines: DataFrame, counts: np.ndarray, threshold: Frac
     spark = rows.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = materialise(lines.groupBy("line_set").agg(F.min(F.struct("doc", "ver", "line")).alias("first"), F.count(F.lit(1)).alias("n")), "sets")
-    asks = materialise(asked(prefixes(rows, counts, threshold, parts, make, hot), threshold, chunk), "asked")
+    sent = spark.sparkContext.broadcast(counts)
+    asks = materialise(asked(prefixes(rows, sent, threshold, parts, make, hot), threshold, chunk), "asked")
     wanted = materialise(asks.select("line_set").distinct(), "wanted")
-    words, inside = words_of_sets(rows, lines, wanted, counts, threshold, make)
+    words, inside = words_of_sets(rows, lines, wanted, sent, threshold, make)
+    sent.destroy()  # what it went into is written
     known = words.join(sets, "line_set").select("line_set", "words", "n", "first.*")
     every = asks.join(materialise(known, "known"), "line_set").select("key", "word", "side", "line_set", "words", "n", "doc", "ver", "line")
     found = map_batches(every.repartition("key").sortWithinPartitions("key"), _linked(threshold), schema_of("line_set bigint, more bigint, doc bigint, ver bigint, line int, own bigint, root bigint"))
