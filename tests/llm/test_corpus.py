@@ -212,7 +212,7 @@ def test_lm_keeps_what_recurs_however_large_the_table(spark, rows):
     assert got == pytest.approx(want)
 
 
-@pytest.mark.parametrize("how", [{}, {"hot": 3, "chunk": 4, "rarity_bits": 12}, {"hot": 1, "chunk": 16, "rarity_bits": 5}])
+@pytest.mark.parametrize("how", [{}, {"hot": 3, "chunk": 4, "rarity_bits": 12}, {"hot": 1, "chunk": 16, "rarity_bits": 5}, {"sifting": True}])
 def test_lines(spark, rows, docs, how):
     got = {(r["doc"], r["line"]): (r["match_doc"], r["match_line"]) if r["match_doc"] is not None else None for r in line_dedup.duplicate_lines(docs, **how).collect()}
     assert got == matches(rows)
@@ -299,3 +299,14 @@ def test_all_links_and_classes(spark, rows, sf):
     got = {r["doc_id"]: (r["n_links"], r["class_id"]) for r in line_dedup.op9_line_dedup(spark, sf(rows)).collect()}
     assert label[902] == 900 and links[900] == 1 and links[949] == 39
     assert got == {i: (links[i], label[i]) for i, _ in rows}
+
+
+def test_places_that_recur(spark):
+    r = np.random.default_rng(4)
+    parts = [r.integers(0, 1 << 22, n) for n in (0, 1, 5000, 60_000)] + [np.array([7, 7, 1 << 21]), np.array([0, (1 << 22) - 1]), np.array([(1 << 22) - 1])]
+    seen = [line_dedup.seen_places(x) for x in parts]
+    rows = spark.createDataFrame([x for s in seen for x in zip(s["piece"], s["data"])], line_dedup.RECURRING)
+    bitmap = line_dedup.recurring_places(rows, 22)
+    want = np.bincount(np.concatenate(parts), minlength=1 << 22) > 1
+    assert (np.unpackbits(bitmap, bitorder="little").astype(bool) == want).all()
+    assert (line_dedup.recurs(bitmap, np.arange(1 << 22, dtype=np.uint64) << np.uint64(42)) == want).all()

@@ -59,6 +59,7 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> Data
 
 def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: T.StructType) -> DataFrame:
     """mapInArrow with dicts of columns instead of record batches on the way out."""
+    _bound_batches(df.sparkSession)
     fields = [(x.name, _arrow_type(x.dataType)) for x in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,6 +71,13 @@ def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Batches for Python of 8 MB at most, however long the texts, unless the session was given another bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name) and spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, "8m")
+
+
 def _give_back() -> None:
     """Freed memory goes back to the system: a worker lives on, and others share its executor's limit."""
     pa.default_memory_pool().release_unused()
@@ -235,6 +243,61 @@ def _pieces(rows: DataFrame, size: int) -> Iterator[tuple[int, bytes]]:
         yield r["piece"], bytes(r["data"])
 
 
+#: Places in a piece of a table of what recurs.
+_RECURRING = 1 << 20
+RECURRING = "piece bigint, data binary"
+
+
+def _gaps(x: np.ndarray) -> bytes:
+    """Ascending places as the gaps between them, a byte each; 255 adds to the gap that follows."""
+    d = np.diff(x, prepend=0)
+    more = d // 255
+    out = np.full(len(d) + int(more.sum()), 255, np.uint8)
+    out[np.cumsum(more + 1) - 1] = d % 255
+    return out.tobytes()
+
+
+def _from_gaps(raw: np.ndarray) -> np.ndarray:
+    return np.cumsum(raw, dtype=np.int64)[raw != 255]
+
+
+def seen_places(places: np.ndarray) -> dict:
+    """Columns of RECURRING: for each piece of _RECURRING places those that stand once and, in a row of their own, those that stand
+    more often in places."""
+    at, n = np.unique(places, return_counts=True)
+    out: dict = {"piece": [], "data": []}
+    for several, x in enumerate((at[n == 1], at[n > 1])):
+        ends = np.append(np.flatnonzero(np.diff(x // _RECURRING)) + 1, len(x)) if len(x) else np.empty(0, np.int64)
+        for s, e in zip(np.append(0, ends[:-1])[: len(ends)].tolist(), ends.tolist()):
+            out["piece"].append(int(x[s] // _RECURRING))
+            out["data"].append(bytes([several]) + _gaps(x[s:e] % _RECURRING))
+    return out
+
+
+def recurring_places(rows: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each of 2**bits places, whether it stands twice or more in rows of RECURRING; put together on the executors, of fixed size."""
+
+    def merged(batches):
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for piece, data in zip(b.column(0).to_pylist(), b.column(1)):
+                raw = np.frombuffer(data.as_buffer(), np.uint8)
+                at, n = _from_gaps(raw[1:]), held.setdefault(piece, np.zeros(_RECURRING, np.uint8))
+                n[at] = np.minimum(n[at] + 1 + raw[0], 2)  # a place stands once in each
+        yield {"piece": list(held), "data": [np.packbits(n > 1, bitorder="little").tobytes() for n in held.values()]}
+
+    out = np.zeros(max(1 << (bits - 3), _RECURRING >> 3), np.uint8)
+    for r in map_batches(rows.repartition("piece"), merged, schema_of(RECURRING)).collect():
+        out[r["piece"] * _RECURRING // 8 :][: _RECURRING // 8] = np.frombuffer(r["data"], np.uint8)
+    return out[: 1 << (bits - 3)]
+
+
+def recurs(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the place of each key, its highest bits, is set."""
+    at = keys >> np.uint64(65 - (8 * len(bitmap)).bit_length())
+    return ((bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
 _PIECE = 1 << 16
 _COUNT = np.dtype([("at", "<u2"), ("n", "<u2")])
 

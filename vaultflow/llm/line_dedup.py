@@ -36,12 +36,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import LOWER, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, parted, portions, read_table, schema_of, summed_counts, text_hash, texts_of, without
+from vaultflow.llm._common import LOWER, RECURRING, BloomFilter, join_by_unique_key, map_batches, materialise, packed_counts, parted, portions, read_table, recurring_places, recurs, schema_of, seen_places, summed_counts, text_hash, texts_of, without
 from vaultflow.llm.components import connected_components
 
 THRESHOLD = Fraction(4, 5)
 RARITY_BITS = 22
 HOT, CHUNK = 16_384, 8_192
+#: Places of the table of what recurs in prefixes (16 MB), and how many places a task holds before it sends them.
+SIFT_BITS, _SIFTED_AT_ONCE = 27, 2_000_000
 #: Documents, and bytes of their texts, whose words are held at once; a longer text stands alone.
 _AT_ONCE, _BYTES_AT_ONCE = 512, 1 << 21
 #: Words of sets that are compared at once, and those of one step of a verification.
@@ -233,15 +235,19 @@ def _parities(words: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.bitwise_xor.reduceat(np.where(high, _ZERO, bit), start), np.bitwise_xor.reduceat(np.where(high, bit, _ZERO), start)
 
 
-def _prefixes(words: np.ndarray, often: np.ndarray, x: Sets, own: np.ndarray, of: np.ndarray, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of _PREFIX of the sets for which `of` is true, and where their words lie in words (by rarity). Words that no other
-    line has are left out, as are sets too small to be similar to any but their equals."""
+def _prefix_length(size: np.ndarray, threshold: Fraction) -> np.ndarray:
+    """How many words of a set's order one that is similar to it must share one of; 0 where only equal sets are similar."""
     num, den = threshold.numerator, threshold.denominator
-    # The largest set that x is similar to has den/num of its size; they may differ in (den - num) / (num + den) of both.
-    of = of & ((den - num) * (x.size + x.size * den // num) >= num + den)
+    # The largest set that is similar has den/num of its size; they may differ in (den - num) / (num + den) of both.
+    return np.where((den - num) * (size + size * den // num) >= num + den, size - -(-num * size // den) + 1, 0)
+
+
+def _prefixes(words: np.ndarray, often: np.ndarray, x: Sets, own: np.ndarray, of: np.ndarray, threshold: Fraction, use: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of _PREFIX of the sets for which `of` is true, and where their words lie in words (by rarity). Words that no other
+    line has, or for which `use` isn't true, are left out, as are sets too small to be similar to any but their equals."""
     place = np.arange(len(words)) - x.start[x.line]
-    length = np.where(of, x.size - -(-num * x.size // den) + 1, 0)
-    at = np.flatnonzero((place < length[x.line]) & (often > 1))
+    length = np.where(of, _prefix_length(x.size, threshold), 0)
+    at = np.flatnonzero((place < length[x.line]) & (often > 1) & (True if use is None else use))
     line, place = x.line[at], place[at]
     p = _parities(words, x.start)
     r = np.empty(len(at), _PREFIX)
@@ -258,9 +264,36 @@ def _dealt(r: np.ndarray, part: np.ndarray, parts: int, kind: int) -> dict:
     return {"kind": np.full(len(some), kind, np.int8), "part": some, "data": [r[order[ends[k] : ends[k + 1]]].tobytes() for k in some.tolist()]}
 
 
-def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int, make: Make = line_sets, hot: int = HOT) -> DataFrame:
+def sift(rows: DataFrame, sent: Broadcast, threshold: Fraction, make: Make, bits: int = SIFT_BITS) -> np.ndarray:
+    """A bitmap of the places of words that the prefixes of two sets or more have; of fixed size, and never wrong about those that do."""
+
+    def run(batches):
+        seen, held, size = set(), [], 0
+        for b in batches:
+            for _, _, texts in _each(b):
+                x = make(texts)
+                own = x.ids()
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                new = np.array([s not in seen and not seen.add(s) for s in own.tolist()], bool)
+                words, often = x.by_rarity(sent.value)
+                place = np.arange(len(words)) - x.start[x.line]
+                at = np.flatnonzero(new[x.line] & (place < _prefix_length(x.size, threshold)[x.line]) & (often > 1))
+                held.append((words[at] >> np.uint64(64 - bits)).astype(np.int64))
+                size += len(at)
+                if size > _SIFTED_AT_ONCE:
+                    yield seen_places(np.concatenate(held))
+                    held, size = [], 0
+        if size:
+            yield seen_places(np.concatenate(held))
+
+    return recurring_places(map_batches(rows, run, schema_of(RECURRING)), bits)
+
+
+def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int, make: Make = line_sets, hot: int = HOT, sifted: Broadcast | None = None) -> DataFrame:
     """kind, part, data: the words of all sets' prefixes, many packed together, dealt into parts by word (kind 0) or, words that
-    hot lines or more have, by word and set (kind 1). Of equal sets a task sends one. sent: the counts."""
+    hot lines or more have, by word and set (kind 1). Of equal sets a task sends one. sent: the counts; sifted: what sift()
+    returned: words that no other prefix has are left out."""
 
     def run(batches):
         seen, held, size = set(), [], 0
@@ -282,7 +315,7 @@ def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int,
                     seen.clear()
                 new = np.array([s not in seen and not seen.add(s) for s in own.tolist()], bool)
                 words, often = x.by_rarity(sent.value)
-                r, at = _prefixes(words, often, x, own, new, threshold)
+                r, at = _prefixes(words, often, x, own, new, threshold, None if sifted is None else recurs(sifted.value, words))
                 held.append((r, often[at]))
                 size += len(r)
                 if size > 200_000:
@@ -559,15 +592,19 @@ def _linked(threshold: Fraction):
     return run
 
 
-def links(rows: DataFrame, lines: DataFrame, counts: np.ndarray, threshold: Fraction, make: Make, hot: int, chunk: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def links(rows: DataFrame, lines: DataFrame, counts: np.ndarray, threshold: Fraction, make: Make, hot: int, chunk: int, sifting: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(line_set, n, first, links, match: of each set the number and the earliest (doc, ver, line) of its lines, how many lines are similar,
     equal ones included, and the earliest of those; a, b: docs, enough to connect all that have similar sets of different words;
-    doc, ver, more_inside as of words_of_sets)."""
+    doc, ver, more_inside as of words_of_sets). sifting: one pass more over rows, to send only words that recur in prefixes; it
+    changes no result."""
     spark = rows.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = materialise(lines.groupBy("line_set").agg(F.min(F.struct("doc", "ver", "line")).alias("first"), F.count(F.lit(1)).alias("n")), "sets")
     sent = spark.sparkContext.broadcast(counts)
-    asks = materialise(asked(prefixes(rows, sent, threshold, parts, make, hot), threshold, chunk), "asked")
+    sifted = spark.sparkContext.broadcast(sift(rows, sent, threshold, make)) if sifting else None
+    asks = materialise(asked(prefixes(rows, sent, threshold, parts, make, hot, sifted), threshold, chunk), "asked")
+    if sifted is not None:
+        sifted.destroy()
     wanted = materialise(asks.select("line_set").distinct(), "wanted")
     words, inside = words_of_sets(rows, lines, wanted, sent, threshold, make)
     sent.destroy()  # what it went into is written
@@ -586,11 +623,11 @@ def _matched(lines: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
     return out.select("doc", "ver", "line", *(F.when(later, F.col(f"match.{c}")).alias(f"match_{c}") for c in ("doc", "line")), *more)
 
 
-def duplicate_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", make: Make = line_sets, rarity_bits: int = RARITY_BITS, hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
+def duplicate_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", make: Make = line_sets, rarity_bits: int = RARITY_BITS, hot: int = HOT, chunk: int = CHUNK, sifting: bool = False) -> DataFrame:
     """doc, ver, line, match_doc, match_line: for each line with words, the earliest line that is similar to it, or nulls. ver is the text's hash."""
     rows = numbered(docs, id_col, text_col)
     lines, _, counts = lines_and_rarity(rows, make, rarity_bits)
-    return _matched(lines, links(rows, lines, counts, threshold, make, hot, chunk)[0])
+    return _matched(lines, links(rows, lines, counts, threshold, make, hot, chunk, sifting)[0])
 
 
 def remove_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", drop_empty: bool = True, **how) -> DataFrame:
@@ -619,10 +656,10 @@ def remove_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str =
     return rest.unionByName(touched.mapInArrow(cut, docs.schema))
 
 
-def drop_similar(docs: DataFrame, threshold: Fraction = THRESHOLD, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", rarity_bits: int = 24, **how) -> DataFrame:
+def drop_similar(docs: DataFrame, threshold: Fraction = THRESHOLD, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """docs, all columns, without the documents to which an earlier one is similar: the Jaccard similarity of their sets of
     shingles, verified on whole sets, is threshold or more. Documents without words and those of null id stay."""
-    found = duplicate_lines(docs, threshold, id_col, text_col, partial(shingle_sets, shingle=shingle), rarity_bits, **how)
+    found = duplicate_lines(docs, threshold, id_col, text_col, partial(shingle_sets, shingle=shingle), **({"sifting": True} | how))
     return without(docs, materialise(found.filter(F.col("match_doc").isNotNull()).select("doc", "ver"), "similar"), id_col, text_col)
 
 

@@ -29,7 +29,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultflow.llm._common import LOWER, BloomFilter, crc_fold, id_type, join_by_unique_key, map_batches, materialise, read_table, schema_of, texts_of
+from vaultflow.llm._common import LOWER, RECURRING, BloomFilter, crc_fold, id_type, join_by_unique_key, map_batches, materialise, read_table, recurring_places, recurs, schema_of, seen_places, texts_of
 
 DEPTH = 3
 #: Sequences of fewer occurrences are not learned from.
@@ -42,8 +42,8 @@ FOLDS = 10
 BLOCK_TOKENS = 2_000_000
 #: The hash of the token that ends a document; no word is hashed to it but by chance.
 END = np.uint64(0)
-#: Places of a bitmap of what may recur (two to four a token, at most 2**MOST_BITS), and those of one piece of it.
-MOST_BITS, _PIECE_BITS = 27, 20
+#: Places of a bitmap of what may recur (two to four a token, at most 2**MOST_BITS), but 2**LEAST_BITS at least.
+LEAST_BITS, MOST_BITS = 20, 27
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -284,16 +284,11 @@ def _before(x: np.ndarray) -> np.ndarray:
     return np.append(x[:1], x[:-1])
 
 
-def _recurs(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys >> np.uint64(65 - (8 * len(bitmap)).bit_length())
-    return ((bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-
-
 def _candidates(keys: list[np.ndarray], fits: list[np.ndarray], bitmaps: list[np.ndarray], k: int) -> np.ndarray:
     """Where sequences of k + 2 words end whose start and end may recur."""
     if not k:
         return fits[1]
-    may = _recurs(bitmaps[k - 1], keys[k]) & fits[k]
+    may = recurs(bitmaps[k - 1], keys[k]) & fits[k]
     return fits[k + 1] & may & _before(may)
 
 
@@ -309,7 +304,6 @@ def recurring(cut: DataFrame, bitmaps: list[Broadcast], bits: int) -> np.ndarray
     """A bitmap of the places of sequences one longer than those of bitmaps[-1] that training texts hold twice or more; of fixed
     size, and never wrong about those that do."""
     k = len(bitmaps)
-    size = 1 << _PIECE_BITS
 
     def places(batches):
         maps = [x.value for x in bitmaps]
@@ -317,28 +311,9 @@ def recurring(cut: DataFrame, bitmaps: list[Broadcast], bits: int) -> np.ndarray
             for i in range(b.num_rows):
                 tokens, starts, train = _block_tokens(b, i)
                 keys, fits = _chains(tokens, starts, k + 1)
-                at, n = np.unique(keys[k + 1][_candidates(keys, fits, maps, k) & train] >> np.uint64(64 - bits), return_counts=True)
-                piece = (at >> np.uint64(_PIECE_BITS)).astype(np.int64)
-                own = ((at & np.uint64(size - 1)) << np.uint64(1) | (n > 1).astype(np.uint64)).astype(np.uint32)
-                ends = np.append(np.flatnonzero(np.diff(piece)) + 1, len(piece)) if len(piece) else np.empty(0, np.int64)
-                firsts = np.append(0, ends[:-1])[: len(ends)]
-                yield {"piece": piece[firsts], "data": [own[s:e].tobytes() for s, e in zip(firsts.tolist(), ends.tolist())]}
-
-    def merged(batches):
-        held: dict[int, np.ndarray] = {}
-        for b in batches:
-            for piece, data in zip(b.column(0).to_pylist(), b.column(1)):
-                x = np.frombuffer(data.as_buffer(), np.uint32)
-                n = held.setdefault(piece, np.zeros(size, np.uint8))
-                n[x >> 1] = np.minimum(n[x >> 1] + 1 + (x & 1), 2)  # a place stands once in each
-        yield {"piece": list(held), "data": [np.packbits(n > 1, bitorder="little").tobytes() for n in held.values()]}
+                yield seen_places((keys[k + 1][_candidates(keys, fits, maps, k) & train] >> np.uint64(64 - bits)).astype(np.int64))
 
-    schema = schema_of("piece bigint, data binary")
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    found = map_batches(cut.select("tokens", "words", "sizes", "held_out"), places, schema)
-    for r in map_batches(found.repartition("piece"), merged, schema).collect():  # of fixed size
-        out[r["piece"] * size // 8 :][: size // 8] = np.frombuffer(r["data"], np.uint8)
-    return out
+    return recurring_places(map_batches(cut.select("tokens", "words", "sizes", "held_out"), places, schema_of(RECURRING)), bits)
 
 
 def sequences(cut: DataFrame, bitmaps: list[Broadcast], least: int = LEAST) -> DataFrame:
@@ -353,7 +328,7 @@ def sequences(cut: DataFrame, bitmaps: list[Broadcast], least: int = LEAST) -> D
                 keys, fits = _chains(tokens, starts, len(maps))
                 for k, bitmap in enumerate(maps):
                     at = np.flatnonzero(_candidates(keys, fits, maps, k) & train)
-                    at = at[_recurs(bitmap, keys[k + 1][at])]
+                    at = at[recurs(bitmap, keys[k + 1][at])]
                     key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
                     at = at[first]
                     yield {"level": np.full(len(at), k, np.int8), "key": key.view(np.int64), "context": keys[k][at - 1].view(np.int64), "suffix": keys[k][at].view(np.int64), "n": n}
@@ -422,7 +397,7 @@ def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, d
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     totals = Totals(int(n), int(v), discount)
     bitmaps: list[Broadcast] = []
-    bits = min(MOST_BITS, max(_PIECE_BITS, totals.tokens.bit_length() + 1))
+    bits = min(MOST_BITS, max(LEAST_BITS, totals.tokens.bit_length() + 1))
     for _ in range(depth if n else 0):
         bitmaps.append(spark.sparkContext.broadcast(recurring(cut, bitmaps, bits)))
     asked = cut.select("block", F.posexplode("words").alias("at", "word")).join(counts, "word")
@@ -444,7 +419,7 @@ def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, d
                         held, back = np.unique(context, return_inverse=True)
                         may = bloom.may_hold(held.view(np.int64))
                         key = keys[k + 1][fits[k + 1]][may[back]]
-                        key = np.unique(key[_recurs(bitmap, key)])
+                        key = np.unique(key[recurs(bitmap, key)])
                         for kind, x in enumerate((held[may], key)):
                             yield {"block": np.full(len(x), block), "kind": np.full(len(x), kind, np.int8), "key": x.view(np.int64)}
 
