@@ -310,3 +310,15 @@ def test_places_that_recur(spark):
     want = np.bincount(np.concatenate(parts), minlength=1 << 22) > 1
     assert (np.unpackbits(bitmap, bitorder="little").astype(bool) == want).all()
     assert (line_dedup.recurs(bitmap, np.arange(1 << 22, dtype=np.uint64) << np.uint64(42)) == want).all()
+
+
+def test_sums_of_counts(spark):
+    r = np.random.default_rng(6)
+    tables = []
+    for n, most in ((10, 3), (200_000, 5), (1_000_000, 2)):
+        x = np.zeros(1 << 18, np.int64)
+        np.add.at(x, r.integers(0, 1 << 18, n), r.integers(1, most, n))
+        tables.append(x)
+    tables.append(tables[-1] * 300)
+    rows = spark.createDataFrame([x for t in tables for x in line_dedup.packed_counts(t)], "piece bigint, data binary")
+    assert (line_dedup.summed_counts(rows, 18) == np.minimum(np.minimum(tables, 65_535).sum(0), 65_535)).all()

@@ -303,13 +303,21 @@ _COUNT = np.dtype([("at", "<u2"), ("n", "<u2")])
 
 
 def packed_counts(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Pieces of an array of counts, as the places and values that are not 0; values stop at 65535."""
+    """Pieces of an array of counts, in the shortest of three forms: a byte or two for each place, or the places and values that are
+    not 0. Values stop at 65535."""
     at = np.flatnonzero(counts)
     for piece in np.unique(at // _PIECE).tolist():
         own = at[np.searchsorted(at, piece * _PIECE) : np.searchsorted(at, (piece + 1) * _PIECE)]
-        out = np.empty(len(own), _COUNT)
-        out["at"], out["n"] = own % _PIECE, np.minimum(counts[own], 65_535)
-        yield piece, out.tobytes()
+        n = np.minimum(counts[own], 65_535)
+        width = 1 if n.max() < 256 else 2
+        if width * _PIECE < len(own) * _COUNT.itemsize:
+            dense = np.zeros(_PIECE, f"<u{width}")
+            dense[own % _PIECE] = n
+            yield piece, bytes([width]) + dense.tobytes()
+        else:
+            out = np.empty(len(own), _COUNT)
+            out["at"], out["n"] = own % _PIECE, n
+            yield piece, b"\0" + out.tobytes()
 
 
 def summed_counts(rows: DataFrame, bits: int) -> np.ndarray:
@@ -320,8 +328,12 @@ def summed_counts(rows: DataFrame, bits: int) -> np.ndarray:
         held: dict[int, np.ndarray] = {}
         for b in batches:
             for piece, data in zip(b.column(0).to_pylist(), b.column(1)):
-                own = np.frombuffer(data.as_buffer(), _COUNT)
-                held.setdefault(piece, np.zeros(_PIECE, np.int64))[own["at"]] += own["n"]  # a place stands once in each
+                raw, total = data.as_py(), held.setdefault(piece, np.zeros(_PIECE, np.int64))
+                if raw[0]:
+                    total += np.frombuffer(raw, f"<u{raw[0]}", offset=1)
+                else:
+                    own = np.frombuffer(raw, _COUNT, offset=1)
+                    total[own["at"]] += own["n"]  # a place stands once in each
         yield {"piece": list(held), "data": [np.minimum(x, 65_535).astype(np.uint16).tobytes() for x in held.values()]}
 
     out = np.zeros(1 << bits, np.uint16)
