@@ -24,6 +24,9 @@ LOWER_ALNUM = bytes(
 )
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,10 +46,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df once, as Parquet in the shared folder, and reads it again.
 
     Cuts the lineage: lost executors cost no recomputation, and later plans read only the
-    columns that they use."""
+    columns that they use. Shuffle files that the write needed go with it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.select("*").write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
