@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vaultflow import schemas
 from vaultflow.operators import scan, state
 from vaultflow.sources import sinks, wal
-from vaultflow.sources.tables import SnapshotTable
+from vaultflow.sources.tables import Conflict, SnapshotTable, retry_on_conflict
 from vaultflow.sources.vault import parquet_vault, seeded_vault
 from vaultflow.streaming import export
 
@@ -111,7 +111,34 @@ def test_snapshots(spark, tmp_path):
         t.commit(row, expected=1)
     t.commit(row)
     t.prune(1)
-    assert not os.path.exists(f"{tmp_path}/t/v=00000001") and t.read().count() == 1
+    assert not glob.glob(f"{tmp_path}/t/v=00000001*") and t.read().count() == 1
+
+
+def test_snapshots_of_writers_that_die_or_meet(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", schemas.RELATIONS["cursors"]
+    t = SnapshotTable(spark, path, schema)
+    row = spark.createDataFrame([("p", 1, 1, dt.datetime(2024, 1, 1))], schema)
+    t.commit(row)
+    row.write.parquet(f"{path}/v=00000002-dead")  # died before the pointer
+    assert t.version() == 1 and t.read().count() == 1
+    open(f"{path}/_at.00000002", "w").close()  # died, or is about, to say which folder
+    assert t.version() == 1
+    with pytest.raises(Conflict):
+        t.commit(row)
+    t.DEAD_AFTER = 0
+    assert t.commit(t.read().unionByName(row)) == 3 and t.read().count() == 2
+    waits, first = [], iter([True])
+
+    def change(rows):
+        if next(first, False):  # another writer comes in between
+            other = SnapshotTable(spark, path, schema)
+            other.DEAD_AFTER = 0
+            other.commit(other.read().unionByName(row))
+        return rows.unionByName(row)
+
+    assert retry_on_conflict(t, change, sleep=waits.append) == 5 and waits == [0.25] and t.read().count() == 4
+    with pytest.raises(Conflict):
+        retry_on_conflict(t, lambda rows: (t.commit(rows), rows)[1], attempts=2, sleep=waits.append)
 
 
 def test_parquet_vault(spark, tmp_path):
@@ -140,14 +167,70 @@ def test_stream_resumes_and_does_nothing_twice(spark, tmp_path):
         return s
 
     s = run()
-    assert s.outcomes.read().count() == 30 and seen.value == 30
+    assert s.recorded().count() == 30 and seen.value == 30
     rows.coalesce(1).write.mode("append").parquet(source)  # all, those known among them
     s = run()
-    done = s.outcomes.read()
+    done = s.recorded()
     assert done.count() == 90 and seen.value == 30 + 60 + 15  # failed ones run again
     assert s.cursors.read().first()["last_part"] == 1_000_089
 
 
+@pytest.mark.parametrize("step", ["process", "batch", "wal", "table"])
+def test_stream_that_dies_between_any_two_steps(spark, tmp_path, monkeypatch, step):
+    rows = scan.scan_documents(seeded_vault(spark, 20))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/source")
+    calls = []
+
+    def process(batch):
+        calls.append(batch.count())
+        return batch.select("idempotency_key", "part", "ver", "dfv", F.when(F.col("part") % 2 == 0, 2).otherwise(3).alias("status"), F.col("logical_size").alias("bytes_written"), *(F.lit(None).cast("string").alias(c) for c in ("output_path", "checksum", "failure_reason")), F.lit(1).alias("attempt"))
+
+    def run():
+        s = export.ExportStream(spark, f"{tmp_path}/state", process, merge_every=2)
+        s.start(export.descriptor_stream(spark, f"{tmp_path}/source", rows.schema), f"{tmp_path}/checkpoint").awaitTermination()
+        return s
+
+    def die(*_):
+        raise OSError("dies")
+
+    with monkeypatch.context() as m:
+        if step == "process":
+            m.setattr(export, "drop_done", die)
+        elif step == "batch":
+            m.setattr(export.ExportStream, "_move", die)
+        elif step == "wal":
+            m.setattr(SnapshotTable, "commit", die)
+        else:
+            m.setattr(SnapshotTable, "prune", die)
+        with pytest.raises(Exception, match="dies"):
+            run()
+    s = export.ExportStream(spark, f"{tmp_path}/state", process)
+    said = [(r["source"], r["behind"]) for r in s.diverged().collect()]
+    assert said == {"process": [], "batch": [], "wal": [("wal", "table")], "table": [("both", None)]}[step]
+    if step == "wal":
+        assert len(s.recover()) == 1 and s.cursors.read().first()["last_part"] == 1_000_019
+        assert [(r["source"], r["behind"]) for r in s.diverged().collect()] == [("both", None)]
+    s = run()
+    assert s.recorded().count() == 20 and calls == [20] and s.cursors.read().first()["last_part"] == 1_000_019
+    assert [r["source"] for r in s.diverged().collect()] == ["both"]
+    s.merge()
+    assert s.recorded().count() == 20 and s.merged.read().count() == 20 and not s._batches()
+
+
+def test_progress_is_published(spark, tmp_path):
+    rows = scan.scan_documents(seeded_vault(spark, 30))
+    rows.repartition(3).write.parquet(f"{tmp_path}/source")
+    said = []
+    publisher = export.ProgressPublisher(said.append)
+    spark.streams.addListener(publisher)
+    try:
+        export.descriptor_stream(spark, f"{tmp_path}/source", rows.schema).writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+        assert publisher.ended.wait(30)
+    finally:
+        spark.streams.removeListener(publisher)
+    assert sum(x["rows"] for x in said) == 30 and not publisher.failed and {x["batch"] for x in said} >= {0, 1, 2}
+
+
 def test_event_time_streams(spark, data):
     events = spark.readStream.schema(spark.read.parquet(f"{data}/events.parquet").schema).parquet(data + "/events.parqu*")
     events = events.withColumn("ts", F.col("ts").cast("timestamp"))

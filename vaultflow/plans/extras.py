@@ -167,7 +167,7 @@ def _streamed(r: Relations) -> DataFrame:
 
     s = export.ExportStream(r.spark, f"{root}/state", process)
     s.start(export.descriptor_stream(r.spark, f"{root}/source", rows.schema), f"{root}/checkpoint").awaitTermination()
-    return state.counters(s.outcomes.read()).select("total_recorded", "total_succeeded", "total_failed").crossJoin(F.broadcast(s.cursors.read().select("last_part")))
+    return state.counters(s.recorded()).select("total_recorded", "total_succeeded", "total_failed").crossJoin(F.broadcast(s.cursors.read().select("last_part")))
 
 
 _query("st_micro_batch_flush", _streamed, "descr", "SELECT count(*) AS total_recorded, count(*) - CAST(sum(CAST(part % 9 = 1 AS INTEGER)) AS BIGINT) AS total_succeeded, CAST(sum(CAST(part % 9 = 1 AS INTEGER)) AS BIGINT) AS total_failed, max(part) AS last_part FROM descr")

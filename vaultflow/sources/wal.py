@@ -30,6 +30,22 @@ def write_wal(root: str, partition: str, part: int, ver: int, docs: int, at: str
     return path
 
 
+def put_wal(spark: SparkSession, root: str, partition: str, part: int, ver: int, docs: int, at: str) -> str:
+    """write_wal on any file system that Hadoop knows: the line is written beside and renamed over the old one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, path = jvm.org.apache.hadoop.fs, wal_path(root, partition)
+    body = f"{part}|{ver}|{docs}|{at}"
+    temp, target = fs.Path(f"{path}.partial"), fs.Path(path)
+    out = temp.getFileSystem(conf).create(temp, True)
+    out.write(f"{body}|{zlib.crc32(body.encode()):08x}\n".encode())
+    out.hsync()
+    out.close()
+    over = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    over[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(temp.getFileSystem(conf).getUri(), conf).rename(temp, target, over)
+    return path
+
+
 def read_wal(spark: SparkSession, path: str) -> DataFrame:
     """file, last_part, last_ver, processed, at: of each file the last line that is not blank; files whose line is not whole give no row."""
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.split("value", "\\r?\\n").alias("lines"))
