@@ -6,7 +6,7 @@ import decimal
 import duckdb
 import pytest
 
-from vaultflow.plans import catalogue, extras  # noqa: F401
+from vaultflow.plans import catalogue, extras, operations  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

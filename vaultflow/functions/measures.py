@@ -124,6 +124,16 @@ def backoff_conflict_ms(attempt, draw=None) -> Column:
     return wait if draw is None else wait * (F.lit(0.75) + F.lit(0.5) * F.least(F.greatest(_col(draw), F.lit(0.0)), F.lit(1.0)))
 
 
+def after_seconds(ts, seconds) -> Column:
+    """The time so many seconds after ts."""
+    return _col(ts) + F.make_dt_interval(secs=_col(seconds))
+
+
+def json_or_null(*columns: str) -> Column:
+    """A JSON object of the columns, or null where all of them are."""
+    return F.when(F.coalesce(*(F.col(c).cast("string") for c in columns)).isNotNull(), F.to_json(F.struct(*columns)))
+
+
 # Failures by code.
 FAILURE_CODES: dict[str, dict[str, tuple[int, ...]]] = {
     "sql": {

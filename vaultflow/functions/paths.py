@@ -188,3 +188,8 @@ def quote_identifier(name: str) -> str:
     if not name or not name.strip():
         raise ValueError("an identifier must not be blank")
     return ".".join("`" + x.replace("`", "``") + "`" for x in name.split("."))
+
+
+def quoted(name) -> Column:
+    """One part of a name in backticks, its own doubled."""
+    return F.concat(F.lit("`"), F.replace(_col(name), F.lit("`"), F.lit("``")), F.lit("`"))

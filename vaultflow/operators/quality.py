@@ -81,6 +81,18 @@ def all_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def all_rules(tables: dict[str, DataFrame]) -> DataFrame:
+    """all_checks(), and of every unique key and reference how many keys or rows break it."""
+    out = all_checks(tables)
+    for rule, table in [(k, t) for k, (t, *_) in (UNIQUE | FOREIGN).items()]:
+        if table in tables and (rule in UNIQUE or FOREIGN[rule][2] in tables):
+            found = violations(rule, tables).agg(F.count(F.lit(1)).alias("violations"))
+            n = tables[table].agg(F.count(F.lit(1)).alias("n_rows"))
+            # One row by one row.
+            out = out.unionByName(found.crossJoin(n).select(F.lit(rule).alias("rule"), F.lit(table).alias("relation"), "n_rows", "violations"))
+    return out
+
+
 def forbidden_moves(moves: DataFrame) -> DataFrame:
     """Rows (previous, new) that the job's state machine does not know."""
     known = moves.sparkSession.createDataFrame(list(JOB_MOVES), "previous string, new string")

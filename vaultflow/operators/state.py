@@ -4,7 +4,7 @@ Tables are immutable snapshots: every change takes old rows and new ones and ret
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultflow.schemas import FAILED, ORIGIN, SKIPPED, SUCCEEDED
@@ -56,6 +56,13 @@ def advance_cursors(old: DataFrame, new: DataFrame) -> DataFrame:
     return g.select("partition_key", F.col("c.last_part").alias("last_part"), F.col("c.last_ver").alias("last_ver"), F.col("u.updated").alias("updated"))
 
 
+def advances(part, ver, last_part, last_ver) -> Column:
+    """Whether (part, ver) is strictly after the cursor (last_part, last_ver); any key is after no cursor."""
+    as_col = lambda x: F.col(x) if isinstance(x, str) else x
+    part, ver, last_part, last_ver = map(as_col, (part, ver, last_part, last_ver))
+    return last_part.isNull() | (part > last_part) | ((part == last_part) & (last_ver.isNull() | (ver > last_ver)))
+
+
 def high_water(outcomes: DataFrame) -> DataFrame:
     """The greatest (part, ver) of all outcomes."""
     return outcomes.agg(F.max(F.struct("part", "ver")).alias("c")).select(F.col("c.part").alias("last_part"), F.col("c.ver").alias("last_ver"))

@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultflow.functions import guards
+from vaultflow.operators.numbering import numbered
 from vaultflow.schemas import JOB_MOVES, TERMINAL
 
 
@@ -55,10 +56,8 @@ def audit_rows(changed: DataFrame, entity_type: str, action, previous, new, as_o
 
 
 def append_audit(audit: DataFrame, new: DataFrame) -> DataFrame:
-    """audit and new rows, numbered on from the greatest id by (entity, action). Rows of one change are few."""
-    start = _next_id(audit, "audit_id")
-    nth = F.row_number().over(Window.orderBy("entity_type", "entity_id", "action")) - 1 + F.lit(start)
-    return audit.unionByName(new.withColumn("audit_id", nth.cast("bigint")))
+    """audit and new rows, numbered on from the greatest id."""
+    return audit.unionByName(numbered(new.drop("audit_id"), "audit_id", _next_id(audit, "audit_id"), "entity_type", "entity_id", "action"))
 
 
 def start_job(jobs: DataFrame, as_of: str, name: str, server: str, database: str, partition: str = "default", expected: int | None = None, actor: str = "system") -> Change:
@@ -129,7 +128,8 @@ def register_worker(workers: DataFrame, as_of: str, job_id: int, name: str, mach
 
 
 def heartbeats(workers: DataFrame, beats: DataFrame, as_of: str) -> DataFrame:
-    """workers after beats (worker_id, new_status); unknown ids do nothing, and statuses other than Active, Idle, Stalled raise."""
+    """workers after beats (worker_id, new_status); unknown ids do nothing; missing and negative ids, and statuses other than Active, Idle, Stalled raise."""
+    _refuse(beats, F.coalesce("worker_id", F.lit(-1)) < 0, "worker_id", "heartbeats need a worker")
     bad = F.raise_error(F.concat(F.lit("not a heartbeat's status: "), F.col("__s"))).cast("string")
     status = F.when(F.col("__s").isNull(), F.col("status")).when(F.col("__s").isin(*guards.HEARTBEATS), F.col("__s")).otherwise(bad)
     b = beats.groupBy("worker_id").agg(F.max("new_status").alias("__s"))
@@ -155,17 +155,27 @@ def mark_stalled(workers: DataFrame, as_of: str, stale_after: int = 120) -> Chan
     return Change(workers.withColumn("status", F.when(late, F.lit("Stalled")).otherwise(F.col("status"))), audit_rows(changed, "ExportWorkers", "Stalled", F.col("status"), "Stalled", as_of, details, id_col="worker_id"), changed)
 
 
+def _refuse(rows: DataFrame, bad: Column, id_col: str, why: str) -> None:
+    """Raises if any row is bad, before a plan is built on them."""
+    found = rows.filter(bad).select(id_col).first()
+    if found is not None:
+        raise ValueError(f"{why}; {id_col} {found[0]}")
+
+
 def append(table: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
-    """table and rows (metrics, progress, errors), numbered on from the greatest id in the order of their other columns."""
-    start = _next_id(table, id_col)
+    """table and rows (metrics, progress, errors), numbered on from the greatest id."""
     rest = [c for c in table.columns if c != id_col]
     full = rows.select(*(F.col(c) if c in rows.columns else F.lit(None).cast(table.schema[c].dataType).alias(c) for c in rest))
-    nth = (F.row_number().over(Window.orderBy(*rest)) - 1 + F.lit(start)).cast("bigint")
-    return table.unionByName(full.withColumn(id_col, nth).select(*table.columns))
+    return table.unionByName(numbered(full, id_col, _next_id(table, id_col), *rest).select(*table.columns))
 
 
 def log_errors(errors: DataFrame, new: DataFrame, as_of: str) -> Change:
-    """errors with new ones, status New, and an audit row for each with its severity, category and source."""
+    """errors with new ones, status New, and an audit row for each with its severity, category and source. A new one without a job,
+    severity, category, source or message raises."""
+    blank = F.coalesce("job_id", F.lit(-1)) < 0
+    for c in ("severity", "category", "source", "message"):
+        blank = blank | (F.coalesce(F.trim(c), F.lit("")) == "")
+    _refuse(new, blank, "job_id", "errors need a job, severity, category, source and message")
     table = append(errors, new.withColumns({"occurred": _ts(as_of), "status": F.lit("New"), "attempt": F.coalesce("attempt", F.lit(1)) if "attempt" in new.columns else F.lit(1)}), "error_id")
     added = table.join(errors.select("error_id"), "error_id", "left_anti")
     details = F.to_json(F.struct(F.col("severity").alias("Severity"), F.col("category").alias("Category"), F.col("source").alias("Source")))
@@ -186,14 +196,14 @@ def resolve_error(errors: DataFrame, as_of: str, error_id: int, status: str = "R
 def save_checkpoints(checkpoints: DataFrame, candidates: DataFrame, as_of: str) -> Change:
     """candidates (job_id, partition_key, last_part, last_ver, processed), one for each job and partition: where one is
     strictly after the active checkpoint, it becomes the active one and the old one superseded; else nothing changes."""
+    _refuse(candidates, (F.coalesce("job_id", F.lit(-1)) < 0) | (F.coalesce(F.trim("partition_key"), F.lit("")) == ""), "job_id", "checkpoints need a job and a partition")
     active = checkpoints.filter("status = 'Active'").select("job_id", "partition_key", F.struct("last_part", "last_ver").alias("__now"))
     asked = candidates.join(active, ["job_id", "partition_key"], "left").withColumn("advanced", F.col("__now").isNull() | (F.struct("last_part", "last_ver") > F.col("__now")))
     going = asked.filter("advanced")
     marks = going.select("job_id", "partition_key", F.lit(True).alias("__old"))
     old = checkpoints.join(marks, ["job_id", "partition_key"], "left").withColumn("status", F.when(F.col("__old") & (F.col("status") == "Active"), F.lit("Superseded")).otherwise(F.col("status"))).select(*checkpoints.columns)
-    start = _next_id(checkpoints, "checkpoint_id")
-    nth = (F.row_number().over(Window.orderBy("job_id", "partition_key")) - 1 + F.lit(start)).cast("bigint")
-    new = going.withColumns({"checkpoint_id": nth, "checkpoint_at": _ts(as_of), "status": F.lit("Active")}).select(*checkpoints.columns)
+    going = numbered(going, "checkpoint_id", _next_id(checkpoints, "checkpoint_id"), "job_id", "partition_key")
+    new = going.withColumns({"checkpoint_at": _ts(as_of), "status": F.lit("Active")}).select(*checkpoints.columns)
     details = F.to_json(F.struct(F.col("last_part").alias("DocumentFilePartId"), F.col("last_ver").alias("VersionPartId")))
     return Change(old.unionByName(new), audit_rows(new, "ExportCheckpoints", "CheckpointSaved", None, "Active", as_of, details, id_col="checkpoint_id"), asked.select("job_id", "partition_key", F.col("advanced").cast("int").alias("advanced")))
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultflow.functions import guards
+from vaultflow.operators.numbering import numbered
 from vaultflow.operators.tracking import Change, NotAllowed, _next_id, _ts
 
 
@@ -26,9 +27,7 @@ def enqueue(items: DataFrame, new: DataFrame, job_id: int, as_of: str, strict: b
     if strict and not new.groupBy("idempotency_key").count().filter("count > 1").isEmpty():
         raise NotAllowed("keys are repeated within the batch")
     fresh = new.dropDuplicates(["idempotency_key"]).join(items.filter(F.col("job_id") == job_id).select("idempotency_key"), "idempotency_key", "left_anti")
-    start = _next_id(items, "item_id")
-    nth = (F.row_number().over(Window.orderBy("part", "ver", "dfv")) - 1 + F.lit(start)).cast("bigint")
-    rows = fresh.withColumns({"item_id": nth, "job_id": F.lit(job_id).cast("bigint"), "status": F.lit("Available"), "attempts": F.lit(0), "max_attempts": F.lit(max_attempts), "next_eligible": _ts(as_of)})
+    rows = numbered(fresh, "item_id", _next_id(items, "item_id"), "idempotency_key").withColumns({"job_id": F.lit(job_id).cast("bigint"), "status": F.lit("Available"), "attempts": F.lit(0), "max_attempts": F.lit(max_attempts), "next_eligible": _ts(as_of)})
     rows = rows.select(*((F.col(c) if c in rows.columns else F.lit(None)).cast(items.schema[c].dataType).alias(c) for c in items.columns))
     return Change(items.unionByName(rows), _no_audit(items), rows)
 

@@ -36,6 +36,11 @@ def quantiles(samples: DataFrame, value: str, by: tuple[str, ...], qs: tuple[flo
     return samples.groupBy(*by).agg(*(f(q).alias(f"p{round(100 * q)}") for q in qs))
 
 
+def latest(samples: DataFrame, ts: str, tie: str, *by: str) -> DataFrame:
+    """by and the value of the last sample, by time and then tie: what a gauge shows."""
+    return samples.groupBy(*by).agg(F.max_by("value", F.struct(ts, tie)).alias("value"))
+
+
 def clamped_ratio(df: DataFrame, part: str, rest: str, by: tuple[str, ...] = ()) -> DataFrame:
     """part over max(part + rest, 1), of sums."""
     g = df.groupBy(*by).agg(F.sum(part).alias("a"), F.sum(rest).alias("b"))

@@ -80,13 +80,17 @@ class ExportStream:
 
     def on_batch(self, batch: DataFrame, batch_id: int, run: str = "batch") -> None:
         folder = self._folder(run, batch_id)
-        if not self._fs.exists(self._path(f"{folder}/_SUCCESS")):
-            todo = drop_done(batch.dropDuplicates(["idempotency_key"]), self._known())
-            made = self.process(todo).withColumns({"observed": F.current_timestamp().cast("timestamp_ntz"), "seq": F.lit(time.time_ns() // 1000)})
-            made.select(*(f.name for f in RELATIONS["outcomes"].fields), "seq").write.mode("overwrite").parquet(folder)
-        made = self.spark.read.schema(self._schema).parquet(folder)
-        # The cursor follows the batch's documents, not just those it had to process: a run that begins anew moves it all the same.
-        at = high_water(batch.select("part", "ver").union(made.select("part", "ver"))).filter("last_part IS NOT NULL").first()
+        batch = batch.persist()  # descriptors alone; they are asked for several times
+        try:
+            if not self._fs.exists(self._path(f"{folder}/_SUCCESS")):
+                todo = drop_done(batch.dropDuplicates(["idempotency_key"]), self._known())
+                made = self.process(todo).withColumns({"observed": F.current_timestamp().cast("timestamp_ntz"), "seq": F.lit(time.time_ns() // 1000)})
+                made.select(*(f.name for f in RELATIONS["outcomes"].fields), "seq").write.mode("overwrite").parquet(folder)
+            made = self.spark.read.schema(self._schema).parquet(folder)
+            # The cursor follows the batch's documents, not just those it had to process: a run that begins anew moves it all the same.
+            at = high_water(batch.select("part", "ver").union(made.select("part", "ver"))).filter("last_part IS NOT NULL").first()
+        finally:
+            batch.unpersist()
         if at is not None:
             self._move(at["last_part"], at["last_ver"], made.count())
         if len(self._batches()) >= self.merge_every:
