@@ -7,7 +7,7 @@ HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)
 os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (HERE, os.environ.get("PYTHONPATH")) if x)
 
-DATA = "/root/testdata/sf0.001"
+DATA = os.environ.get("TEST_DATA", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
