@@ -129,3 +129,21 @@ def test_quality_edges(spark, docs, nothing):
     assert {r["score"] for r in quality.score(stats, quality.train(stats, one)).collect()} == {1.0}
     assert quality.document_statistics(nothing).count() == 0
     assert quality.keep_good(docs, one).count() == docs.count()
+
+
+@pytest.mark.parametrize("query, label", [("op2_toxicity", "toxic"), ("op8_quality", "quality")])
+def test_held_out_labels_are_never_learned(spark, data, tmp_path, query, label):
+    """Other labels of the rows that are held out change no score."""
+    from pyspark.sql import functions as F
+
+    from vaultflow.llm._common import fold
+    from vaultflow.llm.queries import QUERIES
+
+    scores = []
+    for k in range(2):
+        root = f"{tmp_path}/{k}"
+        spark.read.parquet(f"{data}/documents.parquet").write.parquet(f"{root}/documents.parquet")
+        labels = spark.read.parquet(f"{data}/labels.parquet")
+        labels.withColumn(label, F.when((fold(F.col("doc_id"), 5) == 0) & F.lit(k == 1), 1 - F.col(label)).otherwise(F.col(label))).write.parquet(f"{root}/labels.parquet")
+        scores.append({r["doc_id"]: r["score"] for r in QUERIES[query](spark, root).collect()})
+    assert scores[0] == pytest.approx(scores[1], abs=1e-12)

@@ -111,10 +111,27 @@ def test_longest_matches(spark, rows):
     assert got == want
 
 
+def paragraphs_of(text):
+    """Lines, cut after words whose CRC-32 is divisible by 8; with how often each has stood before."""
+    found, seen = set(), Counter()
+    for line in text.split("\n"):
+        parts, now = [], []
+        for w in line.split(" "):
+            now.append(w)
+            if zlib.crc32(w.encode()) % 8 == 0:
+                parts.append(" ".join(now))
+                now = []
+        for x in [*parts, " ".join(now)] if now else parts:
+            if x.encode().strip():
+                found.add((x, seen[x]))
+                seen[x] += 1
+    return found
+
+
 def test_fingerprints(spark, rows, docs, nothing, sf):
     ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     text = [t for _, t in ordered]
-    sets = lambda t: set(fingerprints.digests(t).tolist())
+    sets = paragraphs_of
     like = lambda a, b: 2 * len(sets(a) & sets(b)) / (len(sets(a)) + len(sets(b))) if sets(a) or sets(b) else 1.0
     got = {r["doc_id"]: r for r in fingerprints.op5_fingerprints(spark, sf(rows)).collect()}
     assert len(got) == len(rows)
@@ -322,3 +339,14 @@ def test_sums_of_counts(spark):
     tables.append(tables[-1] * 300)
     rows = spark.createDataFrame([x for t in tables for x in line_dedup.packed_counts(t)], "piece bigint, data binary")
     assert (line_dedup.summed_counts(rows, 18) == np.minimum(np.minimum(tables, 65_535).sum(0), 65_535)).all()
+
+
+def test_fingerprints_of_ids_that_are_words(spark, rows):
+    docs = spark.createDataFrame([(None if i is None else f"id{i:04d}", t) for i, t in rows], "doc_id string, text string").repartition(4)
+    schema = "doc_id string, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    got = {r["doc_id"]: r["edited_sha256"] for r in fingerprints.with_next(docs, fingerprints.with_edits, schema).collect()}
+    ordered = sorted((("" if i is None else f"id{i:04d}", t or "") for i, t in rows))
+    text = [t for _, t in ordered]
+    for k, (i, t) in enumerate(ordered):
+        n = len(t) // 4
+        assert got[i or None] == hashlib.sha256((t[: len(t) - n] + text[(k + 1) % len(text)][:n]).encode()).hexdigest()

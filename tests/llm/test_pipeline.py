@@ -1,3 +1,4 @@
+import random
 import sys
 
 import pytest
@@ -71,5 +72,56 @@ def test_run(spark, data):
     assert corpus_pipeline.run(spark, data).count() > 0
 
 
+WORDS = [f"w{k}" for k in range(900)]
+
+
+def odd_rows():
+    r = random.Random(5)
+    text = lambda n: " ".join(r.choices(WORDS, k=n))
+    long = "\n".join(text(50) for _ in range(400)) + "\n" + "x" * 300_000  # 20 000 words and one very long one
+    same = text(60)
+    return [(1, same), (1, text(40)), (1, same), (2, None), (3, ""), (None, text(30)), (None, None), (4, long), (5, long[: len(long) // 2]), (6, same), (7, text(20) + "\n" + text(5)), (8, " \n\t ")]
+
+
+@pytest.mark.parametrize("which", ["odd", "no documents", "no labels", "no benchmark", "only nulls"])
+def test_stages_on_odd_tables(spark, sf, which):
+    """Nulls, repeated ids, empty and very long texts, empty tables and columns of clashing names, in every stage."""
+    import corpus_pipeline
+
+    rows = {"no documents": [], "only nulls": [(None, None), (None, None)]}.get(which, odd_rows())
+    labels = [(1, None, 1), (4, 1, 0), (6, 1, 0), (None, 1, 1), (1, 0, 0)] if which != "no labels" else []
+    bench = [(1, " ".join((odd_rows()[10][1]).split()[3:18])), (None, None), (2, "")] if which != "no benchmark" else []
+    data = sf(rows, labels=(labels, "doc_id long, quality int, toxic int"), benchmark=(bench, "item_id long, text string"))
+    docs = spark.read.parquet(f"{data}/documents.parquet").selectExpr("*", "1 AS doc", "2 AS ver", "3 AS line", "'x' AS own_id", "4 AS mark_doc", "5 AS label", "6 AS n", "'y' AS part")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r["doc_id"], r["text"]) for r in docs.collect()]
+        docs = stage(spark, docs, data)
+        if name != "packing":
+            assert docs.columns == columns
+            if name == "toxicity":  # rejects by text alone; later stages keep rows without an id
+                nulls = docs.filter("doc_id IS NULL").count()
+            if name != "line_dedup":
+                assert set((r["doc_id"], r["text"]) for r in docs.collect()) <= set(before)
+    packed = docs.collect()
+    assert {r["doc_id"] for r in packed} == {i for i, _ in before}
+    assert sum(r["doc_id"] is None for r in packed) == nulls and (which != "no labels" or nulls == 2)
+
+
+@pytest.mark.parametrize("name", ["op1_secrets", "op2_toxicity", "op3_packing", "op4_decontamination", "op5_fingerprints", "op6_lm_scoring", "op7_simhash", "op8_quality", "op9_line_dedup", "op10_token_counts"])
+def test_queries_on_odd_tables(spark, sf, name):
+    from vaultflow.llm.queries import QUERIES
+
+    rows = odd_rows()
+    data = sf(rows, labels=([(1, 0, 1), (4, 1, 0), (6, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int"), benchmark=([(1, rows[10][1]), (None, None)], "item_id long, text string"))
+    got = [r.asDict() for r in QUERIES[name](spark, data).collect()]
+    if name == "op10_token_counts":
+        assert sum(r["n_docs"] for r in got) == len(rows)
+    elif name == "op3_packing":
+        assert {r["doc_id"] for r in got} == {i for i, _ in rows} and sum(r["piece"] == 0 for r in got) == len(rows) and max(r["piece"] for r in got) > 10
+    else:
+        assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, _ in rows)
+
+
 if __name__ == "__main__":
     sys.exit(pytest.main([__file__]))

@@ -147,7 +147,8 @@ def parsed(fingerprint: str) -> tuple[int, Sketches]:
 
 
 def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = CELLS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each pair of digest sets, what only a and what only b has, by sketches alone: where they don't peel, larger ones follow."""
+    """For each pair of digest sets, what only a and what only b has, by sketches: where they don't peel, larger ones follow. Two digests that
+    share all their cells never peel; beyond 64 times the cells that are needed, the sets themselves are compared."""
     out: list = [None] * len(a)
     todo = np.arange(len(a))
     largest = max((len(x) + len(y) for x, y in zip(a, b)), default=0)
@@ -205,6 +206,15 @@ def fingerprint_texts(docs: DataFrame, cells: int = CELLS, id_col: str = "doc_id
     return map_batches(texts_of(docs, id_col, text_col), run, schema_of(f"doc_id {id_type(docs, id_col)}, fingerprint string, n_paragraphs bigint"))
 
 
+def _bounds(ids: DataFrame, parts: int) -> list:
+    """Ids, parts - 1 of them at most, that cut all into ranges of about equal size: quantiles of numbers, and of other ids those of 64 for each part
+    of the smallest hashes."""
+    if id_type(ids, "doc_id") in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        return sorted(set(ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [1.0], 10_000)).first()[0] or []))
+    some = sorted(r[0] for r in ids.dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(64 * parts).collect())
+    return sorted({some[i * len(some) // parts] for i in range(1, parts)}) if some else []
+
+
 def with_next(docs: DataFrame, f, schema: str, at_once: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows that f makes of lists of (id, text) in ascending order of (id, text) - nulls first - and the
     text that follows them; after the last row comes the first.
@@ -215,8 +225,7 @@ def with_next(docs: DataFrame, f, schema: str, at_once: int = 512, id_col: str =
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = texts_of(docs, id_col, text_col)
     ids = rows.select("doc_id")
-    bounds = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [1.0], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds))
+    bounds = _bounds(ids, parts)
 
     def parts_of(ids: list) -> np.ndarray:
         known = np.array([bounds[0] if x is None else x for x in ids]) if bounds else np.zeros(len(ids))

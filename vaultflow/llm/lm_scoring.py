@@ -9,7 +9,7 @@ discounted mass for the one unknown word. Each token is scored in the longest su
 
 Counts of words and sequences are exact, over all training texts, and neither they nor the tree are
 ever broadcast or collected: blocks of documents ask for the words, contexts and sequences that they
-hold. Sequences are known by hashes of 64 bits. Bitmaps of fixed size say which may recur; where they
+hold. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
 fill up, more sequences are sent that turn out to be rare. grow(), prune() and token_scores() are the
 same tree in one place, for small tables.
 
