@@ -23,7 +23,7 @@ def _composed(s: pd.Series) -> pd.Series:
 
 
 def nfc(text) -> Column:
-    """Unicode's composed form; only texts beyond ASCII go to Python."""
+    """Unicode's composed form. Python gets a null in place of each text within ASCII, which is composed already."""
     text = _col(text)
     beyond = F.octet_length(text) > F.char_length(text)
     composed = F.pandas_udf(_composed, T.StringType())

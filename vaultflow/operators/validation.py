@@ -27,13 +27,14 @@ def validate(outcomes: DataFrame, files: DataFrame, root: str, algorithm: str |
     """outcomes (key, path, expected_size, expected_checksum, expected_extension, meta_path, meta_size, meta_checksum) with
     checks (all of them), status, failed_check, reason, retryable. The expected size is the source's, not the sink's own count."""
     names = set(files.columns)
-    f = files.select(F.col("path").alias("__path"), F.col("length").alias("__length"), F.col("content").alias("__content"), (F.col("readable") if "readable" in names else F.lit(True)).alias("__readable"))
+    # Checksums are made where the files are read: no payload is shuffled.
+    f = files.select(F.col("path").alias("__path"), F.col("length").alias("__length"), F.lower(checksum("content", algorithm)).alias("__hash"), (F.col("readable") if "readable" in names else F.lit(True)).alias("__readable"))
     df = outcomes.join(f, F.regexp_replace(F.col("path"), "^file:/*", "/") == F.regexp_replace(F.col("__path"), "^file:/*", "/"), "left")
     there, root = F.col("__path").isNotNull(), root.rstrip("/")
     blank = F.coalesce(F.trim("path") == "", F.lit(True))
     ext = F.lower(F.regexp_extract("path", "\\.([^./]*)$", 1))
     wrong_ext = ext != F.lower(F.coalesce("expected_extension", F.lit("")))
-    hashed = F.lower(checksum("__content", algorithm))
+    hashed = F.col("__hash")
     none = F.lit(algorithm is None or algorithm == "none")
     checks = F.array(
         _check("exists", blank | ~there, F.when(blank, "empty path").otherwise("missing"), ~blank),

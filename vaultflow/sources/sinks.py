@@ -33,7 +33,8 @@ def write_documents(rows: DataFrame, root: str, depth: int = 2, path: Column | N
     """Outcomes of writing data to files under root, a folder that all executors share.
 
     Each file is written beside its place, flushed, and renamed, so that a lost or repeated task leaves whole files;
-    a repeated one replaces its own. Each attempt starts from the payload's first byte. Rows without data are Skipped."""
+    a repeated one replaces its own. Each attempt starts from the payload's first byte. Rows without data are Skipped.
+    Payloads come in batches that spark.sql.execution.arrow.maxBytesPerBatch bounds (64 MB), or of one payload."""
     planned = rows.withColumn("__path", output_path(root, "idempotency_key", "title", "extension", depth) if path is None else path)
     wanted = planned.select("idempotency_key", "part", "ver", "dfv", "logical_size", "data", "__path")
 
