@@ -82,14 +82,21 @@ def all_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def all_rules(tables: dict[str, DataFrame]) -> DataFrame:
-    """all_checks(), and of every unique key and reference how many keys or rows break it."""
+    """all_checks(), and of every unique key and reference how many keys or rows break it: one pass over its table for each."""
     out = all_checks(tables)
-    for rule, table in [(k, t) for k, (t, *_) in (UNIQUE | FOREIGN).items()]:
-        if table in tables and (rule in UNIQUE or FOREIGN[rule][2] in tables):
-            found = violations(rule, tables).agg(F.count(F.lit(1)).alias("violations"))
-            n = tables[table].agg(F.count(F.lit(1)).alias("n_rows"))
-            # One row by one row.
-            out = out.unionByName(found.crossJoin(n).select(F.lit(rule).alias("rule"), F.lit(table).alias("relation"), "n_rows", "violations"))
+    found = []
+    for rule, (table, cols, where) in UNIQUE.items():
+        if table in tables:
+            own = F.count(F.lit(1)) if where is None else F.count(F.when(F.expr(where), 1))
+            keys = tables[table].groupBy(*cols).agg(F.count(F.lit(1)).alias("every"), own.alias("n"))
+            found.append((rule, table, keys.agg(F.coalesce(F.sum("every"), F.lit(0)).alias("n_rows"), F.count(F.when(F.col("n") > 1, 1)).alias("violations"))))
+    for rule, (child, col, parent, key) in FOREIGN.items():
+        if child in tables and parent in tables:
+            known = tables[parent].select(F.col(key).alias(col)).distinct().withColumn("known", F.lit(True))
+            rows = tables[child].select(col).join(known, col, "left")
+            found.append((rule, child, rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col(col).isNotNull() & F.col("known").isNull(), 1)).alias("violations"))))
+    for rule, table, row in found:
+        out = out.unionByName(row.select(F.lit(rule).alias("rule"), F.lit(table).alias("relation"), "n_rows", "violations"))
     return out
 
 
