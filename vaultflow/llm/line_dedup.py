@@ -41,7 +41,7 @@ from vaultflow.llm.components import connected_components
 
 THRESHOLD = Fraction(4, 5)
 RARITY_BITS = 22
-HOT, CHUNK = 16_384, 8_192
+HOT, CHUNK = 8_192, 4_096
 #: Places of the table of what recurs in prefixes (16 MB), and how many places a task holds before it sends them.
 SIFT_BITS, _SIFTED_AT_ONCE = 27, 2_000_000
 #: Documents, and bytes of their texts, whose words are held at once; a longer text stands alone.
