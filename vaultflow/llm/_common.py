@@ -58,6 +58,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that materialise() wrote, alone or as unions and selections, when no later plan reads them."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        jvm = context._jvm
+        for folder in {x.rsplit("/", 1)[0] for x in t.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def texts_of(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """doc_id and text (null: empty) alone, so that no other column of docs can clash."""
     return docs.select(

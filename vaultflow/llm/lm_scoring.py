@@ -9,7 +9,8 @@ discounted mass for the one unknown word. Each token is scored in the longest su
 
 Counts of words and sequences are exact, over all training texts, and neither they nor the tree are
 ever broadcast or collected: blocks of documents ask for the words, contexts and sequences that they
-hold. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
+hold, packed by ranges of their hashes. Counting and asking go over a share of these ranges after the
+other, which bounds the shuffle files that are there at a time. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
 fill up, more sequences are sent that turn out to be rare. grow(), prune() and token_scores() are the
 same tree in one place, for small tables.
 
@@ -21,15 +22,19 @@ gives no rows; other columns are never read.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from vaultflow.llm._common import LOWER, RECURRING, BloomFilter, crc_fold, id_type, join_by_unique_key, map_batches, materialise, read_table, recurring_places, recurs, schema_of, seen_places, texts_of
+from vaultflow.llm._common import LOWER, RECURRING, crc_fold, discard, id_type, join_by_unique_key, map_batches, materialise, read_table, recurring_places, recurs, schema_of, seen_places, texts_of
 
 DEPTH = 3
 #: Sequences of fewer occurrences are not learned from.
@@ -44,6 +49,11 @@ BLOCK_TOKENS = 2_000_000
 END = np.uint64(0)
 #: Places of a bitmap of what may recur (two to four a token, at most 2**MOST_BITS), but 2**LEAST_BITS at least.
 LEAST_BITS, MOST_BITS = 20, 27
+#: Keys of a bucket; buckets, but so many bits of keys at least; and shares of the buckets that are worked on one after the other.
+BUCKET, LEAST_BUCKET_BITS, PASSES = 1 << 19, 6, 4
+#: What the tree's table says of a key: as a context, as a sequence, as a word.
+KINDS = ("left", "own", "count")
+LEFT, OWN, COUNT = range(3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -316,80 +326,196 @@ def recurring(cut: DataFrame, bitmaps: list[Broadcast], bits: int) -> np.ndarray
     return recurring_places(map_batches(cut.select("tokens", "words", "sizes", "held_out"), places, schema_of(RECURRING)), bits)
 
 
-def sequences(cut: DataFrame, bitmaps: list[Broadcast], least: int = LEAST) -> DataFrame:
-    """level (words less 2), key, context (its words but the last), suffix (its words but the first) and n of all sequences that
-    training texts hold least times or more."""
+def _bucket_bits(n: int) -> int:
+    """Buckets, by the highest bits of keys, hold BUCKET of n keys or fewer."""
+    return max(LEAST_BUCKET_BITS, (n // BUCKET).bit_length())
 
-    def run(batches):
-        maps = [x.value for x in bitmaps]
-        for b in batches:
-            for i in range(b.num_rows):
-                tokens, starts, train = _block_tokens(b, i)
-                keys, fits = _chains(tokens, starts, len(maps))
-                for k, bitmap in enumerate(maps):
-                    at = np.flatnonzero(_candidates(keys, fits, maps, k) & train)
-                    at = at[recurs(bitmap, keys[k + 1][at])]
-                    key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
-                    at = at[first]
-                    yield {"level": np.full(len(at), k, np.int8), "key": key.view(np.int64), "context": keys[k][at - 1].view(np.int64), "suffix": keys[k][at].view(np.int64), "n": n}
 
-    found = map_batches(cut.select("tokens", "words", "sizes", "held_out"), run, schema_of("level tinyint, key bigint, context bigint, suffix bigint, n bigint"))
-    return found.groupBy("level", "key").agg(F.sum("n").alias("n"), F.first("context").alias("context"), F.first("suffix").alias("suffix")).filter(F.col("n") >= least)
+def _in_pass(keys: np.ndarray, bits: int, nth: int, passes: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)) % np.uint64(passes) == nth
+
 
+def _by_bucket(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """Buckets of ascending keys, and where each one's stand."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)] if len(keys) else [0]
+    for s, e in zip(edges, edges[1:]):
+        yield int(bucket[s]), slice(s, e)
 
-def states(cut: DataFrame, counts: DataFrame, totals: Totals, bitmaps: list[Broadcast], divergence: float = DIVERGENCE, strength: float = STRENGTH) -> tuple[DataFrame, DataFrame]:
-    """The tree as tables: context and left of all kept contexts, and key and own of their sequences; left and own as in Tree."""
-    every = materialise(sequences(cut, bitmaps), "sequences")
+
+def _array(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _each_bucket(rows: DataFrame, f: Callable[[pa.Table], dict], ddl: str) -> DataFrame:
+    """f of all rows of each bucket. A bucket has at most one row of each block and, of what blocks ask, a bounded share of keys."""
+    schema = schema_of(ddl)
+    arrow = to_arrow_schema(schema)
+    return rows.groupBy("bucket").applyInArrow(lambda t: pa.table(f(t), arrow), schema)
+
+
+def sequences(cut: DataFrame, bitmaps: list[Broadcast], k: int, bits: int, least: int = LEAST, passes: int = PASSES) -> DataFrame:
+    """key, context (its words but the last), suffix (its words but the first) and n of all sequences of k + 2 words that
+    training texts hold least times or more; a share of the buckets is counted at a time, so that no more of it is on disk."""
+
+    def found(nth: int):
+        def run(batches):
+            maps = [x.value for x in bitmaps[: k + 1]]
+            for b in batches:
+                for i in range(b.num_rows):
+                    tokens, starts, train = _block_tokens(b, i)
+                    keys, fits = _chains(tokens, starts, k + 1)
+                    at = np.flatnonzero(_candidates(keys, fits, maps, k) & train)
+                    at = at[_in_pass(keys[k + 1][at], bits, nth, passes)]
+                    at = at[recurs(maps[k], keys[k + 1][at])]
+                    key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
+                    context, suffix, n = keys[k][at[first] - 1], keys[k][at[first]], n.astype(np.int32)
+                    own = list(_by_bucket(key, bits))
+                    yield {"bucket": [x for x, _ in own], **{c: [v[x].tobytes() for _, x in own] for c, v in (("key", key), ("context", context), ("suffix", suffix), ("n", n))}}
+
+        return run
+
+    def counted(t: pa.Table) -> dict:
+        key, n = _array(t["key"], np.int64), _array(t["n"], np.int32)
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.diff(key[order], prepend=~key[order[0]]))
+        total = np.add.reduceat(n[order], first, dtype=np.int64)
+        at = order[first[total >= least]]
+        return {"key": key[at], "context": _array(t["context"], np.int64)[at], "suffix": _array(t["suffix"], np.int64)[at], "n": total[total >= least]}
+
+    texts = cut.select("tokens", "words", "sizes", "held_out")
+    packed = schema_of("bucket bigint, key binary, context binary, suffix binary, n binary")
+    parts = [materialise(_each_bucket(map_batches(texts, found(i), packed), counted, "key bigint, context bigint, suffix bigint, n bigint"), "sequences") for i in range(passes)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def states(cut: DataFrame, counts: DataFrame, totals: Totals, bitmaps: list[Broadcast], divergence: float = DIVERGENCE, strength: float = STRENGTH, passes: int = PASSES) -> DataFrame:
+    """The tree as a table of key, kind and value: left of all kept contexts, and own of their sequences, as in Tree. Tables on the
+    way go when nothing reads them any more."""
+    bits = _bucket_bits(totals.tokens)
     # The probability of a sequence's last word in its longest kept proper context; words first.
     root = F.greatest(F.col("n") - totals.reserved, F.lit(1e-300)) / totals.tokens
-    shorter = counts.select(F.col("word").alias("key"), "n", root.alias("below"))
+    shorter, used = counts.select(F.col("word").alias("key"), "n", root.alias("below")), []
     contexts, own = [], []
     for k in range(len(bitmaps)):
-        level = every.filter(F.col("level") == k).drop("level")
+        level = sequences(cut, bitmaps, k, bits, passes=passes)
         seen = level.groupBy("context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("rows"))
         of = seen.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
         unseen = F.greatest(F.col("total") - F.col("seen"), F.lit(0))
-        of = materialise(of.select("context", "rows", "total", unseen.alias("unseen"), ((unseen + strength) / (F.col("total") + strength)).alias("left")), "contexts")
+        first = materialise(of.select("context", "rows", "total", unseen.alias("unseen"), ((unseen + strength) / (F.col("total") + strength)).alias("left")), "contexts")
         ends = level.groupBy("suffix").agg(F.count(F.lit(1)).alias("ends"))
-        parent = shorter.select(F.col("key").alias("suffix"), F.col("below").alias("parent")).join(ends, "suffix")
-        both = join_by_unique_key(join_by_unique_key(level, of, "context", "rows"), materialise(parent, "parents"), "suffix", "ends")
+        parent = materialise(shorter.select(F.col("key").alias("suffix"), F.col("below").alias("parent")).join(ends, "suffix"), "parents")
+        discard(*used)
+        both = join_by_unique_key(join_by_unique_key(level, first, "context", "rows"), parent, "suffix", "ends")
         alone = F.col("n") / (F.col("total") + strength)
-        both = both.select("key", "context", "suffix", "n", "parent", alone.alias("own"), (alone + F.col("left") * F.col("parent")).alias("p"), (F.col("n") / F.col("total")).alias("share"))
-        both = materialise(both, "level")
-        gains = both.groupBy("context").agg(F.sum(F.col("share") * F.log(F.greatest("p", F.lit(1e-300)) / F.greatest("parent", F.lit(1e-300)))).alias("gain"))
+        p = alone + F.col("left") * F.col("parent")
+        term = F.col("n") / F.col("total") * F.log(F.greatest(p, F.lit(1e-300)) / F.greatest("parent", F.lit(1e-300)))
+        both = materialise(both.select("key", "context", "suffix", "n", "parent", alone.alias("own"), term.alias("term")), "level")
+        discard(level, parent)
+        gains = both.groupBy("context").agg(F.sum("term").alias("gain"))
         gain = F.col("gain") + F.col("unseen") / F.col("total") * F.log("left")
-        of = materialise(of.join(gains, "context").select("context", "rows", "left", (gain >= divergence).alias("keep")), "contexts")
+        of = materialise(first.join(gains, "context").select("context", "rows", "left", (gain >= divergence).alias("keep")), "contexts")
+        discard(first)
         contexts.append(of)
-        own.append(both)
         if k + 1 < len(bitmaps):
-            below = F.when(F.col("keep"), F.col("p")).otherwise(F.col("parent"))
-            shorter = materialise(join_by_unique_key(both.select("key", "context", "n", "p", "parent"), of.drop("left"), "context", "rows").select("key", "n", below.alias("below")), "shorter")
+            below = F.when(F.col("keep"), F.col("own") + F.col("left") * F.col("parent")).otherwise(F.col("parent"))
+            shorter = materialise(join_by_unique_key(both.select("key", "context", "n", "own", "parent"), of, "context", "rows").select("key", "n", below.alias("below")), "shorter")
+            used = [shorter]
+        own.append(materialise(both.select("key", "context", "suffix", "own"), "own"))
+        discard(both)
     # Suffixes of kept contexts are kept.
     kept = [of.filter("keep").drop("keep") for of in contexts]
     for k in range(len(kept) - 1, 0, -1):
         more = own[k - 1].select(F.col("key").alias("context"), "suffix").join(kept[k].select("context"), "context", "left_semi").select(F.col("suffix").alias("context"))
         ids = kept[k - 1].select("context").union(more).distinct()
         kept[k - 1] = materialise(contexts[k - 1].drop("keep").join(ids, "context", "left_semi"), "kept")
-    tables = [[of.select("context", "left"), join_by_unique_key(x.select("key", "context", "own"), of.drop("left"), "context", "rows").select("key", "own")] for of, x in zip(kept, own)]
-    lefts, owns = tables[0]
-    for a, b in tables[1:]:
-        lefts, owns = lefts.unionByName(a), owns.unionByName(b)
-    return materialise(lefts, "states"), materialise(owns, "own")
-
-
-def _found(keys: np.ndarray, values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of x are among keys (ascending), and the values of those, else 0."""
-    at = _places(keys, x.view(np.int64))
-    return at >= 0, np.where(at >= 0, values[np.maximum(at, 0)] if len(values) else 0.0, 0.0)
-
-
-def _sorted(keys, values) -> tuple[np.ndarray, np.ndarray]:
-    keys, values = np.asarray(keys, np.int64), np.asarray(values, np.float64)
-    order = np.argsort(keys)
-    return keys[order], values[order]
-
-
-def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, discount: float = DISCOUNT, strength: float = STRENGTH, folds: int = FOLDS, block_tokens: int = BLOCK_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        discard(contexts[k - 1])
+    parts = []
+    for of, x in zip(kept, own):
+        parts.append(of.select(F.col("context").alias("key"), F.lit(LEFT).cast("tinyint").alias("kind"), F.col("left").alias("value")))
+        one = join_by_unique_key(x.select("key", "context", "own"), of.drop("left"), "context", "rows")
+        parts.append(materialise(one.select("key", F.lit(OWN).cast("tinyint").alias("kind"), F.col("own").alias("value")), "tree"))
+        discard(x)
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _asked(keys: list[np.ndarray], fits: list[np.ndarray], maps: list[np.ndarray]) -> list[np.ndarray]:
+    """The words and sequences of a block that the tree may know, by length."""
+    out = [keys[0]]
+    for k, bitmap in enumerate(maps):
+        x = keys[k + 1][_candidates(keys, fits, maps, k)]
+        out.append(x[recurs(bitmap, x)])
+    return out
+
+
+def answers(cut: DataFrame, known: DataFrame, bitmaps: list[Broadcast], bits: int, nth: int, passes: int) -> DataFrame:
+    """For each block and bucket, of a share of the buckets, what known (key, kind, value) says of the keys that the block asks for:
+    for each kind a bit for each of them, in ascending order, and the values of those of bit 1."""
+
+    def asks(batches):
+        maps = [x.value for x in bitmaps]
+        for b in batches:
+            for i in range(b.num_rows):
+                tokens, starts, _ = _block_tokens(b, i)
+                asked = _asked(*_chains(tokens, starts, len(maps)), maps)
+                x = np.unique(np.concatenate([a[_in_pass(a, bits, nth, passes)] for a in asked]))
+                own = list(_by_bucket(x, bits))
+                yield {"bucket": [k for k, _ in own], "block": [b.column(4)[i].as_py()] * len(own), "keys": [x[s].tobytes() for _, s in own], "kinds": [None] * len(own), "values": [None] * len(own)}
+
+    def table(batches):
+        def packed(held):
+            key, kind, value = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(key)
+            key, kind, value = key[order], kind[order], value[order]
+            own = list(_by_bucket(key, bits))
+            return {"bucket": [k for k, _ in own], "block": [-1] * len(own), "keys": [key[s].tobytes() for _, s in own], "kinds": [kind[s].tobytes() for _, s in own], "values": [value[s].tobytes() for _, s in own]}
+
+        held, n = [], 0
+        for b in batches:
+            held.append((np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1)), np.asarray(b.column(2))))
+            n += b.num_rows
+            if n >= BUCKET:
+                yield packed(held)
+                held, n = [], 0
+        if n:
+            yield packed(held)
+
+    def answer(t: pa.Table) -> dict:
+        is_known = np.asarray(t["block"]) < 0
+        mine, theirs = t.filter(pa.array(is_known)), t.filter(pa.array(~is_known))
+        key, kind, value = (_array(mine[c], k) for c, k in (("keys", np.uint64), ("kinds", np.int8), ("values", np.float64)))
+        out: dict = {"bucket": theirs["bucket"], "block": theirs["block"]}
+        for i, name in enumerate(KINDS):
+            keys, values = key[kind == i], value[kind == i]
+            order = np.argsort(keys)
+            keys, values = keys[order], values[order]
+            bit, found = [], []
+            for x in theirs["keys"]:
+                at = _places(keys, np.frombuffer(x.as_buffer(), np.uint64))
+                bit.append(np.packbits(at >= 0).tobytes())
+                found.append(values[at[at >= 0]].tobytes())
+            out |= {f"{name}_at": bit, name: found}
+        return out
+
+    schema = schema_of("bucket bigint, block bigint, keys binary, kinds binary, values binary")
+    share = known.filter(F.expr(f"shiftrightunsigned(key, {64 - bits}) % {passes} = {nth}")).select("key", "kind", "value")
+    rows = map_batches(cut.select("tokens", "words", "sizes", "held_out", "block"), asks, schema).unionByName(map_batches(share, table, schema))
+    return _each_bucket(rows, answer, "bucket bigint, block bigint, " + ", ".join(f"{x}_at binary, {x} binary" for x in KINDS))
+
+
+def _spread(asked: np.ndarray, bits: int, said: list[dict], name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Which of all keys that a block asked for (ascending) are known as name, and the values, else 0."""
+    there, value = np.zeros(len(asked), bool), np.zeros(len(asked))
+    bucket = asked >> np.uint64(64 - bits)
+    for x in said:
+        s, e = np.searchsorted(bucket, np.array([x["bucket"], x["bucket"] + 1], np.uint64))
+        at = np.unpackbits(np.frombuffer(x[f"{name}_at"], np.uint8), count=int(e - s)).astype(bool)
+        there[s:e] = at
+        value[s:e][at] = np.frombuffer(x[name], np.float64)
+    return there, value
+
+
+def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, discount: float = DISCOUNT, strength: float = STRENGTH, folds: int = FOLDS, block_tokens: int = BLOCK_TOKENS, passes: int = PASSES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs."""
     spark = docs.sparkSession
     cut = materialise(blocks(docs, block_tokens, folds, id_col, text_col), "blocks")
@@ -400,56 +526,37 @@ def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, d
     bits = min(MOST_BITS, max(LEAST_BITS, totals.tokens.bit_length() + 1))
     for _ in range(depth if n else 0):
         bitmaps.append(spark.sparkContext.broadcast(recurring(cut, bitmaps, bits)))
-    asked = cut.select("block", F.posexplode("words").alias("at", "word")).join(counts, "word")
-    answered = asked.groupBy("block").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
-    rows = cut.select("block", "ids", "held_out", "sizes", "tokens", "words").join(answered, "block", "left")
+    parts = [counts.select(F.col("word").alias("key"), F.lit(COUNT).cast("tinyint").alias("kind"), F.col("n").cast("double").alias("value"))]
     if bitmaps:
-        lefts, owns = states(cut, counts, totals, bitmaps, divergence, strength)
-        wanted = spark.sparkContext.broadcast(BloomFilter.of(lefts.select("context"), 24))
-
-        def asks(batches):
-            bloom, maps = wanted.value, [x.value for x in bitmaps]
-            for b in batches:
-                for i in range(b.num_rows):
-                    tokens, starts, _ = _block_tokens(b, i)
-                    keys, fits = _chains(tokens, starts, len(maps))
-                    block = b.column(4)[i].as_py()
-                    for k, bitmap in enumerate(maps):
-                        context = _before(keys[k])[fits[k + 1]]
-                        held, back = np.unique(context, return_inverse=True)
-                        may = bloom.may_hold(held.view(np.int64))
-                        key = keys[k + 1][fits[k + 1]][may[back]]
-                        key = np.unique(key[recurs(bitmap, key)])
-                        for kind, x in enumerate((held[may], key)):
-                            yield {"block": np.full(len(x), block), "kind": np.full(len(x), kind, np.int8), "key": x.view(np.int64)}
-
-        ask = materialise(map_batches(cut.select("tokens", "words", "sizes", "held_out", "block"), asks, schema_of("block bigint, kind tinyint, key bigint")), "asks")
-        for kind, table, names in ((0, lefts, ("context", "left")), (1, owns, ("key", "own"))):
-            found = ask.filter(F.col("kind") == kind).select("block", F.col("key").alias(names[0])).join(table, names[0])
-            rows = rows.join(found.groupBy("block").agg(F.collect_list(names[0]).alias(f"{names[1]}_keys"), F.collect_list(names[1]).alias(names[1])), "block", "left")
-
-    levels = len(bitmaps)
+        parts.append(states(cut, counts, totals, bitmaps, divergence, strength, passes))
+    known = functools.reduce(DataFrame.unionByName, parts)
+    place_bits = _bucket_bits(totals.tokens)
+    said = [materialise(answers(cut, known, bitmaps, place_bits, i, passes), "answers") for i in range(passes)]
+    discard(known)
+    every = functools.reduce(DataFrame.unionByName, said)
+    every = every.groupBy("block").agg(F.collect_list(F.struct("bucket", *(c for x in KINDS for c in (f"{x}_at", x)))).alias("said"))
+    rows = cut.select("tokens", "words", "sizes", "held_out", "block", "ids").join(every, "block").select("tokens", "words", "sizes", "held_out", "ids", "said")
 
     def run(batches):
+        maps = [x.value for x in bitmaps]
         for b in batches:
             for i in range(b.num_rows):
-                row = {c: b.column(j)[i] for j, c in enumerate(b.schema.names)}
-                words = np.asarray(row["words"].values)
-                known = np.zeros(len(words), np.int64)
-                if row["at"].is_valid:
-                    known[np.asarray(row["at"].values)] = np.asarray(row["n"].values)
-                sizes = np.asarray(row["sizes"].values)
-                tokens, numbers, starts = _tokens(row["tokens"].as_py(), words, sizes)
-                c = known[numbers]
+                tokens, starts, _ = _block_tokens(b, i)
+                sizes = np.asarray(b.column(2)[i].values)
+                keys, fits = _chains(tokens, starts, len(maps))
+                asked = np.unique(np.concatenate(_asked(keys, fits, maps)))
+                answered = b.column(5)[i].as_py()
+                (has_left, left), (has_own, own), (_, count) = (_spread(asked, place_bits, answered, x) for x in KINDS)
+                at = [_places(asked, x) for x in keys]
+                c = count[at[0]]
                 p = 10.0 ** totals.root(c)
-                if levels:
-                    left, own = (_sorted(row[f"{x}_keys"].values, row[x].values) if row[x].is_valid else _sorted([], []) for x in ("left", "own"))
-                    keys, fits = _chains(tokens, starts, levels)
-                    for k in range(levels):
-                        state, rest = _found(*left, _before(keys[k]))
-                        p = np.where(state & fits[k + 1], _found(*own, keys[k + 1])[1] + rest * p, p)
+                for k in range(len(maps)):
+                    context = _before(at[k])
+                    state = (context >= 0) & has_left[context] & fits[k + 1]
+                    alone = np.where((at[k + 1] >= 0) & has_own[at[k + 1]], own[at[k + 1]], 0.0)
+                    p = np.where(state, alone + left[context] * p, p)
                 yield {
-                    "doc_id": row["ids"].values, "held_out": row["held_out"].values, "n_tokens": sizes,
+                    "doc_id": b.column(4)[i].values, "held_out": b.column(3)[i].values, "n_tokens": sizes,
                     "n_known": np.add.reduceat((c > 0).astype(np.int64), starts), "train_tokens": np.full(len(sizes), totals.tokens),
                     "base_score": np.add.reduceat(totals.base(c), starts),
                     "score": np.add.reduceat(np.log10(p), starts),
