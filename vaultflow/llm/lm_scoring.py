@@ -9,8 +9,8 @@ discounted mass for the one unknown word. Each token is scored in the longest su
 
 Counts of words and sequences are exact, over all training texts, and neither they nor the tree are
 ever broadcast or collected: blocks of documents ask for the words, contexts and sequences that they
-hold, packed by ranges of their hashes. Counting and asking go over a share of these ranges after the
-other, which bounds the shuffle files that are there at a time. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
+hold, packed by ranges of their hashes, a share of these ranges after the other, which bounds the
+shuffle files that are there at a time. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
 fill up, more sequences are sent that turn out to be rare. grow(), prune() and token_scores() are the
 same tree in one place, for small tables.
 
@@ -49,8 +49,8 @@ BLOCK_TOKENS = 2_000_000
 END = np.uint64(0)
 #: Places of a bitmap of what may recur (two to four a token, at most 2**MOST_BITS), but 2**LEAST_BITS at least.
 LEAST_BITS, MOST_BITS = 20, 27
-#: Keys of a bucket; buckets, but so many bits of keys at least; and shares of the buckets that are worked on one after the other.
-BUCKET, LEAST_BUCKET_BITS, PASSES = 1 << 19, 6, 4
+#: Keys of a bucket; buckets, but so many bits of keys at least; and shares of the buckets that blocks ask one after the other.
+BUCKET, LEAST_BUCKET_BITS, PASSES = 1 << 19, 6, 2
 #: What the tree's table says of a key: as a context, as a sequence, as a word.
 KINDS = ("left", "own", "count")
 LEFT, OWN, COUNT = range(3)
@@ -354,26 +354,23 @@ def _each_bucket(rows: DataFrame, f: Callable[[pa.Table], dict], ddl: str) -> Da
     return rows.groupBy("bucket").applyInArrow(lambda t: pa.table(f(t), arrow), schema)
 
 
-def sequences(cut: DataFrame, bitmaps: list[Broadcast], k: int, bits: int, least: int = LEAST, passes: int = PASSES) -> DataFrame:
-    """key, context (its words but the last), suffix (its words but the first) and n of all sequences of k + 2 words that
-    training texts hold least times or more; a share of the buckets is counted at a time, so that no more of it is on disk."""
+def sequences(cut: DataFrame, bitmaps: list[Broadcast], bits: int, least: int = LEAST) -> DataFrame:
+    """key, context (its words but the last), suffix (its words but the first) and n of all sequences of len(bitmaps) + 1 words
+    that training texts hold least times or more."""
+    k = len(bitmaps) - 1
 
-    def found(nth: int):
-        def run(batches):
-            maps = [x.value for x in bitmaps[: k + 1]]
-            for b in batches:
-                for i in range(b.num_rows):
-                    tokens, starts, train = _block_tokens(b, i)
-                    keys, fits = _chains(tokens, starts, k + 1)
-                    at = np.flatnonzero(_candidates(keys, fits, maps, k) & train)
-                    at = at[_in_pass(keys[k + 1][at], bits, nth, passes)]
-                    at = at[recurs(maps[k], keys[k + 1][at])]
-                    key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
-                    context, suffix, n = keys[k][at[first] - 1], keys[k][at[first]], n.astype(np.int32)
-                    own = list(_by_bucket(key, bits))
-                    yield {"bucket": [x for x, _ in own], **{c: [v[x].tobytes() for _, x in own] for c, v in (("key", key), ("context", context), ("suffix", suffix), ("n", n))}}
-
-        return run
+    def found(batches):
+        maps = [x.value for x in bitmaps]
+        for b in batches:
+            for i in range(b.num_rows):
+                tokens, starts, train = _block_tokens(b, i)
+                keys, fits = _chains(tokens, starts, k + 1)
+                at = np.flatnonzero(_candidates(keys, fits, maps, k) & train)
+                at = at[recurs(maps[k], keys[k + 1][at])]
+                key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
+                context, suffix, n = keys[k][at[first] - 1], keys[k][at[first]], n.astype(np.int32)
+                own = list(_by_bucket(key, bits))
+                yield {"bucket": [x for x, _ in own], **{c: [v[x].tobytes() for _, x in own] for c, v in (("key", key), ("context", context), ("suffix", suffix), ("n", n))}}
 
     def counted(t: pa.Table) -> dict:
         key, n = _array(t["key"], np.int64), _array(t["n"], np.int32)
@@ -385,58 +382,77 @@ def sequences(cut: DataFrame, bitmaps: list[Broadcast], k: int, bits: int, least
 
     texts = cut.select("tokens", "words", "sizes", "held_out")
     packed = schema_of("bucket bigint, key binary, context binary, suffix binary, n binary")
-    parts = [materialise(_each_bucket(map_batches(texts, found(i), packed), counted, "key bigint, context bigint, suffix bigint, n bigint"), "sequences") for i in range(passes)]
-    return functools.reduce(DataFrame.unionByName, parts)
+    return materialise(_each_bucket(map_batches(texts, found, packed), counted, "key bigint, context bigint, suffix bigint, n bigint"), "sequences")
+
 
+def members(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the places of keys, as recurring() has it of those that may recur; keys known to recur fill far fewer places."""
 
-def states(cut: DataFrame, counts: DataFrame, totals: Totals, bitmaps: list[Broadcast], divergence: float = DIVERGENCE, strength: float = STRENGTH, passes: int = PASSES) -> DataFrame:
-    """The tree as a table of key, kind and value: left of all kept contexts, and own of their sequences, as in Tree. Tables on the
-    way go when nothing reads them any more."""
-    bits = _bucket_bits(totals.tokens)
+    def places(batches):
+        for b in batches:
+            at = np.unique(np.asarray(b.column(0)).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+            yield seen_places(np.repeat(at, 2))
+
+    return recurring_places(map_batches(keys, places, schema_of(RECURRING)), bits)
+
+
+def states(cut: DataFrame, counts: DataFrame, totals: Totals, depth: int = DEPTH, divergence: float = DIVERGENCE, strength: float = STRENGTH) -> tuple[DataFrame, list[Broadcast]]:
+    """The tree as a table of key, kind and value: left of all kept contexts, and own of their sequences, as in Tree; and, for each
+    length, a bitmap of the sequences that recur. Tables on the way go when nothing reads them any more."""
+    context_of = cut.sparkSession.sparkContext
+    buckets, bits = _bucket_bits(totals.tokens), min(MOST_BITS, max(LEAST_BITS, totals.tokens.bit_length() + 1))
     # The probability of a sequence's last word in its longest kept proper context; words first.
     root = F.greatest(F.col("n") - totals.reserved, F.lit(1e-300)) / totals.tokens
-    shorter, used = counts.select(F.col("word").alias("key"), "n", root.alias("below")), []
+    shorter, used = counts.select(F.col("word").alias("key"), "n", root.alias("below"), F.lit(0).cast("bigint").alias("up")), []
     contexts, own = [], []
-    for k in range(len(bitmaps)):
-        level = sequences(cut, bitmaps, k, bits, passes=passes)
+    bitmaps: list[Broadcast] = []
+    for k in range(depth):
+        rough = context_of.broadcast(recurring(cut, bitmaps, bits))
+        level = sequences(cut, [*bitmaps, rough], buckets)
+        rough.destroy()
+        bitmaps.append(context_of.broadcast(members(level.select("key"), bits)))
         seen = level.groupBy("context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("rows"))
-        of = seen.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+        of = seen.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total"), "up"), "context")
         unseen = F.greatest(F.col("total") - F.col("seen"), F.lit(0))
-        first = materialise(of.select("context", "rows", "total", unseen.alias("unseen"), ((unseen + strength) / (F.col("total") + strength)).alias("left")), "contexts")
+        first = materialise(of.select("context", "up", "rows", "total", unseen.alias("unseen"), ((unseen + strength) / (F.col("total") + strength)).alias("left")), "contexts")
         ends = level.groupBy("suffix").agg(F.count(F.lit(1)).alias("ends"))
         parent = materialise(shorter.select(F.col("key").alias("suffix"), F.col("below").alias("parent")).join(ends, "suffix"), "parents")
         discard(*used)
-        both = join_by_unique_key(join_by_unique_key(level, first, "context", "rows"), parent, "suffix", "ends")
+        both = join_by_unique_key(join_by_unique_key(level, first.drop("up", "unseen"), "context", "rows"), parent, "suffix", "ends")
         alone = F.col("n") / (F.col("total") + strength)
         p = alone + F.col("left") * F.col("parent")
         term = F.col("n") / F.col("total") * F.log(F.greatest(p, F.lit(1e-300)) / F.greatest("parent", F.lit(1e-300)))
-        both = materialise(both.select("key", "context", "suffix", "n", "parent", alone.alias("own"), term.alias("term")), "level")
+        further = ("suffix", "n", "parent") if k + 1 < depth else ()
+        both = materialise(both.select("key", "context", alone.alias("own"), term.alias("term"), *further), "level")
         discard(level, parent)
         gains = both.groupBy("context").agg(F.sum("term").alias("gain"))
         gain = F.col("gain") + F.col("unseen") / F.col("total") * F.log("left")
-        of = materialise(first.join(gains, "context").select("context", "rows", "left", (gain >= divergence).alias("keep")), "contexts")
+        of = materialise(first.join(gains, "context").select("context", "up", "rows", "left", (gain >= divergence).alias("keep")), "contexts")
         discard(first)
         contexts.append(of)
-        if k + 1 < len(bitmaps):
+        if further:
             below = F.when(F.col("keep"), F.col("own") + F.col("left") * F.col("parent")).otherwise(F.col("parent"))
-            shorter = materialise(join_by_unique_key(both.select("key", "context", "n", "own", "parent"), of, "context", "rows").select("key", "n", below.alias("below")), "shorter")
+            shorter = join_by_unique_key(both.drop("term"), of.drop("up"), "context", "rows").select("key", "n", below.alias("below"), F.col("suffix").alias("up"))
+            shorter = materialise(shorter, "shorter")
             used = [shorter]
-        own.append(materialise(both.select("key", "context", "suffix", "own"), "own"))
-        discard(both)
+            own.append(materialise(both.select("key", "context", "own"), "own"))
+            discard(both)
+        else:
+            own.append(both)
     # Suffixes of kept contexts are kept.
     kept = [of.filter("keep").drop("keep") for of in contexts]
     for k in range(len(kept) - 1, 0, -1):
-        more = own[k - 1].select(F.col("key").alias("context"), "suffix").join(kept[k].select("context"), "context", "left_semi").select(F.col("suffix").alias("context"))
+        more = kept[k].select(F.col("up").alias("context"))
         ids = kept[k - 1].select("context").union(more).distinct()
         kept[k - 1] = materialise(contexts[k - 1].drop("keep").join(ids, "context", "left_semi"), "kept")
         discard(contexts[k - 1])
     parts = []
     for of, x in zip(kept, own):
         parts.append(of.select(F.col("context").alias("key"), F.lit(LEFT).cast("tinyint").alias("kind"), F.col("left").alias("value")))
-        one = join_by_unique_key(x.select("key", "context", "own"), of.drop("left"), "context", "rows")
+        one = join_by_unique_key(x.select("key", "context", "own"), of.drop("left", "up"), "context", "rows")
         parts.append(materialise(one.select("key", F.lit(OWN).cast("tinyint").alias("kind"), F.col("own").alias("value")), "tree"))
         discard(x)
-    return functools.reduce(DataFrame.unionByName, parts)
+    return functools.reduce(DataFrame.unionByName, parts), bitmaps
 
 
 def _asked(keys: list[np.ndarray], fits: list[np.ndarray], maps: list[np.ndarray]) -> list[np.ndarray]:
@@ -523,12 +539,10 @@ def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, d
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     totals = Totals(int(n), int(v), discount)
     bitmaps: list[Broadcast] = []
-    bits = min(MOST_BITS, max(LEAST_BITS, totals.tokens.bit_length() + 1))
-    for _ in range(depth if n else 0):
-        bitmaps.append(spark.sparkContext.broadcast(recurring(cut, bitmaps, bits)))
     parts = [counts.select(F.col("word").alias("key"), F.lit(COUNT).cast("tinyint").alias("kind"), F.col("n").cast("double").alias("value"))]
-    if bitmaps:
-        parts.append(states(cut, counts, totals, bitmaps, divergence, strength, passes))
+    if n and depth:
+        tree, bitmaps = states(cut, counts, totals, depth, divergence, strength)
+        parts.append(tree)
     known = functools.reduce(DataFrame.unionByName, parts)
     place_bits = _bucket_bits(totals.tokens)
     said = [materialise(answers(cut, known, bitmaps, place_bits, i, passes), "answers") for i in range(passes)]
