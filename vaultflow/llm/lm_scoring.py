@@ -9,8 +9,8 @@ discounted mass for the one unknown word. Each token is scored in the longest su
 
 Counts of words and sequences are exact, over all training texts, and neither they nor the tree are
 ever broadcast or collected: blocks of documents ask for the words, contexts and sequences that they
-hold, packed by ranges of their hashes, a share of these ranges after the other, which bounds the
-shuffle files that are there at a time. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
+hold, packed by ranges of their hashes. Counting and asking go over a share of these ranges after the
+other, which bounds the shuffle files that are there at a time. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
 fill up, more sequences are sent that turn out to be rare. grow(), prune() and token_scores() are the
 same tree in one place, for small tables.
 
@@ -49,7 +49,7 @@ BLOCK_TOKENS = 2_000_000
 END = np.uint64(0)
 #: Places of a bitmap of what may recur (two to four a token, at most 2**MOST_BITS), but 2**LEAST_BITS at least.
 LEAST_BITS, MOST_BITS = 20, 27
-#: Keys of a bucket; buckets, but so many bits of keys at least; and shares of the buckets that blocks ask one after the other.
+#: Keys of a bucket; buckets, but so many bits of keys at least; and shares of the buckets that are worked on one after the other.
 BUCKET, LEAST_BUCKET_BITS, PASSES = 1 << 19, 6, 2
 #: What the tree's table says of a key: as a context, as a sequence, as a word.
 KINDS = ("left", "own", "count")
@@ -354,23 +354,29 @@ def _each_bucket(rows: DataFrame, f: Callable[[pa.Table], dict], ddl: str) -> Da
     return rows.groupBy("bucket").applyInArrow(lambda t: pa.table(f(t), arrow), schema)
 
 
-def sequences(cut: DataFrame, bitmaps: list[Broadcast], bits: int, least: int = LEAST) -> DataFrame:
+def sequences(cut: DataFrame, bitmaps: list[Broadcast], bits: int, least: int = LEAST, passes: int = PASSES) -> DataFrame:
     """key, context (its words but the last), suffix (its words but the first) and n of all sequences of len(bitmaps) + 1 words
-    that training texts hold least times or more."""
+    that training texts hold least times or more. A share of the buckets is counted at a time, so that no more of it is on disk."""
     k = len(bitmaps) - 1
 
-    def found(batches):
-        maps = [x.value for x in bitmaps]
-        for b in batches:
-            for i in range(b.num_rows):
-                tokens, starts, train = _block_tokens(b, i)
-                keys, fits = _chains(tokens, starts, k + 1)
-                at = np.flatnonzero(_candidates(keys, fits, maps, k) & train)
-                at = at[recurs(maps[k], keys[k + 1][at])]
-                key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
-                context, suffix, n = keys[k][at[first] - 1], keys[k][at[first]], n.astype(np.int32)
-                own = list(_by_bucket(key, bits))
-                yield {"bucket": [x for x, _ in own], **{c: [v[x].tobytes() for _, x in own] for c, v in (("key", key), ("context", context), ("suffix", suffix), ("n", n))}}
+    def found(nth: int):
+        def run(batches):
+            maps = [x.value for x in bitmaps]
+            for b in batches:
+                for i in range(b.num_rows):
+                    tokens, starts, train = _block_tokens(b, i)
+                    keys, fits = _chains(tokens, starts, k + 1)
+                    at = np.flatnonzero(train & fits[k + 1] & _in_pass(keys[k + 1], bits, nth, passes))
+                    at = at[recurs(maps[k], keys[k + 1][at])]
+                    if k:  # its start and its end recur
+                        at = at[recurs(maps[k - 1], keys[k][at])]
+                        at = at[recurs(maps[k - 1], keys[k][at - 1])]
+                    key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
+                    context, suffix, n = keys[k][at[first] - 1], keys[k][at[first]], n.astype(np.int32)
+                    own = list(_by_bucket(key, bits))
+                    yield {"bucket": [x for x, _ in own], **{c: [v[x].tobytes() for _, x in own] for c, v in (("key", key), ("context", context), ("suffix", suffix), ("n", n))}}
+
+        return run
 
     def counted(t: pa.Table) -> dict:
         key, n = _array(t["key"], np.int64), _array(t["n"], np.int32)
@@ -382,7 +388,8 @@ def sequences(cut: DataFrame, bitmaps: list[Broadcast], bits: int, least: int =
 
     texts = cut.select("tokens", "words", "sizes", "held_out")
     packed = schema_of("bucket bigint, key binary, context binary, suffix binary, n binary")
-    return materialise(_each_bucket(map_batches(texts, found, packed), counted, "key bigint, context bigint, suffix bigint, n bigint"), "sequences")
+    parts = [materialise(_each_bucket(map_batches(texts, found(i), packed), counted, "key bigint, context bigint, suffix bigint, n bigint"), "sequences") for i in range(passes)]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def members(keys: DataFrame, bits: int) -> np.ndarray:
@@ -396,7 +403,7 @@ def members(keys: DataFrame, bits: int) -> np.ndarray:
     return recurring_places(map_batches(keys, places, schema_of(RECURRING)), bits)
 
 
-def states(cut: DataFrame, counts: DataFrame, totals: Totals, depth: int = DEPTH, divergence: float = DIVERGENCE, strength: float = STRENGTH) -> tuple[DataFrame, list[Broadcast]]:
+def states(cut: DataFrame, counts: DataFrame, totals: Totals, depth: int = DEPTH, divergence: float = DIVERGENCE, strength: float = STRENGTH, passes: int = PASSES) -> tuple[DataFrame, list[Broadcast]]:
     """The tree as a table of key, kind and value: left of all kept contexts, and own of their sequences, as in Tree; and, for each
     length, a bitmap of the sequences that recur. Tables on the way go when nothing reads them any more."""
     context_of = cut.sparkSession.sparkContext
@@ -408,7 +415,7 @@ def states(cut: DataFrame, counts: DataFrame, totals: Totals, depth: int = DEPTH
     bitmaps: list[Broadcast] = []
     for k in range(depth):
         rough = context_of.broadcast(recurring(cut, bitmaps, bits))
-        level = sequences(cut, [*bitmaps, rough], buckets)
+        level = sequences(cut, [*bitmaps, rough], buckets, passes=passes)
         rough.destroy()
         bitmaps.append(context_of.broadcast(members(level.select("key"), bits)))
         seen = level.groupBy("context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("rows"))
@@ -541,7 +548,7 @@ def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, d
     bitmaps: list[Broadcast] = []
     parts = [counts.select(F.col("word").alias("key"), F.lit(COUNT).cast("tinyint").alias("kind"), F.col("n").cast("double").alias("value"))]
     if n and depth:
-        tree, bitmaps = states(cut, counts, totals, depth, divergence, strength)
+        tree, bitmaps = states(cut, counts, totals, depth, divergence, strength, passes)
         parts.append(tree)
     known = functools.reduce(DataFrame.unionByName, parts)
     place_bits = _bucket_bits(totals.tokens)
