@@ -1,4 +1,5 @@
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter
@@ -205,6 +206,8 @@ def test_lm_edges(spark, docs, nothing):
     large = lm_scoring.score(docs)
     a, b = ({r["doc_id"]: r for r in x.collect()} for x in (small, large))
     assert all(a[i]["score"] == pytest.approx(b[i]["score"]) and a[i]["n_known"] == b[i]["n_known"] for i in a)
+    c = {r["doc_id"]: r["score"] for r in lm_scoring.score(docs, passes=3).collect()}
+    assert c == pytest.approx({i: r["score"] for i, r in b.items()})
     one = spark.createDataFrame([(i, "a b") for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0], "doc_id long, text string")
     assert {(r["n_known"], r["base_score"], r["score"]) for r in lm_scoring.score(one).collect()} == {(0, 0.0, 0.0)}
 
@@ -229,6 +232,13 @@ def test_lm_keeps_what_recurs_however_large_the_table(spark, rows):
     assert got == pytest.approx(want)
 
 
+def test_discard(spark):
+    one, two, three = (lm_scoring.materialise(spark.range(i, i + 3), "some") for i in (0, 3, 6))
+    lm_scoring.discard(one.union(two).select("id"))
+    gone = [x.inputFiles()[0].removeprefix("file://") for x in (one, two)]
+    assert not any(os.path.exists(x) for x in gone) and sorted(r[0] for r in three.collect()) == [6, 7, 8]
+
+
 @pytest.mark.parametrize("how", [{}, {"hot": 3, "chunk": 4, "rarity_bits": 12}, {"hot": 1, "chunk": 16, "rarity_bits": 5}, {"sifting": True}])
 def test_lines(spark, rows, docs, how):
     got = {(r["doc"], r["line"]): (r["match_doc"], r["match_line"]) if r["match_doc"] is not None else None for r in line_dedup.duplicate_lines(docs, **how).collect()}
