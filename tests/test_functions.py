@@ -113,6 +113,12 @@ def test_duplicates(spark):
         p.resolve_duplicates(df, "other")
 
 
+def test_any_number_of_duplicates(spark):
+    df = spark.range(10_050).select(F.lit("a/x.txt").alias("path"), F.lpad(F.col("id").cast("string"), 6, "0").alias("key"))
+    got = {r["path"] for r in p.resolve_duplicates(df, "counter").collect()}
+    assert got == {"a/x.txt", *(f"a/x ({n}).txt" for n in range(1, 10_050))}
+
+
 def test_rates_and_estimates(spark):
     x = lambda c: one(spark, c)
     at = lambda t: F.lit(t).cast("timestamp_ntz")
