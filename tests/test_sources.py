@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vaultflow import schemas
 from vaultflow.operators import scan, state
+from vaultflow.plans import catalogue, operations  # noqa: F401  operations adds to the catalogue
 from vaultflow.sources import sinks, wal
 from vaultflow.sources.tables import Conflict, SnapshotTable, retry_on_conflict
 from vaultflow.sources.vault import parquet_vault, seeded_vault
@@ -240,3 +241,10 @@ def test_event_time_streams(spark, data):
         assert spark.table(f"out_{name}").count() > 0
     n = spark.read.parquet(f"{data}/events.parquet").count()
     assert spark.table("out_d").count() == n
+
+
+@pytest.mark.parametrize("name", ["st_dedupe_stream", "st_counters_stream", "st_heartbeat_sessions"])
+def test_streams_leave_rows_with_executors(spark, data, name):
+    """Their rows are files, of none of which the driver held the rows."""
+    df = catalogue.QUERIES[name](spark, data)
+    assert df.inputFiles() and df.count() > 0
