@@ -339,6 +339,18 @@ def test_places_that_recur(spark):
     assert (line_dedup.recurs(bitmap, np.arange(1 << 22, dtype=np.uint64) << np.uint64(42)) == want).all()
 
 
+def test_places_that_recur_among_many_that_do_not(spark):
+    """Finer places: a table of 2**22 that 3 000 000 different ones went into holds those that recur and hardly any other."""
+    r = np.random.default_rng(5)
+    every = np.unique(r.integers(0, 1 << 31, 3_000_000))
+    twice = r.choice(every, 2_000, replace=False)
+    parts = [*np.array_split(r.permutation(every), 5), twice[:1500], np.repeat(twice[1500:], 2), every[:0]]
+    seen = [line_dedup.seen_places(x, 9) for x in parts]
+    rows = spark.createDataFrame([x for s in seen for x in zip(s["piece"], s["data"])], line_dedup.RECURRING)
+    got = np.flatnonzero(np.unpackbits(line_dedup.recurring_places(rows, 22, 9), bitorder="little"))
+    assert got.tolist() == np.unique(twice >> 9).tolist()
+
+
 def test_sums_of_counts(spark):
     r = np.random.default_rng(6)
     tables = []

@@ -42,8 +42,9 @@ from vaultflow.llm.components import connected_components
 THRESHOLD = Fraction(4, 5)
 RARITY_BITS = 22
 HOT, CHUNK = 8_192, 4_096
-#: Places of the table of what recurs in prefixes (16 MB), and how many places a task holds before it sends them.
-SIFT_BITS, _SIFTED_AT_ONCE = 27, 2_000_000
+#: Places of the table of what recurs in prefixes (16 MB), the finer places by which words are told apart before it is made, and how many
+#: of them a task holds before it sends them.
+SIFT_BITS, SIFT_FINE, _SIFTED_AT_ONCE = 27, 7, 2_000_000
 #: Documents, and bytes of their texts, whose words are held at once; a longer text stands alone.
 _AT_ONCE, _BYTES_AT_ONCE = 512, 1 << 21
 #: Words of sets that are compared at once, and those of one step of a verification.
@@ -264,8 +265,9 @@ def _dealt(r: np.ndarray, part: np.ndarray, parts: int, kind: int) -> dict:
     return {"kind": np.full(len(some), kind, np.int8), "part": some, "data": [r[order[ends[k] : ends[k + 1]]].tobytes() for k in some.tolist()]}
 
 
-def sift(rows: DataFrame, sent: Broadcast, threshold: Fraction, make: Make, bits: int = SIFT_BITS) -> np.ndarray:
-    """A bitmap of the places of words that the prefixes of two sets or more have; of fixed size, and never wrong about those that do."""
+def sift(rows: DataFrame, sent: Broadcast, threshold: Fraction, make: Make, bits: int = SIFT_BITS, fine: int = SIFT_FINE) -> np.ndarray:
+    """A bitmap of the places of words that the prefixes of two sets or more have; of fixed size, and never wrong about those that do.
+    Words are told apart by 2**fine times as many places before, so that it fills up with words that recur, however many do not."""
 
     def run(batches):
         seen, held, size = set(), [], 0
@@ -279,15 +281,15 @@ def sift(rows: DataFrame, sent: Broadcast, threshold: Fraction, make: Make, bits
                 words, often = x.by_rarity(sent.value)
                 place = np.arange(len(words)) - x.start[x.line]
                 at = np.flatnonzero(new[x.line] & (place < _prefix_length(x.size, threshold)[x.line]) & (often > 1))
-                held.append((words[at] >> np.uint64(64 - bits)).astype(np.int64))
+                held.append((words[at] >> np.uint64(64 - bits - fine)).astype(np.int64))
                 size += len(at)
                 if size > _SIFTED_AT_ONCE:
-                    yield seen_places(np.concatenate(held))
+                    yield seen_places(np.concatenate(held), fine)
                     held, size = [], 0
         if size:
-            yield seen_places(np.concatenate(held))
+            yield seen_places(np.concatenate(held), fine)
 
-    return recurring_places(map_batches(rows, run, schema_of(RECURRING)), bits)
+    return recurring_places(map_batches(rows, run, schema_of(RECURRING)), bits, fine)
 
 
 def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int, make: Make = line_sets, hot: int = HOT, sifted: Broadcast | None = None) -> DataFrame:
