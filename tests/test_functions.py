@@ -60,6 +60,17 @@ def test_sanitize(spark, title, ext, want):
     assert one(spark, p.sanitize(F.lit(title).cast("string"), F.lit(ext).cast("string"))) == want
 
 
+@pytest.mark.parametrize("end", ["\x85", "\u2028", "\u2029"])
+def test_dots_before_a_last_line_separator_stay(spark, end):
+    """As in SQL, only the very end is trimmed; a last separator is none of it."""
+    assert one(spark, p.sanitize(F.lit("a. " + end), F.lit("txt"))) == f"a. {end}.txt"
+    assert one(spark, p.path_title(F.lit("a.." + end))) == f"a..{end}"
+
+
+def test_reserved_names_in_any_case(spark):
+    assert one(spark, p.sanitize(F.lit("con"), F.lit("es"))) == "_con.es" and one(spark, p.sanitize(F.lit("Aux."), F.lit("fr"))) == "_Aux.fr"
+
+
 def test_sanitize_length_and_change(spark):
     got = one(spark, p.sanitize(F.lit("x" * 100), F.lit("pdf"), 20))
     assert len(got) == 20 and got.endswith(".pdf")
