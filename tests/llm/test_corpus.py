@@ -372,3 +372,22 @@ def test_fingerprints_of_ids_that_are_words(spark, rows):
     for k, (i, t) in enumerate(ordered):
         n = len(t) // 4
         assert got[i or None] == hashlib.sha256((t[: len(t) - n] + text[(k + 1) % len(text)][:n]).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("how", [{}, {"limit": 30}, {"limit": 2, "passes": 3, "block_tokens": 700}, {"limit": 10**9, "passes": 2, "block_tokens": 700}])
+def test_lm_scores_of_buckets_are_those_of_the_whole_tree(spark, rows, docs, how):
+    """Hot words, pairs and triples, and contexts that are kept only as their suffixes, change no score."""
+    cut = lm_scoring.materialise(lm_scoring.blocks(docs), "blocks")
+    counts = lm_scoring.word_counts(cut)
+    n, v = (int(x) for x in counts.selectExpr("sum(n)", "count(*)").first())
+    totals = lm_scoring.Totals(n, v, lm_scoring.DISCOUNT)
+    tree, known = lm_scoring.grow(cut, counts, totals), {x["word"]: x["n"] for x in counts.collect()}
+    want = []
+    for b in cut.collect():
+        tokens, _, starts = lm_scoring._tokens(bytes(b["tokens"]), b["words"], b["sizes"])
+        each = lm_scoring.token_scores(tree, totals, tokens, starts, np.array([known.get(x, 0) for x in tokens.tolist()]))
+        want += zip(b["ids"], np.add.reduceat(each, starts).tolist())
+    got = [(x["doc_id"], x["score"]) for x in lm_scoring.score(docs, **how).collect()]
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    got, want = sorted(got, key=order), sorted(want, key=order)
+    assert [i for i, _ in got] == [i for i, _ in want] and [s for _, s in got] == pytest.approx([s for _, s in want])

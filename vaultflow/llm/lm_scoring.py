@@ -8,11 +8,13 @@ distribution is smoothed by its parent's, and the root's by absolute discounting
 discounted mass for the one unknown word. Each token is scored in the longest suffix state.
 
 Counts of words and sequences are exact, over all training texts, and neither they nor the tree are
-ever broadcast or collected: blocks of documents ask for the words, contexts and sequences that they
-hold, packed by ranges of their hashes. Counting and asking go over a share of these ranges after the
-other, which bounds the shuffle files that are there at a time. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one. Bitmaps of fixed size say which may recur; where they
-fill up, more sequences are sent that turn out to be rare. grow(), prune() and token_scores() are the
-same tree in one place, for small tables.
+ever broadcast or collected. A context's suffixes end in the same word, so that all contexts that end in a word are one bucket's:
+blocks of documents deal their distinct (words before, word) by the word before, and a bucket grows its part of the tree, scores
+what it was sent and gives the scores back. Hot contexts, of more than LIMIT training tokens, are too much for a bucket. Their
+counts are dealt by the next word; what they keep and give to their parents - some numbers for each of them, of which there are at
+most training tokens / LIMIT of each length - is broadcast, and what is longer is dealt by one word more. That says where the work is done, and changes no
+score. Words and sequences are known by hashes of 64 bits, so that counts are exact unless two of them share one; scores of tokens
+come back as floats of 32 bits. grow(), prune() and token_scores() are the same tree in one place, for small tables.
 
 Defined results: a null text is empty and is one token, the end; a row of null id is scored and
 learned from; repeated rows count and are scored one by one; without training rows every token is
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from vaultflow.llm._common import LOWER, RECURRING, crc_fold, discard, id_type, join_by_unique_key, map_batches, materialise, read_table, recurring_places, recurs, schema_of, seen_places, texts_of
+from vaultflow.llm._common import LOWER, crc_fold, discard, id_type, map_batches, materialise, read_table, schema_of, texts_of
 
 DEPTH = 3
 #: Sequences of fewer occurrences are not learned from.
@@ -44,16 +46,17 @@ DISCOUNT = 0.75
 STRENGTH = 10.0
 FOLDS = 10
 #: Tokens of a block of documents; a block takes whole documents.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: The hash of the token that ends a document; no word is hashed to it but by chance.
 END = np.uint64(0)
-#: Places of a bitmap of what may recur (two to four a token, at most 2**MOST_BITS), but 2**LEAST_BITS at least.
-LEAST_BITS, MOST_BITS = 20, 27
-#: Keys of a bucket; buckets, but so many bits of keys at least; and shares of the buckets that are worked on one after the other.
-BUCKET, LEAST_BUCKET_BITS, PASSES = 1 << 19, 6, 2
-#: What the tree's table says of a key: as a context, as a sequence, as a word.
-KINDS = ("left", "own", "count")
-LEFT, OWN, COUNT = range(3)
+#: Words are dealt by so many bits of their hashes.
+WORD_BITS = 7
+#: Tokens of a bucket; buckets, but so many bits of keys at least; and shares of the buckets that are worked on one after the other.
+BUCKET, LEAST_BUCKET_BITS, PASSES = 1 << 20, 6, 1
+#: Contexts of more training tokens are spread over all tasks.
+LIMIT = 1 << 20
+#: Shares of the blocks that get their answers one after the other, which bounds the shuffle files that are there at a time.
+SHARES = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -275,55 +278,19 @@ def token_scores(tree: Tree, totals: Totals, tokens: np.ndarray, starts: np.ndar
     return np.log10(p)
 
 
-def _chains(tokens: np.ndarray, starts: np.ndarray, depth: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each length up to depth + 1 the hash of the words that end at each token, and whether the document has so many."""
-    words = tokens.view(np.uint64)
-    keys, fits = [words], [np.ones(len(words), bool)]
-    for k in range(depth):
-        x = (_before(keys[k]) ^ np.uint64(k + 1)) * _MIX
-        x = ((x ^ (x >> np.uint64(29))) + words) * _MIX
-        x = (x ^ (x >> np.uint64(32))) * _MIX
-        ok = _before(fits[k])
-        ok[starts] = False  # no context runs over the start of a document
-        keys.append(x ^ (x >> np.uint64(29)))
-        fits.append(ok)
-    return keys, fits
-
-
-def _before(x: np.ndarray) -> np.ndarray:
-    return np.append(x[:1], x[:-1])
-
-
-def _candidates(keys: list[np.ndarray], fits: list[np.ndarray], bitmaps: list[np.ndarray], k: int) -> np.ndarray:
-    """Where sequences of k + 2 words end whose start and end may recur."""
-    if not k:
-        return fits[1]
-    may = recurs(bitmaps[k - 1], keys[k]) & fits[k]
-    return fits[k + 1] & may & _before(may)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _MIX
+    x = (x ^ (x >> np.uint64(32))) * _MIX
+    return x ^ (x >> np.uint64(29))
 
 
-def _block_tokens(b, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, starts of documents and whether each token is of training, of row i of (tokens, words, sizes, held_out)."""
-    row = [b.column(j)[i] for j in range(4)]
-    sizes, held = np.asarray(row[2].values), np.array(row[3].values.to_pylist(), bool)
-    tokens, _, starts = _tokens(row[0].as_py(), row[1].values, sizes)
-    return tokens, starts, np.repeat(~held, sizes)
+def _longer(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a sequence and one word more."""
+    return _mixed(key * _MIX + word.astype(np.uint64) + np.uint64(1))
 
 
-def recurring(cut: DataFrame, bitmaps: list[Broadcast], bits: int) -> np.ndarray:
-    """A bitmap of the places of sequences one longer than those of bitmaps[-1] that training texts hold twice or more; of fixed
-    size, and never wrong about those that do."""
-    k = len(bitmaps)
-
-    def places(batches):
-        maps = [x.value for x in bitmaps]
-        for b in batches:
-            for i in range(b.num_rows):
-                tokens, starts, train = _block_tokens(b, i)
-                keys, fits = _chains(tokens, starts, k + 1)
-                yield seen_places((keys[k + 1][_candidates(keys, fits, maps, k) & train] >> np.uint64(64 - bits)).astype(np.int64))
-
-    return recurring_places(map_batches(cut.select("tokens", "words", "sizes", "held_out"), places, schema_of(RECURRING)), bits)
+def _before(x: np.ndarray) -> np.ndarray:
+    return np.append(x[:1], x[:-1])
 
 
 def _bucket_bits(n: int) -> int:
@@ -331,14 +298,9 @@ def _bucket_bits(n: int) -> int:
     return max(LEAST_BUCKET_BITS, (n // BUCKET).bit_length())
 
 
-def _in_pass(keys: np.ndarray, bits: int, nth: int, passes: int) -> np.ndarray:
-    return (keys >> np.uint64(64 - bits)) % np.uint64(passes) == nth
-
-
-def _by_bucket(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
-    """Buckets of ascending keys, and where each one's stand."""
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
-    edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(keys)] if len(keys) else [0]
+def _slices(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Buckets, in ascending order, and where each one's stand."""
+    edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else [0]
     for s, e in zip(edges, edges[1:]):
         yield int(bucket[s]), slice(s, e)
 
@@ -348,243 +310,489 @@ def _array(column: pa.ChunkedArray, kind) -> np.ndarray:
 
 
 def _each_bucket(rows: DataFrame, f: Callable[[pa.Table], dict], ddl: str) -> DataFrame:
-    """f of all rows of each bucket. A bucket has at most one row of each block and, of what blocks ask, a bounded share of keys."""
+    """f of all rows of each bucket, of which a block has one at most."""
     schema = schema_of(ddl)
     arrow = to_arrow_schema(schema)
     return rows.groupBy("bucket").applyInArrow(lambda t: pa.table(f(t), arrow), schema)
 
 
-def sequences(cut: DataFrame, bitmaps: list[Broadcast], bits: int, least: int = LEAST, passes: int = PASSES) -> DataFrame:
-    """key, context (its words but the last), suffix (its words but the first) and n of all sequences of len(bitmaps) + 1 words
-    that training texts hold least times or more. A share of the buckets is counted at a time, so that no more of it is on disk."""
-    k = len(bitmaps) - 1
+def _planes(*columns: np.ndarray) -> bytes:
+    """Unsigned 32-bit columns of one length, compressed byte by byte."""
+    return pa.Codec("zstd").compress(np.ascontiguousarray(np.stack(columns).astype("<u4").view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1)), asbytes=True)
+
+
+def _from_planes(data: bytes, columns: int, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * columns * n, asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(columns, 4, n).transpose(0, 2, 1)).view("<u4").reshape(columns, n)
+
+
+def coded_words(cut: DataFrame) -> DataFrame:
+    """For each block and bucket of words, in ascending order of hashes: their codes (0: fewer than LEAST training tokens; others are
+    numbered by count within the bucket) and exact counts of training tokens. Block -1: the bucket's numbers of training tokens and of
+    distinct ones; the first number (code) from which on each count holds."""
+
+    def words(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                word, n = np.asarray(b.column(1)[i].values).view(np.uint64), np.asarray(b.column(2)[i].values)
+                order = np.argsort(word)
+                word, n = word[order], n[order]
+                own = list(_slices((word >> np.uint64(64 - WORD_BITS)).astype(np.int64)))
+                yield {"bucket": [k for k, _ in own], "block": [b.column(0)[i].as_py()] * len(own), "word": [word[s].tobytes() for _, s in own], "n": [n[s].tobytes() for _, s in own]}
+
+    def counted(t: pa.Table) -> dict:
+        word, at = np.unique(_array(t["word"], np.uint64), return_inverse=True)
+        total = np.bincount(at, _array(t["n"], np.int64), len(word)).astype(np.int64)
+        order = np.lexsort((word, -total))
+        code = np.empty(len(word), np.int64)
+        code[order] = 1 + (np.arange(len(word)) << WORD_BITS) + t["bucket"][0].as_py()
+        code[total < LEAST] = 0
+        ends = np.cumsum([len(x.as_buffer()) // 8 for x in t["word"]]).tolist()
+        each = [at[s:e] for s, e in zip([0, *ends], ends)]
+        some = total[order][total[order] >= LEAST]
+        first = np.append(np.flatnonzero(np.diff(some, prepend=-1)), len(some))
+        steps = np.append(some[first[:-1]], 0)
+        return {
+            "bucket": [*t["bucket"].to_pylist(), t["bucket"][0].as_py()], "block": [*t["block"].to_pylist(), -1],
+            "code": [*(code[x].astype("<u4").tobytes() for x in each), first.astype("<u4").tobytes()], "n": [*(total[x].tobytes() for x in each), steps.tobytes()],
+            "tokens": [0] * len(each) + [int(total.sum())], "distinct": [0] * len(each) + [int((total > 0).sum())],
+        }
+
+    rows = map_batches(cut.select("block", "words", "counts"), words, schema_of("bucket bigint, block bigint, word binary, n binary"))
+    return _each_bucket(rows, counted, "bucket bigint, block bigint, code binary, n binary, tokens bigint, distinct bigint")
+
+
+class Ladder(NamedTuple):
+    """The counts of words by code. Words of a bucket are numbered by count, so that it is as long as the buckets have different counts."""
+
+    first: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list) -> Ladder:
+        parts = [((np.uint64(r["bucket"]) << np.uint64(32)) + np.frombuffer(r["code"], "<u4"), np.frombuffer(r["n"], np.int64)) for r in sorted(rows, key=lambda r: r["bucket"])]
+        first, n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0), np.empty(0))
+        return cls(first.astype(np.uint64), n.astype(np.int64))
+
+    def counts(self, code: np.ndarray) -> np.ndarray:
+        if not len(self.n):
+            return np.zeros(len(code), np.int64)
+        x = np.maximum(code.astype(np.uint64), np.uint64(1)) - np.uint64(1)
+        key = ((x & np.uint64((1 << WORD_BITS) - 1)) << np.uint64(32)) + (x >> np.uint64(WORD_BITS))
+        return np.where(code > 0, self.n[np.maximum(np.searchsorted(self.first, key, "right") - 1, 0)], 0)
+
+    def above(self, limit: int) -> np.ndarray:
+        """Codes of words of more than limit occurrences."""
+        out = []
+        for i in np.flatnonzero(self.n > limit).tolist():
+            s, e = (int(x) for x in self.first[i : i + 2])  # a bucket's last step has no count
+            out += [1 + ((k & 0xFFFFFFFF) << WORD_BITS) + (k >> 32) for k in range(s, e)]
+        return np.array(out, np.uint64)
+
+
+def coded(cut: DataFrame, words: DataFrame) -> DataFrame:
+    """cut without its words, but the code and the count (low and high half) of each of them, and with tokens compressed byte by byte."""
+    every = words.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "code", "n")).alias("said"))
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                order = np.argsort(np.asarray(b.column(5)[i].values).view(np.uint64))
+                said = sorted(b.column(6)[i].as_py(), key=lambda x: x["bucket"])
+                code, n = np.empty(len(order), "<u4"), np.empty(len(order), np.int64)
+                code[order], n[order] = np.frombuffer(b"".join(x["code"] for x in said), "<u4"), np.frombuffer(b"".join(x["n"] for x in said), np.int64)
+                tokens = _planes(np.frombuffer(b.column(4)[i].as_buffer(), np.int32))
+                yield {**{c: b.column(k).slice(i, 1) for k, c in enumerate(("block", "ids", "held_out", "sizes"))}, "tokens": [tokens], "words": [len(code)], "code": [_planes(code, n & 0xFFFFFFFF, n >> 32)]}
+
+    rows = cut.join(every, "block").select("block", "ids", "held_out", "sizes", "tokens", "words", "said")
+    kind = cut.schema["ids"].dataType.simpleString()
+    return map_batches(rows, run, schema_of(f"block bigint, ids {kind}, held_out array<boolean>, sizes array<bigint>, tokens binary, words int, code binary"))
+
+
+class Positions:
+    """The tokens of a block: word (its code); numbers, that within the block, and counts, the training tokens of each number; context[k], the code of the word k + 1 before, or 0 where it, or one that is nearer, is of
+    another document or rare; key[k], the hash of the k + 1 words before; train."""
+
+    def __init__(self, row: list, depth: int):
+        """row: held_out, sizes, tokens, words, code."""
+        sizes = np.asarray(row[1].values)
+        numbers = _from_planes(row[2].as_py(), 1, int(sizes.sum()))[0]
+        self.starts = np.cumsum(sizes) - sizes
+        code, low, high = _from_planes(row[4].as_py(), 3, row[3].as_py())
+        self.word, self.numbers, self.counts = code[numbers], numbers, low.astype(np.int64) | (high.astype(np.int64) << 32)
+        self.train = np.repeat(~np.array(row[0].values.to_pylist(), bool), sizes)
+        self.context, self.key = [], []
+        x, key = self.word, np.zeros(len(numbers), np.uint64)
+        for k in range(depth):
+            x = _before(x).copy()
+            x[self.starts] = 0
+            if k:
+                x[self.context[-1] == 0] = 0
+            self.context.append(x)
+            key = _longer(key, x)
+            self.key.append(key)
+
+
+class Hot(NamedTuple):
+    """Contexts of more than LIMIT occurrences, by length and hash: key (ascending within a length), level (their words less one), and, of
+    each, its suffix's place, training tokens, what it gives to its parent, and whether it is kept."""
+
+    key: np.ndarray
+    level: np.ndarray
+    total: np.ndarray
+    left: np.ndarray
+    keep: np.ndarray
+    up: np.ndarray
+
+    def places(self, at: Positions, k: int) -> np.ndarray:
+        """The place of each position's context of k + 1 words, or -1."""
+        s, e = np.searchsorted(self.level, (k, k + 1))
+        x = _places(self.key[s:e], at.key[k])
+        return np.where((x >= 0) & (at.context[k] > 0), x + s, -1)
+
+    def asked(self, at: Positions, bits: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length of hot contexts that the block has: positions, and the place of each among the distinct (context, word): their
+        contexts, words, and bucket by word."""
+        out = []
+        for k in range(len(at.key)):
+            x = self.places(at, k)
+            own = np.flatnonzero(x >= 0)
+            if not len(own):
+                break
+            _, first, of = np.unique((x[own].astype(np.uint64) << np.uint64(32)) | at.word[own], return_index=True, return_inverse=True)
+            first = own[first]
+            out.append((own, of, x[first], at.word[first], (_mixed(at.word[first].astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - bits)).astype(np.int64)))
+        return out
+
+
+def hot_contexts(texts: DataFrame, ladder: Ladder, depth: int, limit: int, blocks_: int) -> Hot:
+    words = np.sort(_longer(np.zeros(1, np.uint64), ladder.above(limit)))
+    found = []
+    if len(words) and depth > 1:
 
-    def found(nth: int):
         def run(batches):
-            maps = [x.value for x in bitmaps]
             for b in batches:
                 for i in range(b.num_rows):
-                    tokens, starts, train = _block_tokens(b, i)
-                    keys, fits = _chains(tokens, starts, k + 1)
-                    at = np.flatnonzero(train & fits[k + 1] & _in_pass(keys[k + 1], bits, nth, passes))
-                    at = at[recurs(maps[k], keys[k + 1][at])]
-                    if k:  # its start and its end recur
-                        at = at[recurs(maps[k - 1], keys[k][at])]
-                        at = at[recurs(maps[k - 1], keys[k][at - 1])]
-                    key, first, n = np.unique(keys[k + 1][at], return_index=True, return_counts=True)
-                    context, suffix, n = keys[k][at[first] - 1], keys[k][at[first]], n.astype(np.int32)
-                    own = list(_by_bucket(key, bits))
-                    yield {"bucket": [x for x, _ in own], **{c: [v[x].tobytes() for _, x in own] for c, v in (("key", key), ("context", context), ("suffix", suffix), ("n", n))}}
-
-        return run
+                    at = Positions([b.column(j)[i] for j in range(5)], depth)
+                    own = np.flatnonzero(_places(words, at.key[0]) >= 0)
+                    for k in range(1, depth):
+                        own = own[at.context[k][own] > 0]
+                        key, first, of, n = np.unique(at.key[k][own], return_index=True, return_inverse=True, return_counts=True)
+                        some = n * blocks_ >= limit  # others are of fewer than limit in all
+                        yield {"level": np.full(int(some.sum()), k), "key": key[some].view(np.int64), "up": at.key[k - 1][own[first[some]]].view(np.int64), "n": n[some]}
+                        own = own[some[of]]
+
+        each = map_batches(texts.select("held_out", "sizes", "tokens", "words", "code"), run, schema_of("level int, key bigint, up bigint, n bigint"))
+        found = each.groupBy("level", "key", "up").agg(F.sum("n").alias("n")).filter(F.col("n") > limit).collect()  # of tokens / limit of each length at most
+    key, level, up = [words], [np.zeros(len(words), np.int64)], [np.full(len(words), -1)]
+    for k in range(1, depth):
+        known = key[-1]
+        own = sorted((r["key"] % 2**64, r["up"] % 2**64) for r in found if r["level"] == k)
+        x, y = (np.array([r[j] for r in own], np.uint64) for j in range(2))
+        at = _places(known, y)
+        x, at = x[at >= 0], at[at >= 0]
+        key.append(x), level.append(np.full(len(x), k)), up.append(at + sum(len(z) for z in key[:-2]))
+    n = sum(len(x) for x in key)
+    return Hot(np.concatenate(key), np.concatenate(level), np.zeros(n), np.ones(n), np.zeros(n, bool), np.concatenate(up).astype(np.int64))
+
+
+def hot_counts(texts: DataFrame, hot: Broadcast, bits: int, depth: int) -> DataFrame:
+    """For each block and bucket of words: in how many training texts' tokens each (hot context, word) of the block is (n, in the order of
+    asked()). Block -1: all of the bucket, context, word and n."""
+
+    def asks(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                at = Positions([b.column(j)[i] for j in range(5)], depth)
+                parts = hot.value.asked(at, bits)
+                if not parts:
+                    continue
+                n = np.concatenate([np.bincount(of, at.train[own], len(x)) for own, of, x, _, _ in parts])
+                x, word, bucket = (np.concatenate([p[j] for p in parts]) for j in (2, 3, 4))
+                order = np.argsort(bucket, kind="stable")
+                own = list(_slices(bucket[order]))
+                yield {"bucket": [k for k, _ in own], "block": [b.column(5)[i].as_py()] * len(own), "rows": [s.stop - s.start for _, s in own], "data": [_planes(x[order[s]], word[order[s]], n[order[s]]) for _, s in own]}
 
     def counted(t: pa.Table) -> dict:
-        key, n = _array(t["key"], np.int64), _array(t["n"], np.int32)
-        order = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.diff(key[order], prepend=~key[order[0]]))
-        total = np.add.reduceat(n[order], first, dtype=np.int64)
-        at = order[first[total >= least]]
-        return {"key": key[at], "context": _array(t["context"], np.int64)[at], "suffix": _array(t["suffix"], np.int64)[at], "n": total[total >= least]}
+        x, word, n = np.concatenate([_from_planes(d, 3, k) for d, k in zip(t["data"].to_pylist(), t["rows"].to_pylist())], axis=1)
+        key, of = np.unique((x.astype(np.uint64) << np.uint64(32)) | word, return_inverse=True)
+        total = np.bincount(of, n, len(key)).astype(np.int64)
+        ends = np.cumsum(t["rows"].to_pylist()).tolist()
+        each = [total[of[s:e]] for s, e in zip([0, *ends], ends)]
+        return {
+            "bucket": [*t["bucket"].to_pylist(), t["bucket"][0].as_py()], "block": [*t["block"].to_pylist(), -1], "rows": [*t["rows"].to_pylist(), len(key)],
+            "data": [*(_planes(y) for y in each), _planes(key >> np.uint64(32), key & np.uint64(0xFFFFFFFF), total)],
+        }
 
-    texts = cut.select("tokens", "words", "sizes", "held_out")
-    packed = schema_of("bucket bigint, key binary, context binary, suffix binary, n binary")
-    parts = [materialise(_each_bucket(map_batches(texts, found(i), packed), counted, "key bigint, context bigint, suffix bigint, n bigint"), "sequences") for i in range(passes)]
-    return functools.reduce(DataFrame.unionByName, parts)
+    rows = map_batches(texts.select("held_out", "sizes", "tokens", "words", "code", "block"), asks, schema_of("bucket bigint, block bigint, rows int, data binary"))
+    return _each_bucket(rows, counted, "bucket bigint, block bigint, rows int, data binary")
 
 
-def members(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of the places of keys, as recurring() has it of those that may recur; keys known to recur fill far fewer places."""
+def hot_tree(said: DataFrame, hot: Hot, ladder: Ladder, totals: Totals, depth: int, divergence: float, strength: float) -> Hot:
+    """hot with what its contexts' counts say, those kept that diverge. What is collected has a row for each hot context."""
+    table = said.filter("block = -1").select("rows", "data")
 
-    def places(batches):
-        for b in batches:
-            at = np.unique(np.asarray(b.column(0)).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
-            yield seen_places(np.repeat(at, 2))
-
-    return recurring_places(map_batches(keys, places, schema_of(RECURRING)), bits)
-
-
-def states(cut: DataFrame, counts: DataFrame, totals: Totals, depth: int = DEPTH, divergence: float = DIVERGENCE, strength: float = STRENGTH, passes: int = PASSES) -> tuple[DataFrame, list[Broadcast]]:
-    """The tree as a table of key, kind and value: left of all kept contexts, and own of their sequences, as in Tree; and, for each
-    length, a bitmap of the sequences that recur. Tables on the way go when nothing reads them any more."""
-    context_of = cut.sparkSession.sparkContext
-    buckets, bits = _bucket_bits(totals.tokens), min(MOST_BITS, max(LEAST_BITS, totals.tokens.bit_length() + 1))
-    # The probability of a sequence's last word in its longest kept proper context; words first.
-    root = F.greatest(F.col("n") - totals.reserved, F.lit(1e-300)) / totals.tokens
-    shorter, used = counts.select(F.col("word").alias("key"), "n", root.alias("below"), F.lit(0).cast("bigint").alias("up")), []
-    contexts, own = [], []
-    bitmaps: list[Broadcast] = []
+    def summed(hot: Hot, k: int | None) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches):
+            for b in batches:
+                for n, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    x, word, n = (y.astype(np.int64) for y in _from_planes(d, 3, n))
+                    some = (n >= LEAST) & (word > 0)
+                    if k is None:
+                        one, two = n, np.where(some, n, 0)
+                    else:
+                        x, word, n = x[some], word[some], n[some]
+                        key = (x << 32) | word
+                        below = 10.0 ** totals.root(ladder.counts(word))
+                        for j in range(k + 1):
+                            own = np.flatnonzero(hot.level[x] == j)
+                            c = x[own]
+                            parent = below[own] if not j else below[_places(key, (hot.up[c] << 32) | word[own])]
+                            p = n[own] / (hot.total[c] + strength) + hot.left[c] * parent
+                            below[own] = np.where(hot.keep[c], p, parent)
+                        x = c
+                        one = n[own] / hot.total[c] * np.log(np.maximum(p, 1e-300) / np.maximum(parent, 1e-300))
+                        two = np.zeros(len(one))
+                    at = np.unique(x)
+                    yield {"x": at, "one": np.bincount(x, one)[at] if len(x) else [], "two": np.bincount(x, two)[at] if len(x) else []}
+
+        out = np.zeros((2, len(hot.key)))
+        for r in map_batches(table, run, schema_of("x bigint, one double, two double")).groupBy("x").agg(F.sum("one").alias("one"), F.sum("two").alias("two")).collect():
+            out[:, r["x"]] = r["one"], r["two"]
+        return out[0], out[1]
+
+    total, seen = summed(hot, None)
+    left = (total - seen + strength) / (total + strength)
+    hot = hot._replace(total=total, left=left)
     for k in range(depth):
-        rough = context_of.broadcast(recurring(cut, bitmaps, bits))
-        level = sequences(cut, [*bitmaps, rough], buckets, passes=passes)
-        rough.destroy()
-        bitmaps.append(context_of.broadcast(members(level.select("key"), bits)))
-        seen = level.groupBy("context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("rows"))
-        of = seen.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("total"), "up"), "context")
-        unseen = F.greatest(F.col("total") - F.col("seen"), F.lit(0))
-        first = materialise(of.select("context", "up", "rows", "total", unseen.alias("unseen"), ((unseen + strength) / (F.col("total") + strength)).alias("left")), "contexts")
-        ends = level.groupBy("suffix").agg(F.count(F.lit(1)).alias("ends"))
-        parent = materialise(shorter.select(F.col("key").alias("suffix"), F.col("below").alias("parent")).join(ends, "suffix"), "parents")
-        discard(*used)
-        both = join_by_unique_key(join_by_unique_key(level, first.drop("up", "unseen"), "context", "rows"), parent, "suffix", "ends")
-        alone = F.col("n") / (F.col("total") + strength)
-        p = alone + F.col("left") * F.col("parent")
-        term = F.col("n") / F.col("total") * F.log(F.greatest(p, F.lit(1e-300)) / F.greatest("parent", F.lit(1e-300)))
-        further = ("suffix", "n", "parent") if k + 1 < depth else ()
-        both = materialise(both.select("key", "context", alone.alias("own"), term.alias("term"), *further), "level")
-        discard(level, parent)
-        gains = both.groupBy("context").agg(F.sum("term").alias("gain"))
-        gain = F.col("gain") + F.col("unseen") / F.col("total") * F.log("left")
-        of = materialise(first.join(gains, "context").select("context", "up", "rows", "left", (gain >= divergence).alias("keep")), "contexts")
-        discard(first)
-        contexts.append(of)
-        if further:
-            below = F.when(F.col("keep"), F.col("own") + F.col("left") * F.col("parent")).otherwise(F.col("parent"))
-            shorter = join_by_unique_key(both.drop("term"), of.drop("up"), "context", "rows").select("key", "n", below.alias("below"), F.col("suffix").alias("up"))
-            shorter = materialise(shorter, "shorter")
-            used = [shorter]
-            own.append(materialise(both.select("key", "context", "own"), "own"))
-            discard(both)
-        else:
-            own.append(both)
+        own = hot.level == k
+        if own.any():
+            gain = summed(hot, k)[0] + (total - seen) / np.maximum(total, 1) * np.log(left)
+            hot = hot._replace(keep=np.where(own, (gain >= divergence) & (seen > 0), hot.keep))
+    return hot
+
+
+class Chain:
+    """What hot contexts say of a block's positions: length, the words of each one's longest hot context; value(keep), the probability
+    of each word in the longest of them for which keep is true, by way of all that are shorter."""
+
+    def __init__(self, at: Positions, hot: Hot, said: list[dict] | None, bits: int, strength: float, root: np.ndarray):
+        self.root, self.length, self.parts = root, np.zeros(len(at.word), np.int64), []
+        self.last = np.full(len(at.word), -1)
+        parts = hot.asked(at, bits) if said else []
+        if not parts:
+            return
+        bucket = np.concatenate([p[4] for p in parts])
+        n = np.empty(len(bucket), np.int64)
+        n[np.argsort(bucket, kind="stable")] = np.concatenate([_from_planes(x["data"], 1, x["rows"])[0] for x in sorted(said, key=lambda x: x["bucket"])])
+        for k, (own, of, x, word, _) in enumerate(parts):
+            here, n = n[: len(x)], n[len(x) :]
+            alone = np.where((here >= LEAST) & (word > 0), here / (hot.total[x] + strength), 0.0)
+            self.parts.append((own, x[of], alone[of], hot.left[x][of]))
+            self.length[own], self.last[own] = k + 1, x[of]
+
+    def value(self, keep: np.ndarray) -> np.ndarray:
+        p = self.root.copy()
+        for own, x, alone, left in self.parts:
+            p[own] = np.where(keep[x], alone + left * p[own], p[own])
+        return p
+
+
+class Asked:
+    """The distinct (contexts, word) of a block that buckets answer, in the order in which they are sent. A bucket has all that share
+    the shortest context that is not hot, and so all that is longer."""
+
+    def __init__(self, at: Positions, chain: Chain, bits: int, nth: int, passes: int):
+        depth = len(at.key)
+        unit, there = np.zeros(len(at.word), np.uint64), np.zeros(len(at.word), bool)
+        for k in range(depth):
+            own = (chain.length == k) & (at.context[k] > 0)
+            unit[own], there[own] = at.key[k][own], True
+        bucket = unit >> np.uint64(64 - bits)
+        own = np.flatnonzero(there & (bucket % np.uint64(passes) == nth))
+        _, first, of = np.unique(_longer(at.key[-1][own], at.word[own]), return_index=True, return_inverse=True)
+        n = np.bincount(of, at.train[own], len(first)).astype(np.int64)
+        first = own[first]
+        most = np.uint64((1 << 24) - 1)  # of codes; the order of others is any
+        nearest = [np.minimum(x[first].astype(np.uint64), most) for x in at.context[:2]]
+        rough = (bucket[first] << np.uint64(48)) | (nearest[0] << np.uint64(24)) | nearest[-1]
+        order = np.argsort(rough, kind="stable")
+        self.first, self.n, self.bucket = first[order], n[order], bucket[first][order].astype(np.int64)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.own, self.of = own, place[of]
+        self.hot = chain.length[self.first] > 0
+
+
+def _bucket_tree(context: np.ndarray, word: np.ndarray, n: np.ndarray, length: np.ndarray, parent: np.ndarray, divergence: float, strength: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """alone and left of each row - its probability is alone + left times its parent's - and the rows whose hot context is kept as a
+    suffix. Rows are distinct in a block; context: the codes of the words before, the nearest first; n: training tokens; length: of the hot
+    context; parent: the probability in it."""
+    below, may = parent.copy(), word > 0
+    key, parts = np.zeros(len(word), np.uint64), []
+    for k, codes in enumerate(context):
+        key = _longer(key, codes)
+        at = np.flatnonzero((codes > 0) & (length <= k))
+        some = at[may[at]]
+        # What recurs; of a sequence that does, its suffix does too.
+        _, first, of = np.unique(_longer(key[some], word[some]), return_index=True, return_inverse=True)
+        count = np.bincount(of, n[some], len(first))
+        recurring = count >= LEAST
+        row, count = some[first[recurring]], count[recurring]
+        may[at] = False
+        hit = recurring[of]
+        may[some[hit]] = True
+        contexts = np.unique(key[row])
+        x = _places(contexts, key[at])
+        at, x = at[x >= 0], x[x >= 0]
+        total = np.bincount(x, n[at], len(contexts))
+        c = _places(contexts, key[row])
+        seen = np.bincount(c, count, len(contexts))
+        left = (np.maximum(total - seen, 0) + strength) / (total + strength)
+        alone = count / (total[c] + strength)
+        p = alone + left[c] * below[row]
+        gain = np.bincount(c, count / total[c] * np.log(np.maximum(p, 1e-300) / np.maximum(below[row], 1e-300)), len(contexts))
+        gain = gain + np.maximum(total - seen, 0) / np.maximum(total, 1) * np.log(left)
+        keep = gain >= divergence
+        own = np.zeros(len(word))
+        own[some[hit]] = alone[(np.cumsum(recurring) - 1)[of[hit]]]
+        own = own[at]
+        below[at] = np.where(keep[x], own + left[x] * below[at], below[at])
+        parts.append((at, x, keep, left, own))
     # Suffixes of kept contexts are kept.
-    kept = [of.filter("keep").drop("keep") for of in contexts]
-    for k in range(len(kept) - 1, 0, -1):
-        more = kept[k].select(F.col("up").alias("context"))
-        ids = kept[k - 1].select("context").union(more).distinct()
-        kept[k - 1] = materialise(contexts[k - 1].drop("keep").join(ids, "context", "left_semi"), "kept")
-        discard(contexts[k - 1])
-    parts = []
-    for of, x in zip(kept, own):
-        parts.append(of.select(F.col("context").alias("key"), F.lit(LEFT).cast("tinyint").alias("kind"), F.col("left").alias("value")))
-        one = join_by_unique_key(x.select("key", "context", "own"), of.drop("left", "up"), "context", "rows")
-        parts.append(materialise(one.select("key", F.lit(OWN).cast("tinyint").alias("kind"), F.col("own").alias("value")), "tree"))
-        discard(x)
-    return functools.reduce(DataFrame.unionByName, parts), bitmaps
-
-
-def _asked(keys: list[np.ndarray], fits: list[np.ndarray], maps: list[np.ndarray]) -> list[np.ndarray]:
-    """The words and sequences of a block that the tree may know, by length."""
-    out = [keys[0]]
-    for k, bitmap in enumerate(maps):
-        x = keys[k + 1][_candidates(keys, fits, maps, k)]
-        out.append(x[recurs(bitmap, x)])
-    return out
-
-
-def answers(cut: DataFrame, known: DataFrame, bitmaps: list[Broadcast], bits: int, nth: int, passes: int) -> DataFrame:
-    """For each block and bucket, of a share of the buckets, what known (key, kind, value) says of the keys that the block asks for:
-    for each kind a bit for each of them, in ascending order, and the values of those of bit 1."""
+    needed = np.zeros(len(word), bool)
+    for k in range(len(parts) - 1, -1, -1):
+        at, x, keep, _, _ = parts[k]
+        keep[x[needed[at]]] = True
+        needed[at] |= keep[x]
+    alone_, left_ = np.zeros(len(word)), np.ones(len(word))
+    for at, x, keep, left, own in parts:
+        on = keep[x]
+        at, x, own = at[on], x[on], own[on]
+        alone_[at], left_[at] = own + left[x] * alone_[at], left[x] * left_[at]
+    return alone_, left_, needed & (length > 0)
+
+
+def answers(texts: DataFrame, hot: Broadcast, ladder: Broadcast, totals: Totals, bits: int, hot_bits: int, nth: int, passes: int, depth: int, divergence: float, strength: float) -> DataFrame:
+    """For each block and bucket, of a share of the buckets, rows, value (the log10 of their probabilities, or alone of those with hot
+    contexts) and left of the latter. Block -1: rows hot contexts that are suffixes of kept ones."""
+    columns = depth + 4
 
     def asks(batches):
-        maps = [x.value for x in bitmaps]
         for b in batches:
             for i in range(b.num_rows):
-                tokens, starts, _ = _block_tokens(b, i)
-                asked = _asked(*_chains(tokens, starts, len(maps)), maps)
-                x = np.unique(np.concatenate([a[_in_pass(a, bits, nth, passes)] for a in asked]))
-                own = list(_by_bucket(x, bits))
-                yield {"bucket": [k for k, _ in own], "block": [b.column(4)[i].as_py()] * len(own), "keys": [x[s].tobytes() for _, s in own], "kinds": [None] * len(own), "values": [None] * len(own)}
-
-    def table(batches):
-        def packed(held):
-            key, kind, value = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(key)
-            key, kind, value = key[order], kind[order], value[order]
-            own = list(_by_bucket(key, bits))
-            return {"bucket": [k for k, _ in own], "block": [-1] * len(own), "keys": [key[s].tobytes() for _, s in own], "kinds": [kind[s].tobytes() for _, s in own], "values": [value[s].tobytes() for _, s in own]}
-
-        held, n = [], 0
-        for b in batches:
-            held.append((np.asarray(b.column(0)).view(np.uint64), np.asarray(b.column(1)), np.asarray(b.column(2))))
-            n += b.num_rows
-            if n >= BUCKET:
-                yield packed(held)
-                held, n = [], 0
-        if n:
-            yield packed(held)
+                row = [b.column(j)[i] for j in range(b.num_columns)]
+                at = Positions(row, depth)
+                root = 10.0 ** totals.root(at.counts)[at.numbers]
+                chain = Chain(at, hot.value, row[6].as_py() if len(row) > 6 else None, hot_bits, strength, root)
+                asked = Asked(at, chain, bits, nth, passes)
+                parent = chain.value(hot.value.keep)
+                sent = [*(x[asked.first] for x in at.context), at.word[asked.first], asked.n, chain.length[asked.first], chain.last[asked.first] + 1]
+                own = list(_slices(asked.bucket))
+                yield {
+                    "bucket": [k for k, _ in own], "block": [row[5].as_py()] * len(own), "rows": [s.stop - s.start for _, s in own],
+                    "data": [_planes(*(x[s] for x in sent)) for _, s in own], "parent": [parent[asked.first[s][asked.hot[s]]].tobytes() for _, s in own],
+                }
 
     def answer(t: pa.Table) -> dict:
-        is_known = np.asarray(t["block"]) < 0
-        mine, theirs = t.filter(pa.array(is_known)), t.filter(pa.array(~is_known))
-        key, kind, value = (_array(mine[c], k) for c, k in (("keys", np.uint64), ("kinds", np.int8), ("values", np.float64)))
-        out: dict = {"bucket": theirs["bucket"], "block": theirs["block"]}
-        for i, name in enumerate(KINDS):
-            keys, values = key[kind == i], value[kind == i]
-            order = np.argsort(keys)
-            keys, values = keys[order], values[order]
-            bit, found = [], []
-            for x in theirs["keys"]:
-                at = _places(keys, np.frombuffer(x.as_buffer(), np.uint64))
-                bit.append(np.packbits(at >= 0).tobytes())
-                found.append(values[at[at >= 0]].tobytes())
-            out |= {f"{name}_at": bit, name: found}
-        return out
-
-    schema = schema_of("bucket bigint, block bigint, keys binary, kinds binary, values binary")
-    share = known.filter(F.expr(f"shiftrightunsigned(key, {64 - bits}) % {passes} = {nth}")).select("key", "kind", "value")
-    rows = map_batches(cut.select("tokens", "words", "sizes", "held_out", "block"), asks, schema).unionByName(map_batches(share, table, schema))
-    return _each_bucket(rows, answer, "bucket bigint, block bigint, " + ", ".join(f"{x}_at binary, {x} binary" for x in KINDS))
-
-
-def _spread(asked: np.ndarray, bits: int, said: list[dict], name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Which of all keys that a block asked for (ascending) are known as name, and the values, else 0."""
-    there, value = np.zeros(len(asked), bool), np.zeros(len(asked))
-    bucket = asked >> np.uint64(64 - bits)
-    for x in said:
-        s, e = np.searchsorted(bucket, np.array([x["bucket"], x["bucket"] + 1], np.uint64))
-        at = np.unpackbits(np.frombuffer(x[f"{name}_at"], np.uint8), count=int(e - s)).astype(bool)
-        there[s:e] = at
-        value[s:e][at] = np.frombuffer(x[name], np.float64)
-    return there, value
-
-
-def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, discount: float = DISCOUNT, strength: float = STRENGTH, folds: int = FOLDS, block_tokens: int = BLOCK_TOKENS, passes: int = PASSES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs."""
+        rows = t["rows"].to_pylist()
+        each = [_from_planes(d, columns, k) for d, k in zip(t["data"].to_pylist(), rows)]
+        *context, word, n, length, last = np.concatenate(each, axis=1)
+        each.clear()
+        root = 10.0 ** totals.root(ladder.value.counts(word))
+        is_hot = length > 0
+        root[word == 0] = 1.0  # their block knows their counts
+        root[is_hot] = _array(t["parent"], np.float64)
+        alone, left, needed = _bucket_tree(context, word, n, length, root, divergence, strength)
+        value = alone.astype("<f4")
+        plain = ~is_hot
+        value[plain] = np.log10(alone[plain] + left[plain] * root[plain])
+        left, ends = left.astype("<f4"), np.cumsum(rows).tolist()
+        each = [slice(s, e) for s, e in zip([0, *ends], ends)]
+        suffixes = np.unique(last[needed]) - 1
+        return {
+            "bucket": [*t["bucket"].to_pylist(), t["bucket"][0].as_py()], "block": [*t["block"].to_pylist(), -1], "rows": [*rows, len(suffixes)],
+            "value": [*(value[s].tobytes() for s in each), suffixes.astype("<u4").tobytes()], "left": [*(left[s][is_hot[s]].tobytes() for s in each), None],
+        }
+
+    rows = texts.select("held_out", "sizes", "tokens", "words", "code", "block", *(c for c in texts.columns if c == "hot"))
+    sent = map_batches(rows, asks, schema_of("bucket bigint, block bigint, rows int, data binary, parent binary"))
+    return _each_bucket(sent, answer, "bucket bigint, block bigint, rows int, value binary, left binary")
+
+
+def score(docs: DataFrame, depth: int = DEPTH, divergence: float = DIVERGENCE, discount: float = DISCOUNT, strength: float = STRENGTH, folds: int = FOLDS, block_tokens: int = BLOCK_TOKENS, passes: int = PASSES, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs. limit: contexts of more training tokens
+    are hot; it changes no result."""
     spark = docs.sparkSession
+    send = spark.sparkContext.broadcast
     cut = materialise(blocks(docs, block_tokens, folds, id_col, text_col), "blocks")
-    counts = materialise(word_counts(cut), "words")
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    totals = Totals(int(n), int(v), discount)
-    bitmaps: list[Broadcast] = []
-    parts = [counts.select(F.col("word").alias("key"), F.lit(COUNT).cast("tinyint").alias("kind"), F.col("n").cast("double").alias("value"))]
-    if n and depth:
-        tree, bitmaps = states(cut, counts, totals, depth, divergence, strength, passes)
-        parts.append(tree)
-    known = functools.reduce(DataFrame.unionByName, parts)
-    place_bits = _bucket_bits(totals.tokens)
-    said = [materialise(answers(cut, known, bitmaps, place_bits, i, passes), "answers") for i in range(passes)]
-    discard(known)
-    every = functools.reduce(DataFrame.unionByName, said)
-    every = every.groupBy("block").agg(F.collect_list(F.struct("bucket", *(c for x in KINDS for c in (f"{x}_at", x)))).alias("said"))
-    rows = cut.select("tokens", "words", "sizes", "held_out", "block", "ids").join(every, "block").select("tokens", "words", "sizes", "held_out", "ids", "said")
+    words = materialise(coded_words(cut), "words")
+    steps = words.filter("block = -1").collect()  # a row for each of 2**WORD_BITS buckets
+    totals = Totals(sum(r["tokens"] for r in steps), sum(r["distinct"] for r in steps), discount)
+    ladder = Ladder.of(steps)
+    texts = materialise(coded(cut, words), "texts")
+    discard(cut, words)
+    bits, hot_bits = _bucket_bits(totals.tokens), _bucket_bits(totals.tokens // 4)
+    parts, hot, suffixes = [], None, np.zeros(0, bool)
+    if totals.tokens and depth:
+        found = hot_contexts(texts, ladder, depth, limit, texts.count())
+        if len(found.key):
+            early = send(found)
+            said = materialise(hot_counts(texts, early, hot_bits, depth), "hot")
+            found = hot_tree(said, found, ladder, totals, depth, divergence, strength)
+            early.destroy()
+            every = said.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("bucket", "rows", "data")).alias("hot"))
+            plain, texts = texts, materialise(texts.join(every, "block", "left"), "texts")
+            discard(plain, said)
+        hot, steps_ = send(found), send(ladder)
+        parts = [materialise(answers(texts, hot, steps_, totals, bits, hot_bits, i, passes, depth, divergence, strength), "answers") for i in range(passes)]
+        suffixes = found.keep.copy()
+        for part in parts:
+            for r in part.filter("block = -1 and rows > 0").select("value").distinct().toLocalIterator():
+                suffixes[np.frombuffer(r["value"], "<u4")] = True
+        for k in np.argsort(-found.level, kind="stable").tolist():
+            if suffixes[k] and found.up[k] >= 0:
+                suffixes[found.up[k]] = True
+    names = ["held_out", "sizes", "tokens", "words", "code", "ids", *(c for c in texts.columns if c == "hot"), *(["said"] if parts else [])]
 
     def run(batches):
-        maps = [x.value for x in bitmaps]
         for b in batches:
             for i in range(b.num_rows):
-                tokens, starts, _ = _block_tokens(b, i)
-                sizes = np.asarray(b.column(2)[i].values)
-                keys, fits = _chains(tokens, starts, len(maps))
-                asked = np.unique(np.concatenate(_asked(keys, fits, maps)))
-                answered = b.column(5)[i].as_py()
-                (has_left, left), (has_own, own), (_, count) = (_spread(asked, place_bits, answered, x) for x in KINDS)
-                at = [_places(asked, x) for x in keys]
-                c = count[at[0]]
-                p = 10.0 ** totals.root(c)
-                for k in range(len(maps)):
-                    context = _before(at[k])
-                    state = (context >= 0) & has_left[context] & fits[k + 1]
-                    alone = np.where((at[k + 1] >= 0) & has_own[at[k + 1]], own[at[k + 1]], 0.0)
-                    p = np.where(state, alone + left[context] * p, p)
+                row = {c: b.column(j)[i] for j, c in enumerate(names)}
+                sizes, at = np.asarray(row["sizes"].values), Positions([row[c] for c in names[:5]], depth)
+                c, p = at.counts[at.numbers], totals.root(at.counts)[at.numbers]
+                answered = (row["said"].as_py() or []) if "said" in row else []
+                if hot is not None:
+                    chain = Chain(at, hot.value, row["hot"].as_py() if "hot" in row else None, hot_bits, strength, 10.0**p)
+                    before = chain.value(suffixes)
+                    p = np.where(chain.length > 0, np.log10(before), p)
+                for nth in range(passes) if answered else ():
+                    own = sorted((x for x in answered if x["nth"] == nth), key=lambda x: x["bucket"])
+                    asked = Asked(at, chain, bits, nth, passes)
+                    value, left = np.frombuffer(b"".join(x["value"] for x in own), "<f4").astype(float), np.zeros(len(asked.first))
+                    left[asked.hot] = np.frombuffer(b"".join(x["left"] for x in own), "<f4")
+                    value, is_hot = value[asked.of], asked.hot[asked.of]
+                    value += np.where(is_hot | (at.word[asked.own] > 0), 0.0, p[asked.own])
+                    value[is_hot] = np.log10(value[is_hot] + left[asked.of[is_hot]] * before[asked.own[is_hot]])
+                    p[asked.own] = value
                 yield {
-                    "doc_id": b.column(4)[i].values, "held_out": b.column(3)[i].values, "n_tokens": sizes,
-                    "n_known": np.add.reduceat((c > 0).astype(np.int64), starts), "train_tokens": np.full(len(sizes), totals.tokens),
-                    "base_score": np.add.reduceat(totals.base(c), starts),
-                    "score": np.add.reduceat(np.log10(p), starts),
+                    "doc_id": row["ids"].values, "held_out": row["held_out"].values, "n_tokens": sizes,
+                    "n_known": np.add.reduceat((c > 0).astype(np.int64), at.starts), "train_tokens": np.full(len(sizes), totals.tokens),
+                    "base_score": np.add.reduceat(totals.base(c), at.starts),
+                    "score": np.add.reduceat(p, at.starts),
                 }
 
     kind = id_type(docs, id_col)
-    return map_batches(rows, run, schema_of(f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))
+    schema = schema_of(f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    if not parts:
+        return map_batches(texts.select(*names), run, schema)
+    every, out = functools.reduce(DataFrame.unionByName, parts).filter("block >= 0").withColumn("nth", F.col("bucket") % passes), []
+    for i in range(SHARES):
+        share = F.pmod(F.xxhash64("block"), F.lit(SHARES)) == i
+        own = every.filter(share).groupBy("block").agg(F.collect_list(F.struct("nth", "bucket", "value", "left")).alias("said"))
+        out.append(materialise(map_batches(texts.filter(share).join(own, "block", "left").select(*names), run, schema), "scores"))
+    discard(texts, *parts)
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
