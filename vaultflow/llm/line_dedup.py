@@ -87,7 +87,7 @@ def _sorted_by(line: np.ndarray, lines: int, *then: tuple[np.ndarray, int]) -> n
         own = min(bits, left)
         left -= own
         key |= (x >> np.uint64(bits - own)) << np.uint64(left)
-    order = np.argsort(key)
+    order = np.argsort(key, kind="stable")  # lines are in order already
     now = key[order]
     tie = np.flatnonzero(now[1:] == now[:-1])
     if any((x[order[tie]] != x[order[tie + 1]]).any() for x, _ in then):
@@ -145,7 +145,8 @@ def line_sets(texts: list[bytes]) -> Sets:
     docs = np.flatnonzero(raw[breaks] == 255) + 1  # lines up to and with each document's last
     of = np.repeat(np.arange(len(docs)), np.diff(docs, prepend=0))
     number = np.arange(len(of)) - np.repeat(np.append(0, docs[:-1])[: len(docs)], np.diff(docs, prepend=0))
-    return Sets(of, number, np.searchsorted(breaks, start), word_hashes(raw, start, end))
+    line = np.repeat(np.arange(len(breaks)), np.diff(np.searchsorted(start, breaks), prepend=0))  # of each word; there are fewer breaks to look up
+    return Sets(of, number, line, word_hashes(raw, start, end))
 
 
 def shingle_sets(texts: list[bytes], shingle: int = 5) -> Sets:
@@ -203,7 +204,8 @@ def lines_and_rarity(rows: DataFrame, make: Make = line_sets, bits: int = RARITY
         for b in batches:
             for ids, vers, texts in _each(b):
                 x = make(texts)
-                np.add.at(total, (x.words >> np.uint64(64 - bits)).astype(np.int64), 1)
+                place, lines = np.unique((x.words >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+                total[place] += lines
                 own, n, m = x.ids(), len(x.doc), len(ids)
                 yield {
                     "kind": np.repeat(np.array([0, 2], np.int8), [n, m]), "a": np.append(ids[x.doc], ids), "ver": np.append(vers[x.doc], vers), "line": np.append(x.number, np.zeros(m, np.int64)),
@@ -259,8 +261,9 @@ def _prefixes(words: np.ndarray, often: np.ndarray, x: Sets, own: np.ndarray, of
 
 
 def _dealt(r: np.ndarray, part: np.ndarray, parts: int, kind: int) -> dict:
+    part = part.astype(np.min_scalar_type(parts))  # 16 bits are sorted by radix
     order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    ends = np.append(0, np.cumsum(np.bincount(part, minlength=parts)))
     some = np.flatnonzero(np.diff(ends))
     return {"kind": np.full(len(some), kind, np.int8), "part": some, "data": [r[order[ends[k] : ends[k + 1]]].tobytes() for k in some.tolist()]}
 
