@@ -41,6 +41,16 @@ def test_sql(spark, duck, data, name):
     assert got == want
 
 
+def test_sanitized_titles_of_odd_documents(spark, tmp_path):
+    """Device names and texts that aren't composed are as in the SQL, which leaves out sanitize()'s rules for them."""
+    odd = [("Con.", "es"), ("aux", "fr"), ("cafe\u0301", "fr"), ("...", "de"), ("", "en"), (None, "en"), ("a", None), ("a: b. ", "EN"), ("\x01Éaux?", "fr")]
+    spark.createDataFrame([(i, t, x, 0) for i, (t, x) in enumerate(odd)], "doc_id long, text string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = catalogue.QUERIES["fn_sanitize_title"](spark, str(tmp_path)).select("part", "name").collect()
+    assert sorted(map(tuple, got)) == sorted(c.execute(catalogue.ORACLE_SQL["fn_sanitize_title"]).fetchall())
+
+
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL)))
 def test_runs(spark, data, name):
     assert catalogue.QUERIES[name](spark, data).count() > 0
