@@ -328,6 +328,16 @@ def test_all_links_and_classes(spark, rows, sf):
     assert got == {i: (links[i], label[i]) for i, _ in rows}
 
 
+def test_shares_of_hot_words_do_not_grow_with_parts(spark):
+    """A word of 40 lines, of which 16 make it hot, is dealt into three shares at most, however many parts there are."""
+    rows = line_dedup.numbered(spark.createDataFrame([(i, f"same a{i} b{i} c{i} d{i}") for i in range(40)], "doc_id long, text string"))
+    counts = np.full(1 << 22, 40, np.uint16)
+    out = line_dedup.prefixes(rows, spark.sparkContext.broadcast(counts), line_dedup.Fraction(1, 2), 1_000, hot=16).collect()
+    word = line_dedup.line_sets([b"same"]).words[0]
+    parts = {r["part"] for r in out if (np.frombuffer(r["data"], line_dedup._PREFIX)["word"] == word).any()}
+    assert {r["kind"] for r in out} == {1} and 1 <= len(parts) <= 3
+
+
 def test_places_that_recur(spark):
     r = np.random.default_rng(4)
     parts = [r.integers(0, 1 << 22, n) for n in (0, 1, 5000, 60_000)] + [np.array([7, 7, 1 << 21]), np.array([0, (1 << 22) - 1]), np.array([(1 << 22) - 1])]

@@ -12,7 +12,7 @@ by a hash of the text, then by its number - is that similar to it.
 
 Rarity is counted over all lines in a table of hashed counts of fixed size, or smaller for few words; any order that all
 lines share keeps the join exact. Equal sets are one, with the number of their lines. Sets that have
-a word that HOT or more lines have are dealt by word and set, cut into chunks of CHUNK sets, and
+a word that HOT or more lines have are dealt by word and share, cut into chunks of CHUNK sets, and
 compared chunk by chunk, over all tasks.
 
 Words and sets are known by hashes of 64 bits.
@@ -50,6 +50,7 @@ _AT_ONCE, _BYTES_AT_ONCE = 512, 1 << 21
 #: Words of sets that are compared at once, and those of one step of a verification.
 _WORDS_AT_ONCE = 1 << 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SHARE = np.uint64(0xC2B2AE3D27D4EB4F)
 _END = b"\xff"  # ends a document's text; is in no UTF-8 text
 _IS_BLANK = bytes(b in b"\t\n\x0b\x0c\r \xff" for b in range(256))
 _ZERO = np.uint64(0)
@@ -297,7 +298,7 @@ def sift(rows: DataFrame, sent: Broadcast, threshold: Fraction, make: Make, bits
 
 def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int, make: Make = line_sets, hot: int = HOT, sifted: Broadcast | None = None) -> DataFrame:
     """kind, part, data: the words of all sets' prefixes, many packed together, dealt into parts by word (kind 0) or, words that
-    hot lines or more have, by word and set (kind 1). Of equal sets a task sends one. sent: the counts; sifted: what sift()
+    hot lines or more have, by word and share of its sets (kind 1). Of equal sets a task sends one. sent: the counts; sifted: what sift()
     returned: words that no other prefix has are left out."""
 
     def run(batches):
@@ -307,10 +308,12 @@ def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int,
             r, often = (np.concatenate(x) for x in zip(*held))
             held.clear()
             is_hot = often >= hot
-            for kind, own in enumerate((r[~is_hot], r[is_hot])):
-                if len(own):
-                    by = own["word"] if not kind else own["word"] ^ own["set"].view(np.uint64)
-                    yield _dealt(own, ((by * _MIX) >> np.uint64(33)).astype(np.int64) % parts, parts, kind)
+            # A hot word has as many shares as hot lines fit into its count, not as there are parts: its chunks, and so their pairs, do not grow with parts.
+            by = r["word"] + r["set"].view(np.uint64) % (often // hot + 1).astype(np.uint64) * _SHARE
+            part = ((by * _MIX) >> np.uint64(33)).astype(np.int64) % parts
+            for kind, own in enumerate((~is_hot, is_hot)):
+                if own.any():
+                    yield _dealt(r[own], part[own], parts, kind)
 
         for b in batches:
             for _, _, texts in _each(b):
