@@ -338,6 +338,28 @@ def test_shares_of_hot_words_do_not_grow_with_parts(spark):
     assert {r["kind"] for r in out} == {1} and 1 <= len(parts) <= 3
 
 
+def test_candidates_in_a_crowd():
+    """Of sets that share a rare word no pairs are candidates but those that share one more behind it; all similar ones are among them."""
+    rng, t = np.random.default_rng(3), line_dedup.THRESHOLD
+    texts = [b" ".join(b"w%d" % w for w in sorted({0, *rng.integers(1, 400, n).tolist()})) for n in rng.integers(3, 40, 150)]
+    texts += [b" ".join(x.split()[:-1] + [b"odd%d" % i]) for i, x in enumerate(texts[:60])]
+    x = line_dedup.line_sets(texts)
+    words, often = x.by_rarity(np.full(1 << 22, 9, np.uint16))
+    r, at = line_dedup._prefixes(words, often, x, x.ids(), np.ones(len(x.size), bool), t)
+    order = np.lexsort((r["size"], r["word"]))
+    r, line = r[order], x.line[at][order]
+    key = np.ascontiguousarray(r["word"])
+    sets = [set(y.split()) for y in texts]
+    similar = {(a, b) for a in range(len(sets)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    for crowd in (None, 2, 8):
+        pairs = [(max(line[a], line[b]), min(line[a], line[b])) for p in line_dedup.candidate_pairs(key, r, t, None, crowd) for a, b in zip(*p)]
+        assert len(similar) >= 30 and similar <= set(pairs) | {(a, b) for a, b in similar if sets[a] == sets[b]}
+    alone = np.zeros(50, line_dedup._PREFIX)
+    alone["size"], alone["next"][:, 0] = 10, np.arange(1, 51)
+    assert sum(len(a) for a, _ in line_dedup.candidate_pairs(np.zeros(50, np.int64), alone, t)) == 1225
+    assert not list(line_dedup.candidate_pairs(np.zeros(50, np.int64), alone, t, None, 8))
+
+
 def test_places_that_recur(spark):
     r = np.random.default_rng(4)
     parts = [r.integers(0, 1 << 22, n) for n in (0, 1, 5000, 60_000)] + [np.array([7, 7, 1 << 21]), np.array([0, (1 << 22) - 1]), np.array([(1 << 22) - 1])]

@@ -13,7 +13,8 @@ by a hash of the text, then by its number - is that similar to it.
 Rarity is counted over all lines in a table of hashed counts of fixed size, or smaller for few words; any order that all
 lines share keeps the join exact. Equal sets are one, with the number of their lines. Sets that have
 a word that HOT or more lines have are dealt by word and share, cut into chunks of CHUNK sets, and
-compared chunk by chunk, over all tasks.
+compared chunk by chunk, over all tasks. Where many sets have a word, those are candidates that have
+one more word in common right behind it, as similar sets must, so that groups need not be searched pair by pair.
 
 Words and sets are known by hashes of 64 bits.
 
@@ -42,6 +43,8 @@ from vaultflow.llm.components import connected_components
 THRESHOLD = Fraction(4, 5)
 RARITY_BITS = 22
 HOT, CHUNK = 8_192, 4_096
+#: Sets of a word that are compared only where they also share one of the words that follow, from so many on; and how many of those a row has.
+CROWD, _NEXT = 32, 4
 #: Places of the table of what recurs in prefixes (16 MB), the finer places by which words are told apart before it is made, and how many
 #: of them a task holds before it sends them.
 SIFT_BITS, SIFT_FINE, _SIFTED_AT_ONCE = 27, 7, 2_000_000
@@ -226,8 +229,9 @@ def lines_and_rarity(rows: DataFrame, make: Make = line_sets, bits: int = RARITY
     return lines, of_docs, counts
 
 
-#: A word of a set's prefix, its place there, and the two words before it (0: none). place and size end at 65535.
-_PREFIX = np.dtype([("word", "<u8"), ("set", "<i8"), ("p0", "<u8"), ("p1", "<u8"), ("before", "<u8"), ("earlier", "<u8"), ("size", "<u2"), ("place", "<u2")])
+#: A word of a set's prefix, its place there, and the two words before it (0: none). place and size end at 65535. next: 16 bits of each word (0: none)
+#: behind it among which a similar set's second common word must be, if this is the first; all 0 if those are more than _NEXT, or none must be.
+_PREFIX = np.dtype([("word", "<u8"), ("set", "<i8"), ("p0", "<u8"), ("p1", "<u8"), ("before", "<u8"), ("earlier", "<u8"), ("size", "<u2"), ("place", "<u2"), ("next", "<u2", _NEXT)])
 _MOST = 65_535
 
 
@@ -258,6 +262,11 @@ def _prefixes(words: np.ndarray, often: np.ndarray, x: Sets, own: np.ndarray, of
     r["word"], r["set"], r["p0"], r["p1"] = words[at], own[line], p[0][line], p[1][line]
     r["before"], r["earlier"] = (np.where(place >= k, words[np.maximum(at - k, 0)], _ZERO) for k in (1, 2))
     r["size"], r["place"] = np.minimum(x.size[line], _MOST), np.minimum(place, _MOST)
+    # Of least words in common the second is at place length at the latest.
+    least = -(-threshold.numerator * x.size[line] // threshold.denominator)
+    behind = np.where((least > 1) & (length[line] - place <= _NEXT), length[line] - place, 0)
+    for k in range(_NEXT):
+        r["next"][:, k] = np.where(k < behind, np.maximum((words[np.minimum(at + k + 1, len(words) - 1)] >> np.uint64(16)) & np.uint64(0xFFFF), np.uint64(1)), _ZERO)
     return r, at
 
 
@@ -335,20 +344,15 @@ def prefixes(rows: DataFrame, sent: Broadcast, threshold: Fraction, parts: int,
     return map_batches(rows, run, schema_of("kind tinyint, part int, data binary"))
 
 
-def candidate_pairs(key: np.ndarray, r: np.ndarray, threshold: Fraction, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def candidate_pairs(key: np.ndarray, r: np.ndarray, threshold: Fraction, side: np.ndarray | None = None, crowd: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places of rows of _PREFIX of equal key that may be similar and of which the row's word may be the first in common.
-    Rows are sorted by key and size. side: 0 pairs with all; 1 and 2 only with each other."""
+    Rows are sorted by key and size. side: 0 pairs with all; 1 and 2 only with each other. crowd: among so many rows of a key or more,
+    only pairs that share one of the words that follow, too; a pair may then be met several times."""
     num, den = threshold.numerator, threshold.denominator
     size, place = r["size"].astype(np.int64), r["place"].astype(np.int64)
     p0, p1, before, earlier = (np.ascontiguousarray(r[c]) for c in ("p0", "p1", "before", "earlier"))
-    a, d = np.arange(len(key)), 0
-    while True:
-        d += 1
-        a = a[: np.searchsorted(a, len(key) - d)]
-        a = a[(key[a] == key[a + d]) & (num * size[a + d] <= den * size[a])]  # once beyond, always beyond
-        if not len(a):
-            return
-        x, y = a, a + d
+
+    def may(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if side is not None:
             ok = (side[x] == 0) | (side[x] != side[y])
             x, y = x[ok], y[ok]
@@ -359,8 +363,48 @@ def candidate_pairs(key: np.ndarray, r: np.ndarray, threshold: Fraction, side: n
         ok = ((num + den) * (place[x] + place[y]) <= room) & ((u == _ZERO) | ((u != v) & (u != t))) & ((s == _ZERO) | ((s != v) & (s != t)))
         x, y, room = x[ok], y[ok], room[ok]
         ok = (num + den) * (np.bitwise_count(p0[x] ^ p0[y]).astype(np.int64) + np.bitwise_count(p1[x] ^ p1[y])) <= room
-        if ok.any():
-            yield x[ok], y[ok]
+        return x[ok], y[ok]
+
+    def ahead(a: np.ndarray, key: np.ndarray, row: np.ndarray | None = None):
+        """Of places a, in ascending order, each with those behind it of equal key; row: what row a place is of, if not of its own."""
+        own, d = size if row is None else size[row], 0
+        while True:
+            d += 1
+            a = a[: np.searchsorted(a, len(key) - d)]
+            a = a[(key[a] == key[a + d]) & (num * own[a + d] <= den * own[a])]  # once beyond, always beyond
+            if not len(a):
+                return
+            x, y = may(a, a + d) if row is None else may(row[a], row[a + d])
+            if len(x):
+                yield x, y
+
+    if crowd is None or not len(key):
+        yield from ahead(np.arange(len(key)), key)
+        return
+    group = np.cumsum(np.append(False, key[1:] != key[:-1]))
+    crowded = np.bincount(group)[group] >= crowd
+    told = crowded & (r["next"] > 0).any(1)
+    yield from ahead(np.flatnonzero(~told), key)  # rows that tell nothing, or of few, with all behind them
+    if not told.any():
+        return
+    # Those of which another one before tells something.
+    rest, d = np.flatnonzero(crowded & ~told), 0
+    while len(rest):
+        d += 1
+        rest = rest[rest >= d]
+        rest = rest[(key[rest] == key[rest - d]) & (num * size[rest] <= den * size[rest - d])]
+        x, y = may(*(z[told[rest - d]] for z in (rest - d, rest)))
+        if len(x):
+            yield x, y
+    at = np.flatnonzero(told)
+    following = r["next"][at].astype(np.int64)
+    row, n = np.nonzero(following)
+    of = (group[at[row]] << 16) | following[row, n]
+    order = np.argsort(of, kind="stable")  # rows of a key are in order of size already
+    of, row = of[order], at[row[order]]
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (row[1:] != row[:-1])  # two words that follow may have the same bits
+    yield from ahead(np.arange(int(new.sum())), of[new], row[new])
 
 
 def _in_common(number: np.ndarray, start: np.ndarray, x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> np.ndarray:
@@ -458,7 +502,7 @@ def _asks(threshold: Fraction, chunk: int):
                         yield {"kind": [1], "key": [x["word"][0].view(np.int64)], "line_set": [0], "lo": [x["size"][0]], "hi": [x["size"][-1]], "data": [x.tobytes()]}
                 continue
             mark = np.zeros(len(r), bool)
-            for a, b in candidate_pairs(word, r, threshold):
+            for a, b in candidate_pairs(word, r, threshold, None, CROWD):
                 mark[a] = mark[b] = True
             at = np.flatnonzero(mark)
             n = len(at)
@@ -489,7 +533,7 @@ def asked(packed: DataFrame, threshold: Fraction, chunk: int = CHUNK) -> DataFra
             order = np.argsort(r["size"], kind="stable")
             r, side = r[order], side[order]
             mark = np.zeros(len(r), bool)
-            for x, y in candidate_pairs(np.zeros(len(r), np.int64), r, threshold, side):
+            for x, y in candidate_pairs(np.zeros(len(r), np.int64), r, threshold, side, CROWD):
                 mark[x] = mark[y] = True
             at = np.flatnonzero(mark)
             yield {"key": np.full(len(at), key), "word": np.full(len(at), word), "side": side[at], "line_set": r["set"][at]}
